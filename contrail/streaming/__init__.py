@@ -1,0 +1,8 @@
+"""Streaming.
+
+The job this library re-expresses is batch only: it has no stream source,
+watermark, windowed aggregate or state. Its one incremental mode -- the
+trailing twelve-month refresh -- is a batch rewrite of recent month
+partitions and lives in ``contrail.sources.sink.refresh_trailing`` and
+``contrail.plans.common_flight.build_trailing``. Nothing is defined here.
+"""
