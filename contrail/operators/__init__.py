@@ -4,7 +4,7 @@ from .distance import airport_pair_distances, attach_distance
 from .history import prior_events_max
 from .lookup import dated_lookup, timeline_lookup
 from .match import append_unmatched, interval_match, nearest_match, unmatched_records
-from .observe import nearest_observation, observation_gaps
+from .observe import nearest_observation, nearest_observation_table, observation_gaps
 from .ranges import binned_range_join, bin_of, bins_between
 from .reports import (REPORT_TYPES, attach_reports, message_roster, roster_flights,
                       roster_params)
@@ -15,7 +15,8 @@ __all__ = [
     "REPORT_TYPES", "airport_pair_distances", "append_unmatched", "assign_slots",
     "attach_distance", "attach_reports", "best_of", "best_value", "bin_of", "binned_range_join",
     "bins_between", "dated_lookup", "group_siblings", "interval_match", "mark_parents",
-    "message_roster", "nearest_match", "nearest_observation", "observation_gaps",
+    "message_roster", "nearest_match", "nearest_observation", "nearest_observation_table",
+    "observation_gaps",
     "previous_values", "prior_events_max", "provenance", "roster_flights", "roster_params",
     "slot_ids", "timeline_lookup", "unmatched_records",
 ]

@@ -78,12 +78,11 @@ def observation_gaps(packed: DataFrame, *, airport: str = "airport_str",
                                                      F.floor((F.col("_hi") - 1) / b).cast("long"))))
 
 
-def nearest_observation(legs: DataFrame, gaps: DataFrame, *, airport: str, at: str, out: str,
-                        pad_hours: int = 5, bin_seconds: int = GAP_BIN_SECONDS) -> DataFrame:
-    """Adds ``out`` = id of the reading nearest to ``legs[at]`` at
-    ``legs[airport]`` (NULL when the airport/time is NULL or no reading is
-    reachable). ``gaps`` comes from :func:`observation_gaps` with the same
-    ``pad_hours`` and ``bin_seconds``."""
+def nearest_observation_table(legs: DataFrame, gaps: DataFrame, *, airport: str, at: str,
+                              out: str, pad_hours: int = 5,
+                              bin_seconds: int = GAP_BIN_SECONDS) -> DataFrame:
+    """Distinct ``(airport, at)`` points of ``legs`` with ``out`` = id of the
+    nearest reading (points without a reachable reading are absent)."""
     pad = f"INTERVAL {pad_hours} HOURS"
     pts = (legs.select(F.col(airport).alias("_ap"), F.col(at).alias("_at"))
            .where(F.col("_ap").isNotNull() & F.col("_at").isNotNull()).distinct()
@@ -104,6 +103,16 @@ def nearest_observation(legs: DataFrame, gaps: DataFrame, *, airport: str, at: s
                                     (F.col("g._n_s") - F.col("p._s")).alias("d")))).alias("_c"))
     cands = cands.where(F.col("_c.id").isNotNull() & F.col("_c.d").isNotNull())
     order = F.struct(F.abs("_c.d"), F.signum("_c.d"), F.col("_c.id"))
-    best = (cands.groupBy("_ap", "_at").agg(F.min_by("_c.id", order).alias(out))
+    return (cands.groupBy("_ap", "_at").agg(F.min_by("_c.id", order).alias(out))
             .withColumnRenamed("_ap", airport).withColumnRenamed("_at", at))
+
+
+def nearest_observation(legs: DataFrame, gaps: DataFrame, *, airport: str, at: str, out: str,
+                        pad_hours: int = 5, bin_seconds: int = GAP_BIN_SECONDS) -> DataFrame:
+    """Adds ``out`` = id of the reading nearest to ``legs[at]`` at
+    ``legs[airport]`` (NULL when the airport/time is NULL or no reading is
+    reachable). ``gaps`` comes from :func:`observation_gaps` with the same
+    ``pad_hours`` and ``bin_seconds``."""
+    best = nearest_observation_table(legs, gaps, airport=airport, at=at, out=out,
+                                     pad_hours=pad_hours, bin_seconds=bin_seconds)
     return legs.join(best, on=[airport, at], how="left").select(*legs.columns, out)

@@ -18,10 +18,12 @@ from .. import operators as op
 from ..functions import (composite_id, engine_fit_string, month_key_int, normalize_id,
                          position_label, present_flag, quality_flags, report_nkey, shift)
 from ..session import scratch_path
-from ..sources import roles, sink
+from ..sources import adapter, roles, sink
 from ..sources.tables import Tables
+from .common_flight import build_common_flight
 
 AS_OF = dt.date(2001, 8, 1)
+CREATED_AT = dt.datetime(2024, 2, 1, 0, 0, 0)
 LEG_ORDER = ["start_ts", "pos", "leg_id"]
 
 
@@ -296,8 +298,14 @@ def q27(spark: SparkSession, sf: str) -> DataFrame:
     return op.message_roster(_roster_sources(t, None))
 
 
+def q28(spark: SparkSession, sf: str) -> DataFrame:
+    """End to end: every step, fixed output columns, one engine family."""
+    t = Tables(spark, sf)
+    return build_common_flight(adapter.common_flight_inputs(t), adapter.FAMILY, CREATED_AT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f"q{n:02d}": fn for n, fn in enumerate(
         [q01, q02, q03, q04, q05, q06, q07, q08, q09, q10, q11, q12, q13, q14, q15, q16, q17,
-         q18, q19, q20, q21, q22, q23, q24, q25, q26, q27], start=1)
+         q18, q19, q20, q21, q22, q23, q24, q25, q26, q27, q28], start=1)
 }
