@@ -1,9 +1,10 @@
 """Time helpers that stay inside Spark's codegen and do not depend on the
 session time zone.
 
-Driver tables carry ``TIMESTAMP_NTZ`` columns; ``unix_timestamp`` and
-``timestampdiff`` read those as wall-clock UTC, so bins and distances are the
-same whatever ``spark.sql.session.timeZone`` says.
+Driver tables carry ``TIMESTAMP_NTZ`` columns; ``unix_timestamp`` reads those
+as wall-clock UTC, so bins and distances are the same whatever
+``spark.sql.session.timeZone`` says. (No NTZ -> LTZ cast is ever made: that
+one depends on the session zone and is not monotone across DST gaps.)
 """
 
 from __future__ import annotations
@@ -11,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-
 
 def col_of(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -23,11 +22,6 @@ def epoch_seconds(ts: Column | str) -> Column:
     return F.unix_timestamp(col_of(ts))
 
 
-def epoch_micros(ts: Column | str) -> Column:
-    """Microseconds since the epoch; monotone for NTZ and LTZ input alike."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), col_of(ts))
-
-
 def shift(ts: Column | str, interval: str) -> Column:
     """``ts + INTERVAL <interval>``; ``interval`` like ``'-20 minutes'``."""
     text = interval.strip()

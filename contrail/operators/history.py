@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timecols import epoch_micros
+from ..functions.timecols import epoch_seconds
 
 # Default bucket for the two-level running maximum (30 days).
 HISTORY_BUCKET_SECONDS = 30 * 24 * 3600
@@ -27,29 +27,31 @@ def prior_events_max(legs: DataFrame, events: DataFrame, *, key: str, at: str,
     Plan: no range join. Maxima are decomposable, so the result is
     max(prefix maximum of whole earlier time buckets, running maximum inside
     the leg's own bucket). The running window is partitioned by (key, bucket)
-    -- one busy engine is spread over its buckets -- and the prefix runs over
-    a per-(key, bucket) summary. Distinct (key, time) points are resolved
-    once and joined back.
+    -- one busy engine is spread over its buckets -- and ordered by (time,
+    points before events), so an event at the very instant of a flight is
+    not counted. The prefix runs over a per-(key, bucket) summary. Distinct
+    (key, time) points are resolved once and joined back.
     """
-    span = F.lit(float(bucket_seconds) * 1e6)
-    ev = (events.select(F.col(event_key).alias("_k"), epoch_micros(event_ts).alias("_t"),
+    ts_type = events.schema[event_ts].dataType
+    ev = (events.select(F.col(event_key).alias("_k"), F.col(event_ts).alias("_t"),
                         *[F.col(src).alias(f"_v{n}") for n, src in enumerate(cols.values())])
           .where(F.col("_k").isNotNull() & F.col("_t").isNotNull())
-          .withColumn("_b", F.floor(F.col("_t") / span).cast("long")))
+          .withColumn("_b", F.floor(epoch_seconds("_t") / F.lit(bucket_seconds)).cast("long")))
     pts = (legs.select(F.col(key).alias("_k"), F.col(at).alias("_at"))
            .where(F.col("_k").isNotNull() & F.col("_at").isNotNull()).distinct()
-           .withColumn("_t", epoch_micros("_at"))
-           .withColumn("_b", F.floor(F.col("_t") / span).cast("long")))
+           .withColumn("_t", F.col("_at").cast(ts_type))
+           .withColumn("_b", F.floor(epoch_seconds("_t") / F.lit(bucket_seconds)).cast("long")))
     n_vals = len(cols)
     vals = [f"_v{n}" for n in range(n_vals)]
-    # running maximum inside the bucket, strictly before the point
-    u = (pts.select("_k", "_b", "_t", "_at", *[F.lit(None).alias(v) for v in vals])
-         .unionByName(ev.select("_k", "_b", "_t", F.lit(None).cast(pts.schema["_at"].dataType)
-                                .alias("_at"), *vals)))
-    w_in = (Window.partitionBy("_k", "_b").orderBy("_t")
-            .rangeBetween(Window.unboundedPreceding, -1))
+    at_type = pts.schema["_at"].dataType
+    u = (pts.select("_k", "_b", "_t", F.lit(0).alias("_kind"), "_at",
+                    *[F.lit(None).cast(ev.schema[v].dataType).alias(v) for v in vals])
+         .unionByName(ev.select("_k", "_b", "_t", F.lit(1).alias("_kind"),
+                                F.lit(None).cast(at_type).alias("_at"), *vals)))
+    w_in = (Window.partitionBy("_k", "_b").orderBy("_t", "_kind")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = (u.withColumns({f"_i{n}": F.max(v).over(w_in) for n, v in enumerate(vals)})
-             .where(F.col("_at").isNotNull())
+             .where(F.col("_kind") == 0)
              .select("_k", "_b", "_at", *[f"_i{n}" for n in range(n_vals)]))
     # maximum over all whole earlier buckets
     summary = ev.groupBy("_k", "_b").agg(*[F.max(v).alias(v) for v in vals])

@@ -25,14 +25,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timecols import col_of, epoch_micros
+from ..functions.timecols import col_of, epoch_seconds
 
 BIN = "_cr_bin"
 
 
 def bin_of(ts: Column | str, bin_seconds: int) -> Column:
-    """Bin number of a timestamp (monotone in ``ts``; NULL stays NULL)."""
-    return F.floor(epoch_micros(ts) / F.lit(float(bin_seconds) * 1_000_000)).cast("long")
+    """Bin number of a timestamp (monotone in ``ts``; NULL stays NULL).
+
+    Whole epoch seconds suffice: a bin only has to be a monotone function of
+    time for ``lo <= p <= hi`` to imply ``bin(lo) <= bin(p) <= bin(hi)``."""
+    return F.floor(epoch_seconds(ts) / F.lit(bin_seconds)).cast("long")
 
 
 def bins_between(lo: Column | str, hi: Column | str, bin_seconds: int) -> Column:

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timecols import epoch_micros
+from ..functions.timecols import epoch_seconds
 from .ranges import binned_range_join
 
 # Default bucket for the per-aircraft previous-row look-up (1 day).
@@ -32,8 +32,8 @@ def previous_values(df: DataFrame, *, partition: Sequence[str], order: Sequence[
     """
     if order[0] != time_col:
         raise ValueError("order must start with time_col")
-    bk = F.coalesce(F.floor(epoch_micros(time_col) / F.lit(float(bucket_seconds) * 1e6))
-                    .cast("long"), F.lit(_MIN_LONG))
+    bk = F.coalesce(F.floor(epoch_seconds(time_col) / F.lit(bucket_seconds)).cast("long"),
+                    F.lit(_MIN_LONG))
     d = df.withColumn("_cr_bk", bk)
     w = Window.partitionBy(*partition, "_cr_bk").orderBy(*order)
     d = d.withColumns({"_cr_rn": F.row_number().over(w),
