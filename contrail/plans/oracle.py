@@ -338,3 +338,12 @@ FROM orders WHERE CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) > 200008
     "q26": _with("rmd_flights", "rmd_params", extra=_roster(FAMILIES)) + _ROSTER_SELECT,
     "q27": _with("rmd_flights", "rmd_params", extra=_roster(None)) + _ROSTER_SELECT,
 }
+
+
+def _end_to_end() -> str:
+    from .common_flight import OUTPUT_COLUMNS
+    from .oracle_e2e import end_to_end_sql
+    return end_to_end_sql(OUTPUT_COLUMNS)
+
+
+SQL["q29"] = _end_to_end()

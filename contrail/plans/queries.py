@@ -304,8 +304,16 @@ def q28(spark: SparkSession, sf: str) -> DataFrame:
     return build_common_flight(adapter.common_flight_inputs(t), adapter.FAMILY, CREATED_AT)
 
 
+def q29(spark: SparkSession, sf: str) -> DataFrame:
+    """q28 with hash-stable values (distance to 3 decimals, matched record ids
+    as a sorted comma list), checked against the composed SQL oracle."""
+    return q28(spark, sf).withColumns({
+        "great_circle_distance": F.round("great_circle_distance", 3),
+        "matched_adi_flight_rec_nos": _ids_text("matched_adi_flight_rec_nos")})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f"q{n:02d}": fn for n, fn in enumerate(
         [q01, q02, q03, q04, q05, q06, q07, q08, q09, q10, q11, q12, q13, q14, q15, q16, q17,
-         q18, q19, q20, q21, q22, q23, q24, q25, q26, q27, q28], start=1)
+         q18, q19, q20, q21, q22, q23, q24, q25, q26, q27, q28, q29], start=1)
 }
