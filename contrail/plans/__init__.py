@@ -1,2 +1,2 @@
-"""Query plans: the registered queries, their SQL oracle and the end-to-end
-common-flight build."""
+"""Query plans: the registered queries, their SQL oracle, the end-to-end
+common-flight build and the report-message staging job."""

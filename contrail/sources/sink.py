@@ -23,9 +23,35 @@ def trailing_months(df: DataFrame, ts: Column | str, as_of: dt.date, months: int
     return df.where(month_key(col_of(ts)).cast("int") >= F.lit(cutoff_month(as_of, months)))
 
 
-def write_full(df: DataFrame, path: str, month: str) -> None:
+# Default number of files written per month directory.
+FILES_PER_MONTH = 16
+
+
+def spread_by_month(df: DataFrame, month: str, files_per_month: int | None = FILES_PER_MONTH
+                    ) -> DataFrame:
+    """Hash-partition rows by (month, salt): all rows of one (month, salt)
+    key land in one task, so a month is written by at most
+    ``files_per_month`` tasks -- at most that many files per month directory,
+    instead of one file per month from every task of the job. The salt is a
+    hash of the row's content (deterministic, so a retried task rebuilds the
+    same partition); a month holding a third of the rows is still split
+    ``files_per_month`` ways. ``None`` keeps the incoming partitioning."""
+    if not files_per_month:
+        return df
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_month))
+    return df.repartition(F.col(month), salt)
+
+
+def write_full(df: DataFrame, path: str, month: str,
+               files_per_month: int | None = FILES_PER_MONTH) -> None:
     """Overwrite the whole table at ``path``, one directory per month."""
-    df.write.mode("overwrite").partitionBy(month).parquet(path)
+    spread_by_month(df, month, files_per_month).write.mode("overwrite") \
+        .partitionBy(month).parquet(path)
+
+
+def write_unpartitioned(df: DataFrame, path: str) -> None:
+    """Overwrite an unpartitioned Parquet table at ``path``."""
+    df.write.mode("overwrite").parquet(path)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -35,7 +61,7 @@ def _fs(spark: SparkSession, path: str):
 
 
 def refresh_trailing(spark: SparkSession, new: DataFrame, path: str, month: str,
-                     cutoff: int) -> list[int]:
+                     cutoff: int, files_per_month: int | None = FILES_PER_MONTH) -> list[int]:
     """Replace every month ``>= cutoff`` of the table at ``path`` with the
     rows of ``new`` in those months.
 
@@ -53,7 +79,8 @@ def refresh_trailing(spark: SparkSession, new: DataFrame, path: str, month: str,
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        fresh.write.mode("overwrite").partitionBy(month).parquet(path)
+        spread_by_month(fresh, month, files_per_month).write.mode("overwrite") \
+            .partitionBy(month).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     kept = {r[0] for r in fresh.select(month).distinct().collect()}

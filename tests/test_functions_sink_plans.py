@@ -124,3 +124,25 @@ def test_range_joins_are_equi_joins(spark):
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert "_cr_bin" in plan
     assert F is not None
+
+
+def test_roster_publish_unpartitioned(spark):
+    from contrail.plans.report_staging import build_roster, publish_roster
+    from contrail.sources import roles
+    from contrail.sources.tables import Tables
+    t = Tables(spark, "/root/testdata/sf0.001")
+    roster = build_roster([("genx", roles.rmd_flights(t), roles.rmd_params(t))])
+    path = scratch_path(spark, "test-roster")
+    publish_roster(roster, path, table="contrail_test_roster")
+    assert spark.table("contrail_test_roster").count() == roster.count()
+    assert spark.table("contrail_test_roster").columns == roster.columns
+
+
+def test_month_spread_keeps_rows(spark):
+    df = frame(spark, "k long, m int", [(i, 202401 + i % 3) for i in range(50)])
+    out = sink.spread_by_month(df, "m", 4)
+    assert sorted(tuple(r) for r in out.collect()) == sorted(tuple(r) for r in df.collect())
+    # each month is spread over at most 4 partitions (so at most 4 files)
+    pairs = out.rdd.mapPartitionsWithIndex(lambda i, it: [(r.m, i) for r in it]).distinct()
+    per_month = pairs.map(lambda mp: (mp[0], 1)).reduceByKey(lambda a, b: a + b).collect()
+    assert len(per_month) == 3 and max(n for _, n in per_month) <= 4
