@@ -41,4 +41,7 @@ def attach_distance(legs: DataFrame, airports: DataFrame, *, dep: str, arr: str,
     either airport is unknown)."""
     dist = airport_pair_distances(legs, airports, dep=dep, arr=arr, code=code, lat=lat,
                                   lon=lon, out=out, radius=radius)
-    return legs.join(dist, on=[dep, arr], how="left").select(*legs.columns, out)
+    dist = dist.withColumnsRenamed({dep: "_g_dep", arr: "_g_arr"})
+    out_df = legs.join(dist, on=[legs[dep] == dist["_g_dep"], legs[arr] == dist["_g_arr"]],
+                       how="left")
+    return out_df.drop("_g_dep", "_g_arr")

@@ -71,5 +71,4 @@ def prior_events_max(legs: DataFrame, events: DataFrame, *, key: str, at: str,
     cond = [legs[key] == res["_rk"], legs[at] == res["_rat"]]
     if require is not None:
         cond.append(legs[require].isNotNull())
-    out = legs.join(res, on=cond, how="left")
-    return out.select(*[legs[c] for c in legs.columns], *[res[o] for o in cols])
+    return legs.join(res, on=cond, how="left").drop("_rk", "_rat")

@@ -46,7 +46,8 @@ def dated_lookup(legs: DataFrame, dated: DataFrame, undated: DataFrame, *, code:
     for n, out in enumerate(ids):
         outs[out] = F.when(F.col(f"_d_{hit_n}").isNotNull(), F.col(f"_d_{n}")) \
                      .otherwise(F.coalesce(F.col(f"_d_{n}"), F.col(f"_u_{n}")))
-    return step.withColumns(outs).select(*legs.columns, *ids.keys())
+    helpers = [f"_d_{n}" for n in range(len(ids))] + [f"_u_{n}" for n in range(len(ids))]
+    return step.withColumns(outs).drop("_u_code", *helpers)
 
 
 def timeline_lookup(legs: DataFrame, timeline: DataFrame, *,

@@ -137,5 +137,4 @@ def nearest_match(left: DataFrame, obs: DataFrame, *, row_key: Sequence[str], id
     for c, a in zip(row_key, rk):
         e = left[c].eqNullSafe(chosen[a])
         cond = e if cond is None else cond & e
-    out = left.join(chosen, on=cond, how="left")
-    return out.select(*[left[c] for c in left.columns], *[chosen[c] for c in obs_cols])
+    return left.join(chosen, on=cond, how="left").drop(*rk)

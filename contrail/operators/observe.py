@@ -115,4 +115,7 @@ def nearest_observation(legs: DataFrame, gaps: DataFrame, *, airport: str, at: s
     ``pad_hours`` and ``bin_seconds``."""
     best = nearest_observation_table(legs, gaps, airport=airport, at=at, out=out,
                                      pad_hours=pad_hours, bin_seconds=bin_seconds)
-    return legs.join(best, on=[airport, at], how="left").select(*legs.columns, out)
+    best = best.withColumnsRenamed({airport: "_w_ap", at: "_w_at"})
+    joined = legs.join(best, on=[legs[airport] == best["_w_ap"], legs[at] == best["_w_at"]],
+                       how="left")
+    return joined.drop("_w_ap", "_w_at")

@@ -64,19 +64,18 @@ def binned_range_join(points: DataFrame, intervals: DataFrame,
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     pairs = _pairs(keys)
-    p = points.withColumn(BIN, bin_of(point_ts, bin_seconds)).alias("_p")
-    i = (intervals.withColumn(BIN, F.explode(bins_between(lo, hi, bin_seconds)))
-         .alias("_i"))
-    cond = [F.col(f"_p.{a}") == F.col(f"_i.{b}") for a, b in pairs]
-    cond.append(F.col(f"_p.{BIN}") == F.col(f"_i.{BIN}"))
-    pt = F.col(f"_p.{point_ts}")
-    cond.append(pt >= F.col(f"_i.{lo}"))
-    cond.append(pt <= F.col(f"_i.{hi}") if hi_inclusive else pt < F.col(f"_i.{hi}"))
-    joined = p.join(i, on=cond, how=how)
     same = {b for a, b in pairs if a == b}
-    left_cols = [F.col(f"_p.{c}") for c in points.columns]
-    right_cols = [F.col(f"_i.{c}") for c in intervals.columns if c not in same]
-    return joined.select(*left_cols, *right_cols)
+    ik = {b: (f"_cr_ik{n}" if b in same else b) for n, (_, b) in enumerate(pairs)}
+    p = points.withColumn(BIN, bin_of(point_ts, bin_seconds))
+    i = (intervals.withColumnsRenamed({b: k for b, k in ik.items() if b != k})
+         .withColumn("_cr_ibin", F.explode(bins_between(lo, hi, bin_seconds))))
+    cond = [F.col(a) == F.col(ik[b]) for a, b in pairs]
+    cond.append(F.col(BIN) == F.col("_cr_ibin"))
+    pt = F.col(point_ts)
+    cond.append(pt >= F.col(lo))
+    cond.append(pt <= F.col(hi) if hi_inclusive else pt < F.col(hi))
+    joined = p.join(i, on=cond, how=how)
+    return joined.drop(BIN, "_cr_ibin", *[k for b, k in ik.items() if b != k])
 
 
 def key_condition(left: DataFrame, right: DataFrame, keys: Sequence[str | tuple[str, str]],

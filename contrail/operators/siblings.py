@@ -52,7 +52,7 @@ def previous_values(df: DataFrame, *, partition: Sequence[str], order: Sequence[
     first = F.col("_cr_rn") == 1
     out = out.withColumns({o: F.when(first, F.col(f"_cr_prev.{o}")).otherwise(F.col(o))
                            for o in values})
-    return out.select(*df.columns, *values.keys())
+    return out.drop("_cr_bk", "_cr_rn", "_cr_cbk", "_cr_prev", *pk)
 
 
 def mark_parents(df: DataFrame, *, tail: str, at: str, start: str, end: str,
