@@ -9,7 +9,8 @@ earlier reading, then to the smallest id.
 Exploding the month arrays against every leg costs legs x readings-per-month.
 Instead the readings are unpacked once into *gaps*: consecutive distinct
 reading seconds ``[r_i, r_i+1)`` per (airport, month), clipped to the span of
-leg times that can reach that month. A leg time falls in exactly one gap per
+leg times that can reach that month. Consecutive readings come from the
+bucketed previous-row look-up (no window over a whole airport-month). A leg time falls in exactly one gap per
 candidate month, and the gap ends are the only candidates there. Gaps are
 joined to leg times through hourly bins, so the join is linear and a busy
 airport-month is spread over many tasks. Distinct (airport, time) points are
@@ -18,11 +19,12 @@ resolved once and joined back to the legs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timecols import epoch_seconds, month_key
+from .siblings import previous_values
 
 GAP_BIN_SECONDS = 3600
 
@@ -55,23 +57,23 @@ def observation_gaps(packed: DataFrame, *, airport: str = "airport_str",
     to_ts = "to_timestamp_ntz" if ts_type == "timestamp_ntz" else "to_timestamp"
     start_s = F.unix_timestamp(F.expr(f"{to_ts}(_ym, 'yyyyMM')"))
     end_s = F.unix_timestamp(F.expr(f"{to_ts}(_ym, 'yyyyMM') + INTERVAL 1 MONTH"))
-    w = Window.partitionBy("_ap", "_ym").orderBy("_s")
-    g = (flat.withColumns({"_n_s": F.lead("_s").over(w), "_n_id": F.lead("_id").over(w),
-                           "_first": F.lag("_s").over(w).isNull(),
-                           "_clo": start_s - pad, "_chi": end_s + pad}))
-    gap = F.struct(F.col("_id").alias("p_id"), F.col("_s").alias("p_s"),
-                   F.col("_n_id").alias("n_id"), F.col("_n_s").alias("n_s"))
-    lead_gap = F.struct(F.lit(None).cast("string").alias("p_id"),
-                        F.lit(None).cast("long").alias("p_s"),
-                        F.col("_id").alias("n_id"), F.col("_s").alias("n_s"))
-    g = (g.select("_ap", "_ym", "_clo", "_chi",
-                  F.explode(F.when(F.col("_first"), F.array(lead_gap, gap))
-                            .otherwise(F.array(gap))).alias("_g"))
-         .select("_ap", "_ym",
-                 F.col("_g.p_id").alias("_p_id"), F.col("_g.p_s").alias("_p_s"),
-                 F.col("_g.n_id").alias("_n_id"), F.col("_g.n_s").alias("_n_s"),
-                 F.greatest(F.coalesce("_g.p_s", "_clo"), "_clo").alias("_lo"),
-                 F.least(F.coalesce("_g.n_s", "_chi"), "_chi").alias("_hi"))
+    # gap ending at each reading: (previous reading, this reading); the lag
+    # runs per (airport, month, day bucket) -- a busy airport-month is split
+    lagged = previous_values(flat, partition=["_ap", "_ym"], order=["_s", "_id"], time_col="_s",
+                             values={"_p_s": "_s", "_p_id": "_id"}, time_in_seconds=True)
+    inner = lagged.select("_ap", "_ym", "_p_id", "_p_s", F.col("_id").alias("_n_id"),
+                          F.col("_s").alias("_n_s"))
+    # gap after the last reading of each (airport, month)
+    last = (flat.groupBy("_ap", "_ym")
+            .agg(F.max_by(F.struct("_s", "_id"), "_s").alias("_l"))
+            .select("_ap", "_ym", F.col("_l._id").alias("_p_id"), F.col("_l._s").alias("_p_s"),
+                    F.lit(None).cast("string").alias("_n_id"),
+                    F.lit(None).cast("long").alias("_n_s")))
+    g = (inner.unionByName(last)
+         .withColumns({"_clo": start_s - pad, "_chi": end_s + pad}))
+    g = (g.select("_ap", "_ym", "_p_id", "_p_s", "_n_id", "_n_s",
+                  F.greatest(F.coalesce("_p_s", "_clo"), "_clo").alias("_lo"),
+                  F.least(F.coalesce("_n_s", "_chi"), "_chi").alias("_hi"))
          .where(F.col("_lo") < F.col("_hi")))
     b = F.lit(bin_seconds)
     return g.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_lo") / b).cast("long"),

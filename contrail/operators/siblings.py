@@ -20,10 +20,12 @@ _MIN_LONG = -(2**63)
 
 def previous_values(df: DataFrame, *, partition: Sequence[str], order: Sequence[str],
                     time_col: str, values: dict[str, str],
-                    bucket_seconds: int = LAG_BUCKET_SECONDS) -> DataFrame:
+                    bucket_seconds: int = LAG_BUCKET_SECONDS,
+                    time_in_seconds: bool = False) -> DataFrame:
     """Adds ``out = lag(src)`` for each ``out: src`` in ``values``, over
     ``partition`` ordered by ``order`` (ascending, NULLs first) whose first
-    element is the timestamp ``time_col``.
+    element is ``time_col`` (a timestamp, or epoch seconds when
+    ``time_in_seconds``).
 
     Same result as one ``lag`` window, but the window runs per (partition,
     time bucket): one busy aircraft no longer lands in a single task. The
@@ -32,8 +34,8 @@ def previous_values(df: DataFrame, *, partition: Sequence[str], order: Sequence[
     """
     if order[0] != time_col:
         raise ValueError("order must start with time_col")
-    bk = F.coalesce(F.floor(epoch_seconds(time_col) / F.lit(bucket_seconds)).cast("long"),
-                    F.lit(_MIN_LONG))
+    secs = F.col(time_col) if time_in_seconds else epoch_seconds(time_col)
+    bk = F.coalesce(F.floor(secs / F.lit(bucket_seconds)).cast("long"), F.lit(_MIN_LONG))
     d = df.withColumn("_cr_bk", bk)
     w = Window.partitionBy(*partition, "_cr_bk").orderBy(*order)
     d = d.withColumns({"_cr_rn": F.row_number().over(w),
