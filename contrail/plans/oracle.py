@@ -340,10 +340,11 @@ FROM orders WHERE CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) > 200008
 }
 
 
-def _end_to_end() -> str:
+def _end_to_end(where: str = "") -> str:
     from .common_flight import OUTPUT_COLUMNS
     from .oracle_e2e import end_to_end_sql
-    return end_to_end_sql(OUTPUT_COLUMNS)
+    return end_to_end_sql(OUTPUT_COLUMNS, where)
 
 
 SQL["q29"] = _end_to_end()
+SQL["q30"] = _end_to_end("CAST(strftime(best_datetime, '%Y%m') AS INTEGER) >= 202312")

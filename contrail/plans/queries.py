@@ -20,10 +20,11 @@ from ..functions import (composite_id, engine_fit_string, month_key_int, normali
 from ..session import scratch_path
 from ..sources import adapter, roles, sink
 from ..sources.tables import Tables
-from .common_flight import build_common_flight
+from .common_flight import build_common_flight, build_trailing
 
 AS_OF = dt.date(2001, 8, 1)
 CREATED_AT = dt.datetime(2024, 2, 1, 0, 0, 0)
+TRAILING_AS_OF = dt.date(2024, 12, 20)
 LEG_ORDER = ["start_ts", "pos", "leg_id"]
 
 
@@ -312,8 +313,19 @@ def q29(spark: SparkSession, sf: str) -> DataFrame:
         "matched_adi_flight_rec_nos": _ids_text("matched_adi_flight_rec_nos")})
 
 
+def q30(spark: SparkSession, sf: str) -> DataFrame:
+    """Trailing twelve-month build (as of 2024-12-20: months >= 202312), with
+    the hash-stable values of q29."""
+    t = Tables(spark, sf)
+    out = build_trailing(adapter.common_flight_inputs(t), adapter.FAMILY, CREATED_AT,
+                         as_of=TRAILING_AS_OF)
+    return out.withColumns({
+        "great_circle_distance": F.round("great_circle_distance", 3),
+        "matched_adi_flight_rec_nos": _ids_text("matched_adi_flight_rec_nos")})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f"q{n:02d}": fn for n, fn in enumerate(
         [q01, q02, q03, q04, q05, q06, q07, q08, q09, q10, q11, q12, q13, q14, q15, q16, q17,
-         q18, q19, q20, q21, q22, q23, q24, q25, q26, q27, q28, q29], start=1)
+         q18, q19, q20, q21, q22, q23, q24, q25, q26, q27, q28, q29, q30], start=1)
 }
