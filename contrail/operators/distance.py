@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_RADIUS_MILES, great_circle_distance
+from .ranges import left_join
 
 
 def airport_pair_distances(legs: DataFrame, airports: DataFrame, *, dep: str, arr: str,
@@ -42,6 +43,5 @@ def attach_distance(legs: DataFrame, airports: DataFrame, *, dep: str, arr: str,
     dist = airport_pair_distances(legs, airports, dep=dep, arr=arr, code=code, lat=lat,
                                   lon=lon, out=out, radius=radius)
     dist = dist.withColumnsRenamed({dep: "_g_dep", arr: "_g_arr"})
-    out_df = legs.join(dist, on=[legs[dep] == dist["_g_dep"], legs[arr] == dist["_g_arr"]],
-                       how="left")
+    out_df = left_join(legs, dist, [(dep, "_g_dep"), (arr, "_g_arr")])
     return out_df.drop("_g_dep", "_g_arr")

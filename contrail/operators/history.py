@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_seconds
+from .ranges import left_join
 
 # Default bucket for the two-level running maximum (30 days).
 HISTORY_BUCKET_SECONDS = 30 * 24 * 3600
@@ -68,7 +69,5 @@ def prior_events_max(legs: DataFrame, events: DataFrame, *, key: str, at: str,
            .select(F.col("_k").alias("_rk"), F.col("_at").alias("_rat"),
                    *[F.greatest(f"_i{n}", f"_p{n}").alias(out)
                      for n, out in enumerate(cols)]))
-    cond = [legs[key] == res["_rk"], legs[at] == res["_rat"]]
-    if require is not None:
-        cond.append(legs[require].isNotNull())
-    return legs.join(res, on=cond, how="left").drop("_rk", "_rat")
+    extra = [F.col(require).isNotNull()] if require is not None else []
+    return left_join(legs, res, [(key, "_rk"), (at, "_rat")], extra).drop("_rk", "_rat")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranges import _pairs, binned_range_join
+from .ranges import _pairs, binned_range_join, left_join
 
 # Default bin width for validity timelines (30 days): timelines are few and
 # long, legs are many and short.
@@ -36,12 +36,10 @@ def dated_lookup(legs: DataFrame, dated: DataFrame, undated: DataFrame, *, code:
     u_sel += [F.col(src).alias(f"_u_{n}") for n, src in enumerate(ids.values())]
     u = undated.select(*u_sel)
     hit_n = list(ids.values()).index(hit)
-    cond = [legs[code] == d["_d_code"], legs[day] == d["_d_day"]]
-    if code_len is not None:
-        cond.append(F.length(legs[code]) == code_len)
-    step = legs.join(d, on=cond, how="left").drop("_d_code", "_d_day")
-    step = step.join(u, on=[step[code] == u["_u_code"], F.col(f"_d_{hit_n}").isNull()],
-                     how="left")
+    extra = [F.length(F.col(code)) == code_len] if code_len is not None else []
+    step = left_join(legs, d, [(code, "_d_code"), (day, "_d_day")], extra) \
+        .drop("_d_code", "_d_day")
+    step = left_join(step, u, [(code, "_u_code")], [F.col(f"_d_{hit_n}").isNull()])
     outs = {}
     for n, out in enumerate(ids):
         outs[out] = F.when(F.col(f"_d_{hit_n}").isNotNull(), F.col(f"_d_{n}")) \

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timecols import epoch_seconds, shift
-from .ranges import _pairs, binned_range_join
+from .ranges import _pairs, binned_range_join, left_join
 
 _LO, _HI, _AT, _PT = "_cr_lo", "_cr_hi", "_cr_at", "_cr_pt"
 
@@ -58,8 +58,8 @@ def interval_match(legs: DataFrame, recs: DataFrame, *, leg_id: str,
            .agg(F.max(rec_id).alias(chosen),
                 *[F.max(c).alias(o) for o, c in maxima.items()],
                 F.array_sort(F.collect_list(rec_id)).alias(ids_out))
-           .withColumnRenamed("_cr_leg", leg_id))
-    out = legs.join(agg, on=leg_id, how="left")
+           )
+    out = left_join(legs, agg, [(leg_id, "_cr_leg")]).drop("_cr_leg")
     out = out.withColumn(ids_out, F.coalesce(F.col(ids_out),
                                              F.array().cast(T.ArrayType(id_type))))
     if count_out:

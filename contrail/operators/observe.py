@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timecols import epoch_seconds, month_key
+from .ranges import left_join
 from .siblings import previous_values
 
 GAP_BIN_SECONDS = 3600
@@ -118,6 +119,5 @@ def nearest_observation(legs: DataFrame, gaps: DataFrame, *, airport: str, at: s
     best = nearest_observation_table(legs, gaps, airport=airport, at=at, out=out,
                                      pad_hours=pad_hours, bin_seconds=bin_seconds)
     best = best.withColumnsRenamed({airport: "_w_ap", at: "_w_at"})
-    joined = legs.join(best, on=[legs[airport] == best["_w_ap"], legs[at] == best["_w_at"]],
-                       how="left")
+    joined = left_join(legs, best, [(airport, "_w_ap"), (at, "_w_at")])
     return joined.drop("_w_ap", "_w_at")

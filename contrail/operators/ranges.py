@@ -29,6 +29,48 @@ from ..functions.timecols import col_of, epoch_seconds
 
 BIN = "_cr_bin"
 
+# Rows of the preserved side whose join key has a NULL can never match; they
+# are spread over this many salt values instead of all hashing to the one
+# partition that a NULL key lands in.
+NULL_SPREAD = 256
+_NS_L, _NS_R = "_cr_nsl", "_cr_nsr"
+
+
+def null_salt(df: DataFrame, key_cols: Sequence[Column | str], spread: int = NULL_SPREAD
+              ) -> Column:
+    """0 for rows whose key columns are all non-NULL, else a deterministic
+    hash of the row modulo ``spread`` (retries rebuild the same value)."""
+    any_null = None
+    for c in key_cols:
+        e = col_of(c).isNull()
+        any_null = e if any_null is None else (any_null | e)
+    row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
+    return F.when(any_null, row_hash).otherwise(F.lit(0))
+
+
+def left_join(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]],
+              extra: Sequence[Column] = ()) -> DataFrame:
+    """``left`` LEFT JOIN ``right`` on ``left[a] == right[b]`` for each
+    ``(a, b)`` in ``keys`` plus the ``extra`` conditions.
+
+    Left rows with a NULL key can never match, but plain hash partitioning
+    sends all of them to the one partition of the NULL key. They are salted
+    here (the salt is one more equi-key) so they spread over many
+    partitions; matching is unchanged. The right side's salt is 0, or -1 for
+    its own NULL-key rows (which match nothing either) -- a non-constant
+    expression, so the optimizer keeps it as a shuffle key.
+    """
+    lk = [a for a, _ in keys]
+    rk_null = None
+    for _, b in keys:
+        e = F.col(b).isNull()
+        rk_null = e if rk_null is None else (rk_null | e)
+    l = left.withColumn(_NS_L, null_salt(left, lk))
+    r = right.withColumn(_NS_R, F.when(rk_null, F.lit(-1)).otherwise(F.lit(0)))
+    cond = [F.col(a) == F.col(b) for a, b in keys] + list(extra)
+    cond.append(F.col(_NS_L) == F.col(_NS_R))
+    return l.join(r, on=cond, how="left").drop(_NS_L, _NS_R)
+
 
 def bin_of(ts: Column | str, bin_seconds: int) -> Column:
     """Bin number of a timestamp (monotone in ``ts``; NULL stays NULL).
@@ -74,7 +116,10 @@ def binned_range_join(points: DataFrame, intervals: DataFrame,
     pt = F.col(point_ts)
     cond.append(pt >= F.col(lo))
     cond.append(pt <= F.col(hi) if hi_inclusive else pt < F.col(hi))
-    joined = p.join(i, on=cond, how=how)
+    if how == "left":
+        joined = left_join(p, i, [(a, ik[b]) for a, b in pairs] + [(BIN, "_cr_ibin")], cond)
+    else:
+        joined = p.join(i, on=cond, how=how)
     return joined.drop(BIN, "_cr_ibin", *[k for b, k in ik.items() if b != k])
 
 
@@ -87,4 +132,5 @@ def key_condition(left: DataFrame, right: DataFrame, keys: Sequence[str | tuple[
     return cond
 
 
-__all__ = ["BIN", "bin_of", "bins_between", "binned_range_join", "key_condition", "col_of"]
+__all__ = ["BIN", "NULL_SPREAD", "bin_of", "bins_between", "binned_range_join", "col_of",
+           "key_condition", "left_join", "null_salt"]

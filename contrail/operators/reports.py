@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import report_nkey
+from .ranges import left_join
 
 # Report types kept by the message roster.
 REPORT_TYPES = ["Engine Start", "TakeOff", "Climb", "Cruise", "PostFlight", "Post Flight Summary"]
@@ -29,7 +30,7 @@ def attach_reports(legs: DataFrame, reports: DataFrame, *, leg_id: str, report_i
     ``(leg column, report column)``: the leg value, else the report's. The
     report id column, the fallback report columns and ``drop`` are removed."""
     fallbacks = dict(fallbacks or {})
-    out = legs.join(reports, on=legs[leg_id] == reports[report_id], how="left")
+    out = left_join(legs, reports, [(leg_id, report_id)])
     out = out.withColumns({name: F.coalesce(F.col(a), F.col(b))
                            for name, (a, b) in fallbacks.items()})
     gone = {report_id, *drop, *[b for _, b in fallbacks.values()]}

@@ -121,3 +121,22 @@ def test_child_in_two_parents_fans_out(spark):
     p1, p3 = ts("2024-01-01 10:00:00"), ts("2024-01-01 11:00:00")
     assert got == [(1, p1, (1, 2, 4)), (2, p1, (1, 2, 4)), (3, p3, (3, 4)),
                    (4, p1, (1, 2, 4)), (4, p3, (3, 4))]
+
+
+def test_null_keys_are_salted_in_left_joins(spark):
+    from contrail.operators.ranges import left_join, null_salt
+    left = frame(spark, "id long, k string", [(i, None if i % 2 else "a") for i in range(200)])
+    right = frame(spark, "rk string, v int", [("a", 1)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = left_join(left, right, [("k", "rk")])
+        keys = _exchange_keys(_plan(out))
+        assert any("_cr_nsl" in k for k in keys), keys
+        rows = out.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(rows) == 200
+    assert sorted((r.id, r.v) for r in rows) == [(i, None if i % 2 else 1) for i in range(200)]
+    # NULL-key rows are spread over many salt values, not one
+    salts = left.where("k IS NULL").select(null_salt(left, ["k"]).alias("s"))
+    assert salts.distinct().count() > 20
