@@ -44,7 +44,8 @@ def null_salt(df: DataFrame, key_cols: Sequence[Column | str], spread: int = NUL
     for c in key_cols:
         e = col_of(c).isNull()
         any_null = e if any_null is None else (any_null | e)
-    row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
+    # xxhash64(*) expands to every column on the JVM side (one expression)
+    row_hash = F.pmod(F.expr("xxhash64(*)"), F.lit(spread))
     return F.when(any_null, row_hash).otherwise(F.lit(0))
 
 

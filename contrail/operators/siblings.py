@@ -107,7 +107,7 @@ def group_siblings(marked: DataFrame, *, tail: str, at: str, start: str, end: st
     # rows without a key get no array; spread them over many window partitions
     # (by a row hash, deterministic) instead of one partition per aircraft
     rows = rows.withColumn("_cr_spread", F.when(F.col(parent_key).isNull(),
-                                                F.xxhash64(*[F.col(c) for c in rows.columns])))
+                                                F.expr("xxhash64(*)")))
     w = Window.partitionBy(tail, parent_key, "_cr_spread")
     srt = F.struct(*[F.col(c) for c in order], F.col(id_col).alias("_cr_id"))
     ids = F.transform(F.array_sort(F.filter(F.collect_list(srt).over(w),

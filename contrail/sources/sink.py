@@ -38,8 +38,8 @@ def spread_by_month(df: DataFrame, month: str, files_per_month: int | None = FIL
     ``files_per_month`` ways. ``None`` keeps the incoming partitioning."""
     if not files_per_month:
         return df
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_month))
-    return df.repartition(F.col(month), salt)
+    salted = df.withColumn("_cr_salt", F.pmod(F.expr("xxhash64(*)"), F.lit(files_per_month)))
+    return salted.repartition(F.col(month), F.col("_cr_salt")).drop("_cr_salt")
 
 
 def write_full(df: DataFrame, path: str, month: str,
