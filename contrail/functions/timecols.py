@@ -17,6 +17,12 @@ def col_of(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ts_type_of(df, col: str) -> str:
+    """SQL name of a timestamp column's type: 'timestamp_ntz' or 'timestamp'."""
+    return "timestamp_ntz" if df.schema[col].dataType.typeName() == "timestamp_ntz" \
+        else "timestamp"
+
+
 def epoch_seconds(ts: Column | str) -> Column:
     """Whole seconds since the epoch (the unit the nearest-match rules use)."""
     return F.unix_timestamp(col_of(ts))

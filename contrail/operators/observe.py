@@ -21,7 +21,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.timecols import epoch_seconds, month_key
 from .ranges import left_join
@@ -30,10 +29,6 @@ from .siblings import previous_values
 GAP_BIN_SECONDS = 3600
 
 
-def _ts_type(df: DataFrame, col: str) -> str:
-    return "timestamp_ntz" if isinstance(df.schema[col].dataType, T.TimestampNTZType) else "timestamp"
-
-
 def observation_gaps(packed: DataFrame, *, airport: str = "airport_str",
                      month: str = "metar_year_month", readings: str = "metar_arr",
                      sep: str = "@", pad_hours: int = 5, ts_type: str = "timestamp_ntz",

@@ -124,14 +124,5 @@ def binned_range_join(points: DataFrame, intervals: DataFrame,
     return joined.drop(BIN, "_cr_ibin", *[k for b, k in ik.items() if b != k])
 
 
-def key_condition(left: DataFrame, right: DataFrame, keys: Sequence[str | tuple[str, str]],
-                  null_safe: bool = False) -> Column:
-    cond = None
-    for a, b in _pairs(keys):
-        c = left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b]
-        cond = c if cond is None else cond & c
-    return cond
-
-
-__all__ = ["BIN", "NULL_SPREAD", "bin_of", "bins_between", "binned_range_join", "col_of",
-           "key_condition", "left_join", "null_salt"]
+__all__ = ["BIN", "NULL_SPREAD", "bin_of", "bins_between", "binned_range_join", "left_join",
+           "null_salt"]

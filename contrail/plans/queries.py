@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..functions import (composite_id, engine_fit_string, month_key_int, normalize_id,
                          position_label, present_flag, quality_flags, report_nkey, shift)
+from ..functions.timecols import ts_type_of
 from ..session import scratch_path
 from ..sources import adapter, roles, sink
 from ..sources.tables import Tables
@@ -156,7 +157,7 @@ def q09(spark: SparkSession, sf: str) -> DataFrame:
 def q10(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     legs = roles.legs(t)
-    gaps = op.observation_gaps(roles.wx(t))
+    gaps = op.observation_gaps(roles.wx(t), ts_type=ts_type_of(legs, "start_ts"))
     out = op.nearest_observation(legs, gaps, airport="dep", at="start_ts", out="metar_id_depart")
     out = op.nearest_observation(out, gaps, airport="arr", at="end_ts",
                                  out="metar_id_destination")

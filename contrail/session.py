@@ -25,18 +25,6 @@ def shared_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the session's checkpoint folder; set ``fallback`` only when the
-    session names none (local runs and tests)."""
-    d = shared_dir(spark)
-    if d is None:
-        spark.sparkContext.setCheckpointDir(fallback)
-        d = spark.sparkContext.getCheckpointDir() or fallback
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for job output that must survive
     executor loss."""
