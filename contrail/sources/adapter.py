@@ -81,7 +81,7 @@ def ffd(t: Tables) -> DataFrame:
         F.concat(F.lit("ET"), _s(k % 3)).alias("ffd_engine_type"),
         F.timestamp_add("DAY", k, _ts("2020-01-02 00:00:00")).alias("ffd_install_date"),
         F.col("rec_dep").alias("ffd_depart_icao"),
-        airport_code((rid + 11) % 25).alias("ffd_arrival_icao"))
+        airport_code("(rec_id + 11) % 25").alias("ffd_arrival_icao"))
 
 
 def fa(t: Tables) -> DataFrame:
@@ -103,7 +103,7 @@ def fa(t: Tables) -> DataFrame:
         F.col("obs_ts").alias("estimated_depart_time_utc"),
         F.timestamp_add("HOUR", F.lit(2), F.col("obs_ts")).alias("estimated_dest_time_utc"),
         F.col("obs_dep").alias("faware_depart"),
-        airport_code((oid + 5) % 25).alias("faware_destination"),
+        airport_code("(obs_id + 5) % 25").alias("faware_destination"),
         F.lit(None).cast("timestamp_ntz").alias("timeline_begin_date"),
         F.lit(None).cast("timestamp_ntz").alias("timeline_end_date"),
         F.when(oid % 2 == 0, F.lit(FAMILY)).alias("engine_family_mdm"),

@@ -22,8 +22,12 @@ PARAM_REPORT_TYPES = ["Engine Start", "TakeOff", "Climb", "Cruise", "PostFlight"
                       "Post Flight Summary", "Ground Run", "Maintenance"]
 
 
-def airport_code(n: Column) -> Column:
-    """Codes 0..19 -> 'K000'..'K019' (4 characters); others -> 'X<n>'."""
+def airport_code(n: Column | str) -> Column:
+    """Codes 0..19 -> 'K000'..'K019' (4 characters); others -> 'X<n>'.
+    ``n`` may be a SQL expression string (one JVM-side parse)."""
+    if isinstance(n, str):
+        return F.expr(f"CASE WHEN ({n}) < 20 THEN concat('K', lpad(CAST(({n}) AS STRING), 3, '0')) "
+                      f"ELSE concat('X', CAST(({n}) AS STRING)) END")
     return F.when(n < 20, F.concat(F.lit("K"), F.lpad(n.cast("string"), 3, "0"))) \
             .otherwise(F.concat(F.lit("X"), n.cast("string")))
 
@@ -48,8 +52,8 @@ def legs(t: Tables) -> DataFrame:
         (e % 4 + 1).alias("pos"),
         F.col("ts").alias("start_ts"),
         F.timestamp_add("SECOND", F.floor(F.col("value") * 1800), F.col("ts")).alias("end_ts"),
-        airport_code(u % 25).alias("dep"),
-        airport_code((u * 7 + e) % 25).alias("arr"),
+        airport_code("user_id % 25").alias("dep"),
+        airport_code("(user_id * 7 + event_id) % 25").alias("arr"),
         (e % 3 + 2).alias("n_eng"),
         *[_esn(k).alias(f"esn_{k}") for k in range(1, 5)],
     )
@@ -60,7 +64,7 @@ def recs(t: Tables) -> DataFrame:
     e = F.col("event_id")
     return _events(t, "view").select(
         e.alias("rec_id"), F.col("user_id").alias("key"), F.col("ts").alias("rec_ts"),
-        F.when(e % 4 == 0, F.lit(None).cast("string")).otherwise(airport_code(e % 25))
+        F.when(e % 4 == 0, F.lit(None).cast("string")).otherwise(airport_code("event_id % 25"))
         .alias("rec_dep"))
 
 
@@ -69,7 +73,7 @@ def obs(t: Tables) -> DataFrame:
     e = F.col("event_id")
     return _events(t, "click").select(
         e.alias("obs_id"), F.col("user_id").alias("key"), F.col("ts").alias("obs_ts"),
-        airport_code(e % 25).alias("obs_dep"))
+        airport_code("event_id % 25").alias("obs_dep"))
 
 
 def wx(t: Tables) -> DataFrame:
@@ -77,7 +81,7 @@ def wx(t: Tables) -> DataFrame:
     reading = F.concat(F.col("event_id").cast("string"), F.lit("@"),
                        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     return (_events(t, "error")
-            .groupBy(airport_code(F.col("user_id") % 25).alias("airport_str"),
+            .groupBy(airport_code("user_id % 25").alias("airport_str"),
                      F.date_format("ts", "yyyyMM").alias("metar_year_month"))
             .agg(F.collect_list(reading).alias("metar_arr")))
 
@@ -85,7 +89,7 @@ def wx(t: Tables) -> DataFrame:
 def airports(t: Tables) -> DataFrame:
     """Airport coordinates (radians) from nation."""
     n = F.col("n_nationkey")
-    return t.nation.select(airport_code(n).alias("airport_code"),
+    return t.nation.select(airport_code("n_nationkey").alias("airport_code"),
                            F.radians(n * 7 - 84).alias("latitude_rad"),
                            F.radians(n * 14 - 168).alias("longitude_rad"))
 
@@ -94,7 +98,7 @@ def env_dated(t: Tables) -> DataFrame:
     """Dated environment ids per (airport, day): even signup events."""
     lo, hi = F.min("event_id"), F.max("event_id")
     return (_events(t, "signup").where(F.col("event_id") % 2 == 0)
-            .groupBy(airport_code(F.col("user_id") % 25).alias("icao_code"),
+            .groupBy(airport_code("user_id % 25").alias("icao_code"),
                      F.col("ts").cast("date").alias("nrl_date_year"))
             .agg(lo.alias("env_airport_id"),
                  F.concat(F.lit("V6-"), lo.cast("string")).alias("env_6x_id"),
@@ -107,7 +111,7 @@ def env_undated(t: Tables) -> DataFrame:
     """Undated environment ids per airport (airport codes 0..19 only)."""
     lo, hi = F.min("event_id"), F.max("event_id")
     return (_events(t, "signup").where(F.col("user_id") % 25 < 20)
-            .groupBy(airport_code(F.col("user_id") % 25).alias("icao_code"))
+            .groupBy(airport_code("user_id % 25").alias("icao_code"))
             .agg(lo.alias("env_airport_id"),
                  F.concat(F.lit("U6-"), lo.cast("string")).alias("env_6x_id"),
                  F.concat(F.lit("U5-"), hi.cast("string")).alias("env_5x_id"),
@@ -139,7 +143,8 @@ def reports(t: Tables) -> DataFrame:
     e = F.col("event_id")
     return _events(t, "purchase").where(e % 3 == 0).select(
         e.alias("report_def_id"), F.concat(F.lit("R"), e.cast("string")).alias("report_id"),
-        airport_code(e % 25).alias("rmd_dep"), airport_code((e + 3) % 25).alias("rmd_arr"))
+        airport_code("event_id % 25").alias("rmd_dep"),
+        airport_code("(event_id + 3) % 25").alias("rmd_arr"))
 
 
 def _family(u: Column) -> Column:
@@ -160,8 +165,8 @@ def rmd_flights(t: Tables) -> DataFrame:
         e.alias("rmd_flight_def_id"),
         F.concat(F.lit("E"), u.cast("string")).alias("serlzd_eng_ser_num"),
         (e % 4 + 1).alias("engine_position"),
-        airport_code(u % 25).alias("airport_depart"),
-        airport_code((u * 7 + e) % 25).alias("airport_dest"),
+        airport_code("user_id % 25").alias("airport_depart"),
+        airport_code("(user_id * 7 + event_id) % 25").alias("airport_dest"),
         _family(u).alias("family"))
 
 
