@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import re
 
 from conftest import frame, ts
@@ -140,3 +141,32 @@ def test_null_keys_are_salted_in_left_joins(spark):
     # NULL-key rows are spread over many salt values, not one
     salts = left.where("k IS NULL").select(null_salt(left, ["k"]).alias("s"))
     assert salts.distinct().count() > 20
+
+
+def test_publish_full_then_trailing(spark):
+    from contrail.plans.common_flight import (MONTH, build_common_flight, build_trailing,
+                                              publish_full, publish_trailing)
+    from contrail.session import scratch_path
+    inp = adapter.common_flight_inputs(Tables(spark, SF))
+    created = dt.datetime(2024, 2, 1)
+    full = build_common_flight(inp, "GENX", created)
+    path = scratch_path(spark, "test-publish")
+    publish_full(full, path, table="contrail_test_cf")
+    n_full = spark.table("contrail_test_cf").count()
+    assert n_full == full.count() > 0
+    # window starting after the data: older months are left untouched
+    later = build_trailing(inp, "GENX", created, as_of=dt.date(2025, 6, 1))
+    assert publish_trailing(later, path, as_of=dt.date(2025, 6, 1)) == []
+    assert spark.read.parquet(path).count() == n_full
+    # window covering the data: the month is rewritten with the same rows
+    again = build_trailing(inp, "GENX", created, as_of=dt.date(2024, 12, 1))
+    assert publish_trailing(again, path, as_of=dt.date(2024, 12, 1),
+                            table="contrail_test_cf") == []
+    back = spark.table("contrail_test_cf")
+    assert back.count() == n_full
+    assert set(back.columns) == set(full.columns)
+    assert {r[0] for r in back.select(MONTH).distinct().collect()} == {202401}
+    # no new rows for a month inside the window: the month is deleted
+    assert publish_trailing(again.where("false"), path, as_of=dt.date(2024, 12, 1)) == [202401]
+    local = path[len("file:"):] if path.startswith("file:") else path
+    assert not [d for d in os.listdir(local) if d.startswith(MONTH + "=")]
