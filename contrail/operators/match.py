@@ -80,7 +80,7 @@ def unmatched_records(recs: DataFrame, matched: DataFrame, *, rec_keys: Sequence
         raise ValueError("matched_keys must pair with rec_keys[1:]")
     seen = matched.select(F.explode(ids_col).alias(rec_keys[0]),
                           *[F.col(m).alias(r) for m, r in zip(matched_keys, rec_keys[1:])])
-    return recs.select(*rec_keys).distinct().subtract(seen)
+    return recs.select(*rec_keys).subtract(seen)
 
 
 def append_unmatched(matched: DataFrame, unmatched: DataFrame, *, rec_id: str,
