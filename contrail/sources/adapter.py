@@ -2,16 +2,16 @@
 
 Every input is a projection of a role frame (and so of a driver table).
 Tail, ESN and position are filled so that the legs of one user share a tail
-and its four engine serial numbers are ``E<user>-<position>``.
+and its four engine serial numbers are ``E<user>-<position>``. Projections are
+written as SQL expressions (``selectExpr``): one JVM-side parse per column.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from . import roles
-from .roles import airport_code
+from .roles import airport_code_sql
 from .tables import Tables
 
 FAMILY = "GENX"
@@ -21,135 +21,117 @@ REPORT_KINDS = ["es", "to", "cl", "cr1", "pf", "sp"]
 SEDI_COLUMNS = ["sedi_etsn", "sedi_ecsn", "sedi_etsv", "sedi_ecsv", "sedi_etsi", "sedi_ecsi"]
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+def _s(x: str) -> str:
+    return f"CAST({x} AS STRING)"
 
 
-def _esn(user: Column, pos: Column) -> Column:
-    return F.concat(F.lit("E"), _s(user), F.lit("-"), _s(pos))
+def _esn(user: str, pos: str) -> str:
+    return f"concat('E', {_s(user)}, '-', {_s(pos)})"
 
 
-def _ts(text: str) -> Column:
-    return F.expr(f"TIMESTAMP_NTZ'{text}'")
+def _day(start: str, days: str) -> str:
+    return f"timestampadd(DAY, {days}, TIMESTAMP_NTZ'{start} 00:00:00')"
 
 
 def phm(t: Tables) -> DataFrame:
-    leg = roles.legs(t)
-    k, lid = F.col("key"), F.col("leg_id")
-    return leg.select(
-        F.lit(FAMILY).alias("engine_family"), lid.alias("phm_flight_def_id"),
-        F.concat(F.lit("C"), _s(k % 10)).alias("src_icao_cd"),
-        _esn(k, F.col("pos")).alias("serlzd_eng_ser_num"),
-        F.concat(F.lit("AT"), _s(k % 5)).alias("aircraft_type"),
-        F.when(lid % 6 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("ET"), _s(k % 3))).alias("engine_type"),
-        F.col("pos").cast("int").alias("engine_position"),
-        F.concat(F.lit(" t-"), _s(k), F.lit(" ")).alias("src_tl_num"),
-        F.timestamp_add("DAY", k, _ts("2020-01-01 00:00:00")).alias("install_datetime"),
-        F.when(k % 5 == 0, _ts("2025-01-01 00:00:00")).alias("removal_datetime"),
-        F.col("start_ts").alias("flight_start_time"), F.col("end_ts").alias("flight_end_time"),
-        F.when(lid % 9 == 0, F.lit(None).cast("string")).otherwise(F.col("dep"))
-        .alias("cleansed_airport_depart_icao"),
-        F.col("arr").alias("cleansed_airport_destination_icao"),
-        F.substring("dep", 2, 3).alias("cleansed_airport_depart_iata"),
-        F.substring("arr", 2, 3).alias("cleansed_airport_destination_iata"),
-        F.col("start_ts").alias("best_datetime"),
-        F.concat(F.lit("ST"), _s(lid)).alias("phm_st_id"),
-        F.col("start_ts").alias("phm_st_date_time"),
-        F.concat(F.lit("MF"), _s(lid)).alias("master_flght_id"),
-        F.col("n_eng").cast("int").alias("no_of_engs"))
+    return roles.legs(t).selectExpr(
+        f"'{FAMILY}' AS engine_family", "leg_id AS phm_flight_def_id",
+        f"concat('C', {_s('key % 10')}) AS src_icao_cd",
+        f"{_esn('key', 'pos')} AS serlzd_eng_ser_num",
+        f"concat('AT', {_s('key % 5')}) AS aircraft_type",
+        f"CASE WHEN leg_id % 6 = 0 THEN NULL ELSE concat('ET', {_s('key % 3')}) END AS engine_type",
+        "CAST(pos AS INT) AS engine_position",
+        f"concat(' t-', {_s('key')}, ' ') AS src_tl_num",
+        f"{_day('2020-01-01', 'key')} AS install_datetime",
+        "CASE WHEN key % 5 = 0 THEN TIMESTAMP_NTZ'2025-01-01 00:00:00' END AS removal_datetime",
+        "start_ts AS flight_start_time", "end_ts AS flight_end_time",
+        "CASE WHEN leg_id % 9 = 0 THEN NULL ELSE dep END AS cleansed_airport_depart_icao",
+        "arr AS cleansed_airport_destination_icao",
+        "substring(dep, 2, 3) AS cleansed_airport_depart_iata",
+        "substring(arr, 2, 3) AS cleansed_airport_destination_iata",
+        "start_ts AS best_datetime", f"concat('ST', {_s('leg_id')}) AS phm_st_id",
+        "start_ts AS phm_st_date_time", f"concat('MF', {_s('leg_id')}) AS master_flght_id",
+        "CAST(n_eng AS INT) AS no_of_engs")
 
 
 def aircraft_types(t: Tables) -> DataFrame:
-    n = F.col("n_nationkey")
-    return (t.nation.where(n < 4)
-            .select(F.concat(F.lit("AT"), _s(n)).alias("aircrft_typ_cd"),
-                    F.concat(F.lit("FAM"), _s(n % 2)).alias("vld_arfrmr_nm")))
+    return t.nation.where("n_nationkey < 4").selectExpr(
+        f"concat('AT', {_s('n_nationkey')}) AS aircrft_typ_cd",
+        f"concat('FAM', {_s('n_nationkey % 2')}) AS vld_arfrmr_nm")
 
 
 def ffd(t: Tables) -> DataFrame:
-    r = roles.recs(t)
-    k, rid = F.col("key"), F.col("rec_id")
-    pos = (rid % 4 + 1).cast("int")
-    return r.select(
-        F.lit(FAMILY).alias("ffd_engine_family"), _esn(k, pos).alias("ffd_esn"),
-        pos.alias("ffd_engine_position"), F.concat(F.lit("T"), _s(k)).alias("ffd_tail_number"),
-        F.col("rec_ts").alias("flight_date_exact"), rid.alias("adi_flight_record_number"),
-        F.concat(F.lit("FK"), _s(rid)).alias("flight_key_no"),
-        F.concat(F.lit("C"), _s(k % 10)).alias("ffd_icao_cd"),
-        F.concat(F.lit("AT"), _s(k % 5)).alias("ffd_aircraft_type"),
-        F.concat(F.lit("ET"), _s(k % 3)).alias("ffd_engine_type"),
-        F.timestamp_add("DAY", k, _ts("2020-01-02 00:00:00")).alias("ffd_install_date"),
-        F.col("rec_dep").alias("ffd_depart_icao"),
-        airport_code("(rec_id + 11) % 25").alias("ffd_arrival_icao"))
+    return roles.recs(t).selectExpr(
+        f"'{FAMILY}' AS ffd_engine_family", f"{_esn('key', 'rec_id % 4 + 1')} AS ffd_esn",
+        "CAST(rec_id % 4 + 1 AS INT) AS ffd_engine_position",
+        f"concat('T', {_s('key')}) AS ffd_tail_number", "rec_ts AS flight_date_exact",
+        "rec_id AS adi_flight_record_number", f"concat('FK', {_s('rec_id')}) AS flight_key_no",
+        f"concat('C', {_s('key % 10')}) AS ffd_icao_cd",
+        f"concat('AT', {_s('key % 5')}) AS ffd_aircraft_type",
+        f"concat('ET', {_s('key % 3')}) AS ffd_engine_type",
+        f"{_day('2020-01-02', 'key')} AS ffd_install_date", "rec_dep AS ffd_depart_icao",
+        f"{airport_code_sql('(rec_id + 11) % 25')} AS ffd_arrival_icao")
 
 
 def fa(t: Tables) -> DataFrame:
-    o = roles.obs(t)
-    k, oid = F.col("key"), F.col("obs_id")
-    pos = (oid % 4 + 1).cast("int")
-    none_s = F.lit(None).cast("string")
-    return o.select(
-        F.lit(FAMILY).alias("fa_engine_family"), F.concat(F.lit("T"), _s(k)).alias("fa_tail_number"),
-        _esn(k, pos).alias("fa_esn"), pos.alias("fa_eng_position"),
-        F.col("obs_ts").alias("faware_dt"), oid.alias("internal_id"),
-        F.concat(F.lit("FA"), _s(oid)).alias("faware_id"),
-        F.concat(F.lit("C"), _s(k % 10)).alias("fa_icao_cd"),
-        F.concat(F.lit("AT"), _s(k % 5)).alias("fa_aircraft_type"),
-        F.timestamp_add("DAY", k, _ts("2020-01-03 00:00:00")).alias("fa_eng_instl_dt"),
-        F.when(oid % 4 == 0, _ts("2026-01-01 00:00:00")).alias("fa_eng_rmvl_dt"),
-        (oid % 3 + 2).cast("int").alias("no_of_engines"),
-        F.timestamp_add("HOUR", F.lit(-1), F.col("obs_ts")).alias("planned_flight_time_utc"),
-        F.col("obs_ts").alias("estimated_depart_time_utc"),
-        F.timestamp_add("HOUR", F.lit(2), F.col("obs_ts")).alias("estimated_dest_time_utc"),
-        F.col("obs_dep").alias("faware_depart"),
-        airport_code("(obs_id + 5) % 25").alias("faware_destination"),
-        F.lit(None).cast("timestamp_ntz").alias("timeline_begin_date"),
-        F.lit(None).cast("timestamp_ntz").alias("timeline_end_date"),
-        F.when(oid % 2 == 0, F.lit(FAMILY)).alias("engine_family_mdm"),
-        F.when(oid % 3 == 0, F.concat(F.lit("FM"), _s(oid % 4))).alias("engine_model_mdm"),
-        F.when(oid % 5 == 0, F.concat(F.lit("FS"), _s(oid % 2))).alias("engine_series_mdm"),
-        none_s.alias("esn_sister_array"), none_s.alias("esn_sister_comment"),
-        *[F.when(oid % 7 == 0, _esn(k, F.lit(j))).alias(f"eng_pos_{j}_esn") for j in range(1, 5)])
+    return roles.obs(t).selectExpr(
+        f"'{FAMILY}' AS fa_engine_family", f"concat('T', {_s('key')}) AS fa_tail_number",
+        f"{_esn('key', 'obs_id % 4 + 1')} AS fa_esn",
+        "CAST(obs_id % 4 + 1 AS INT) AS fa_eng_position", "obs_ts AS faware_dt",
+        "obs_id AS internal_id", f"concat('FA', {_s('obs_id')}) AS faware_id",
+        f"concat('C', {_s('key % 10')}) AS fa_icao_cd",
+        f"concat('AT', {_s('key % 5')}) AS fa_aircraft_type",
+        f"{_day('2020-01-03', 'key')} AS fa_eng_instl_dt",
+        "CASE WHEN obs_id % 4 = 0 THEN TIMESTAMP_NTZ'2026-01-01 00:00:00' END AS fa_eng_rmvl_dt",
+        "CAST(obs_id % 3 + 2 AS INT) AS no_of_engines",
+        "timestampadd(HOUR, -1, obs_ts) AS planned_flight_time_utc",
+        "obs_ts AS estimated_depart_time_utc",
+        "timestampadd(HOUR, 2, obs_ts) AS estimated_dest_time_utc",
+        "obs_dep AS faware_depart",
+        f"{airport_code_sql('(obs_id + 5) % 25')} AS faware_destination",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS timeline_begin_date",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS timeline_end_date",
+        f"CASE WHEN obs_id % 2 = 0 THEN '{FAMILY}' END AS engine_family_mdm",
+        f"CASE WHEN obs_id % 3 = 0 THEN concat('FM', {_s('obs_id % 4')}) END AS engine_model_mdm",
+        f"CASE WHEN obs_id % 5 = 0 THEN concat('FS', {_s('obs_id % 2')}) END AS engine_series_mdm",
+        "CAST(NULL AS STRING) AS esn_sister_array", "CAST(NULL AS STRING) AS esn_sister_comment",
+        *[f"CASE WHEN obs_id % 7 = 0 THEN {_esn('key', str(j))} END AS eng_pos_{j}_esn"
+          for j in range(1, 5)])
 
 
 def denorm(t: Tables) -> DataFrame:
-    tl = roles.timeline(t)
-    k, tid = F.col("tl_key"), F.col("tl_id")
-    return tl.select(
-        _esn(k, tid % 4 + 1).alias("esn"), F.concat(F.lit("T"), _s(k)).alias("denorm_tail_number"),
-        F.col("begin_ts").alias("timeline_begin_date"), F.col("end_ts").alias("timeline_end_date"),
-        F.lit(FAMILY).alias("engine_family_denorm"), F.lit(FAMILY).alias("engine_family_mdm"),
+    return roles.timeline(t).selectExpr(
+        f"{_esn('tl_key', 'tl_id % 4 + 1')} AS esn",
+        f"concat('T', {_s('tl_key')}) AS denorm_tail_number",
+        "begin_ts AS timeline_begin_date", "end_ts AS timeline_end_date",
+        f"'{FAMILY}' AS engine_family_denorm", f"'{FAMILY}' AS engine_family_mdm",
         "engine_model_mdm", "engine_series_mdm",
-        *[F.when((k + j) % 3 == 0, F.lit(None).cast("string")).otherwise(_esn(k, F.lit(j)))
-          .alias(f"eng_pos_{j}_esn") for j in range(1, 5)],
-        F.concat(F.lit("SIS"), _s(k)).alias("esn_sister_array"),
-        F.concat(F.lit("C"), _s(tid)).alias("esn_sister_comment"))
+        *[f"CASE WHEN (tl_key + {j}) % 3 = 0 THEN NULL ELSE {_esn('tl_key', str(j))} END "
+          f"AS eng_pos_{j}_esn" for j in range(1, 5)],
+        f"concat('SIS', {_s('tl_key')}) AS esn_sister_array",
+        f"concat('C', {_s('tl_id')}) AS esn_sister_comment")
 
 
 def fdm(t: Tables) -> DataFrame:
-    h = roles.hist(t)
-    return h.select(_esn(F.col("hist_key"), F.col("removals") % 4 + 1).alias("serialized_engine_id"),
-                    F.col("ev_ts").alias("event_date"),
-                    F.col("removals").cast("int").alias("current_removal_count"),
-                    F.col("visits").cast("int").alias("current_shop_visit_count"))
+    return roles.hist(t).selectExpr(
+        f"{_esn('hist_key', 'removals % 4 + 1')} AS serialized_engine_id",
+        "ev_ts AS event_date", "CAST(removals AS INT) AS current_removal_count",
+        "CAST(visits AS INT) AS current_shop_visit_count")
 
 
 def phm_rmd(t: Tables) -> DataFrame:
-    r = roles.reports(t)
-    rid = F.col("report_def_id")
-    cols = [rid.alias("phm_flight_def_id")]
-    cols += [(rid % (n + 7)).alias(c) for n, c in enumerate(SEDI_COLUMNS)]
+    rid = "report_def_id"
+    cols = [f"{rid} AS phm_flight_def_id"]
+    cols += [f"{rid} % {n + 7} AS {c}" for n, c in enumerate(SEDI_COLUMNS)]
     for kind in REPORT_KINDS:
         for j in range(1, 5):
-            cols.append(F.when((rid + j) % 4 != 0, F.concat(F.lit(f"{kind.upper()}{j}-"), _s(rid)))
-                        .alias(f"{kind}_rprt_id_eng_pos_{j}"))
-        cols.append(F.concat(F.lit(f"{kind.upper()}-"), _s(rid)).alias(f"{kind}_rprt_id_eng_pos_array"))
-    cols += [rid.alias("rmd_flight_def_id"), F.col("rmd_dep").alias("airport_depart"),
-             F.col("rmd_arr").alias("airport_dest"),
-             F.concat(F.lit("ES"), _s(rid % 3)).alias("dlgs_es_ct_code"),
-             F.concat(F.lit("TO"), _s(rid % 4)).alias("dlgs_to_ct_code")]
-    return r.select(*cols)
+            cols.append(f"CASE WHEN ({rid} + {j}) % 4 != 0 THEN concat('{kind.upper()}{j}-', "
+                        f"{_s(rid)}) END AS {kind}_rprt_id_eng_pos_{j}")
+        cols.append(f"concat('{kind.upper()}-', {_s(rid)}) AS {kind}_rprt_id_eng_pos_array")
+    cols += [f"{rid} AS rmd_flight_def_id", "rmd_dep AS airport_depart", "rmd_arr AS airport_dest",
+             f"concat('ES', {_s(rid + ' % 3')}) AS dlgs_es_ct_code",
+             f"concat('TO', {_s(rid + ' % 4')}) AS dlgs_to_ct_code"]
+    return roles.reports(t).selectExpr(*cols)
 
 
 def common_flight_inputs(t: Tables) -> dict[str, DataFrame]:

@@ -22,12 +22,17 @@ PARAM_REPORT_TYPES = ["Engine Start", "TakeOff", "Climb", "Cruise", "PostFlight"
                       "Post Flight Summary", "Ground Run", "Maintenance"]
 
 
+def airport_code_sql(n: str) -> str:
+    """SQL text of :func:`airport_code` for the SQL expression ``n``."""
+    return (f"CASE WHEN ({n}) < 20 THEN concat('K', lpad(CAST(({n}) AS STRING), 3, '0')) "
+            f"ELSE concat('X', CAST(({n}) AS STRING)) END")
+
+
 def airport_code(n: Column | str) -> Column:
     """Codes 0..19 -> 'K000'..'K019' (4 characters); others -> 'X<n>'.
     ``n`` may be a SQL expression string (one JVM-side parse)."""
     if isinstance(n, str):
-        return F.expr(f"CASE WHEN ({n}) < 20 THEN concat('K', lpad(CAST(({n}) AS STRING), 3, '0')) "
-                      f"ELSE concat('X', CAST(({n}) AS STRING)) END")
+        return F.expr(airport_code_sql(n))
     return F.when(n < 20, F.concat(F.lit("K"), F.lpad(n.cast("string"), 3, "0"))) \
             .otherwise(F.concat(F.lit("X"), n.cast("string")))
 
