@@ -49,3 +49,22 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == OUTPUT_COLUMNS
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["q10", "q18", "q22", "q23", "q24"])
+def test_results_do_not_depend_on_session_zone(spark, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        test_query_matches_oracle(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_when_created_is_wall_clock(spark):
+    import datetime as dt
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        row = entry.queries()["q28"](spark, SF).select("when_created").limit(1).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert row.when_created == dt.datetime(2024, 2, 1)
