@@ -12,6 +12,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # ~256 MB per post-shuffle partition and per scan split
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "268435456",
+    "spark.sql.files.maxPartitionBytes": "268435456",
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
 
