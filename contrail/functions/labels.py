@@ -43,11 +43,15 @@ def tf(cond: Column) -> Column:
 
 
 def present_flag(c: Column | str) -> Column:
-    return tf(col_of(c).isNotNull())
+    if isinstance(c, str):
+        return F.expr(f"CASE WHEN {_sql(c)} IS NOT NULL THEN 't' ELSE 'f' END")
+    return tf(c.isNotNull())
 
 
 def missing_flag(c: Column | str) -> Column:
-    return tf(col_of(c).isNull())
+    if isinstance(c, str):
+        return F.expr(f"CASE WHEN {_sql(c)} IS NULL THEN 't' ELSE 'f' END")
+    return tf(c.isNull())
 
 
 def quality_flags(df: DataFrame, flags: Mapping[str, str] = MISSING_FLAGS) -> DataFrame:
@@ -58,6 +62,14 @@ def quality_flags(df: DataFrame, flags: Mapping[str, str] = MISSING_FLAGS) -> Da
 def position_label(position: Column | str, engines: Column | str) -> Column:
     """LI/RI, LI/C/RI or LO/LI/RI/RO by engine count; NULL otherwise.
     Non-numeric input gives NULL (``try_cast``)."""
+    if isinstance(position, str) and isinstance(engines, str):
+        pos, n = f"try_cast({_sql(position)} AS INT)", f"try_cast({_sql(engines)} AS INT)"
+        outer = []
+        for count, labels in POSITION_LABELS.items():
+            inner = " ".join(f"WHEN {pos} = {i} THEN '{label}'"
+                             for i, label in enumerate(labels, start=1))
+            outer.append(f"WHEN {n} = {count} THEN (CASE {inner} END)")
+        return F.expr(f"CASE {' '.join(outer)} END")
     pos = F.expr(f"try_cast({_sql(position)} AS INT)") if isinstance(position, str) else position
     n = F.expr(f"try_cast({_sql(engines)} AS INT)") if isinstance(engines, str) else engines
     out = None
