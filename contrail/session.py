@@ -37,9 +37,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/contrail-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder when one is set; otherwise
-    the frame is returned unchanged (the plan stays recomputable)."""
-    if df.sparkSession.sparkContext.getCheckpointDir():
-        return df.checkpoint(eager=True)
-    return df
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut the lineage by writing ``df`` as a Parquet table into the shared
+    checkpoint folder and reading it back (with the known schema, so no
+    inference job). Compared with ``Dataset.checkpoint()`` the stage is
+    columnar and compressed, and later steps read only the columns they use.
+    A lost executor recomputes from this table, not from the sources. When
+    the session names no shared folder the frame is returned unchanged (the
+    plan stays recomputable; no machine-local fallback)."""
+    spark = df.sparkSession
+    base = shared_dir(spark)
+    if base is None:
+        return df
+    path = f"{base.rstrip('/')}/contrail-{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

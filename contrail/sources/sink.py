@@ -72,7 +72,7 @@ def refresh_trailing(spark: SparkSession, new: DataFrame, path: str, month: str,
     the deleted months. The month list is one small distinct query.
     """
     from ..session import cut_lineage
-    # computed once: the write and the month list both read the checkpoint
+    # computed once: the write and the month list both read the stage table
     fresh = cut_lineage(new.where(F.col(month) >= F.lit(cutoff)))
     old_months = {r[0] for r in spark.read.parquet(path).where(F.col(month) >= F.lit(cutoff))
                   .select(month).distinct().collect()}
