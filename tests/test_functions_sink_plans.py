@@ -146,3 +146,13 @@ def test_month_spread_keeps_rows(spark):
     pairs = out.rdd.mapPartitionsWithIndex(lambda i, it: [(r.m, i) for r in it]).distinct()
     per_month = pairs.map(lambda mp: (mp[0], 1)).reduceByKey(lambda a, b: a + b).collect()
     assert len(per_month) == 3 and max(n for _, n in per_month) <= 4
+
+
+def test_unknown_engine_family_is_rejected(spark):
+    import pytest
+    from contrail.plans.common_flight import build_common_flight
+    from contrail.sources import adapter
+    from contrail.sources.tables import Tables
+    inp = adapter.common_flight_inputs(Tables(spark, "/root/testdata/sf0.001"))
+    with pytest.raises(ValueError, match="not a valid engine family"):
+        build_common_flight(inp, "XYZ", dt.datetime(2024, 2, 1))
