@@ -19,36 +19,45 @@ RECOMMENDED_CONF = {
 }
 
 
-def shared_dir(spark: SparkSession) -> str | None:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir`` or
-    the context's checkpoint dir), or None when the session names none."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    return spark.conf.get("spark.checkpoint.dir", None)
+def shared_dir(spark: SparkSession) -> str:
+    """The storage that every executor and the driver see: the cluster's
+    checkpoint folder (``spark.checkpoint.dir`` or the context's), else the
+    session's warehouse. Never a machine-local temporary folder."""
+    return (spark.sparkContext.getCheckpointDir()
+            or spark.conf.get("spark.checkpoint.dir", None)
+            or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder for job output that must survive
-    executor loss."""
-    base = shared_dir(spark)
-    if base is None:
-        raise RuntimeError("no spark.checkpoint.dir set; pass an explicit output path")
-    return f"{base.rstrip('/')}/contrail-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path in the application's own folder of the shared storage, for
+    job output that must survive executor loss. The folder goes when the
+    application ends."""
+    home = f"{shared_dir(spark)}/contrail-{spark.sparkContext.applicationId}"
+    p, fs = _hadoop_path(spark, home)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return f"{home}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path that nothing reads any more."""
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
 
 
-def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "stage", path: str | None = None,
+                compression: str = "zstd") -> DataFrame:
     """Cut the lineage by writing ``df`` as a Parquet table into the shared
-    checkpoint folder and reading it back (with the known schema, so no
-    inference job). Compared with ``Dataset.checkpoint()`` the stage is
-    columnar and compressed, and later steps read only the columns they use.
-    A lost executor recomputes from this table, not from the sources. When
-    the session names no shared folder the frame is returned unchanged (the
-    plan stays recomputable; no machine-local fallback)."""
+    folder and reading it back (with the known schema, so no inference job).
+    Compared with ``Dataset.checkpoint()`` the stage is columnar and
+    compressed, and later steps read only the columns they use. A lost
+    executor recomputes from this table, not from the sources."""
     spark = df.sparkSession
-    base = shared_dir(spark)
-    if base is None:
-        return df
-    path = f"{base.rstrip('/')}/contrail-{name}-{uuid.uuid4().hex[:12]}"
-    df.write.mode("overwrite").parquet(path)
+    path = path or scratch_path(spark, name)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
