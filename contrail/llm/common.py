@@ -61,3 +61,9 @@ def prefix_offsets(totals: DataFrame, key: str, value: str, out: str,
     return (t.withColumn("_in", F.coalesce(F.sum(value).over(before), F.lit(0)))
             .join(blocks, "_block")
             .select(key, (F.col("_in") + F.col("_base")).alias(out)))
+
+
+def renamed(df: DataFrame) -> DataFrame:
+    """The same columns under identities of their own, for a cogroup of two
+    frames that come from one."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])

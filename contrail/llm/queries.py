@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, packing
+from . import langid, minhash, mixing, packing, pii, quality, search, spans, toxicity, vectors
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -22,6 +22,41 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_language_id)}
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "mix_copy", "mix_weight", "mix_tokens")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.substring_dedup(table(spark, sf_dir, "documents"))
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.top_k(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op2_language_id, op3_source_mixing, op4_quality, op5_near_duplicates,
+    op6_substring_dedup, op7_personal_data, op8_toxicity, op9_near_vectors, op10_top_k)}
 
 SQL: dict[str, str] = {}
