@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from .common import renamed
@@ -32,13 +33,14 @@ def usable(vector: Column) -> Column:
                                                  F.lit(False)))
 
 
-def unit(vector: Column) -> Column:
-    """The vector over its norm, scaled first so that no square overflows; null
-    for the zero vector."""
-    top = F.array_max(F.transform(vector, F.abs))
-    scaled = F.transform(vector, lambda x: x / F.when(top > 0, top))
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
-    return F.when(top > 0, F.transform(scaled, lambda x: x / norm))
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def unit(vectors: pd.Series) -> pd.Series:
+    """Each vector over its norm, scaled first so that no square overflows; null
+    for null, empty and zero vectors."""
+    def one(v):
+        top = np.abs(v).max() if v is not None and len(v) else 0.0
+        return None if top == 0 else v / top / np.linalg.norm(v / top)
+    return vectors.map(one, na_action=None)
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -116,8 +118,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     compared. No rows give no rows; other columns are not read."""
     v = F.col(vec_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"),
-                          F.when(usable(v), unit(v)).alias("v"))
-    fit = F.col("id").isNotNull() & F.col("label").isNotNull() & (F.size("v") > 0)
+                          unit(F.when(usable(v), v)).alias("v"))
+    fit = F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull()
     rows = cut_lineage(rows.select("id", F.when(fit, F.col("label")).alias("label"),
                                    F.when(fit, F.col("v")).alias("v")), "vectors")
     kind = rows.schema["label"].dataType.simpleString()
