@@ -114,7 +114,7 @@ def learn(docs: DataFrame) -> Filter:
     hundred times the mean distinct grams of a text."""
     counts = cut_lineage(gram_counts(docs.where(F.col("lang").isNotNull())), "grams")
     texts = counts.where("gram = -1").select("lang", F.col("df").alias("texts"))
-    kept = (counts.where("gram <> -1").join(texts, "lang")
+    kept = (counts.where("gram <> -1").join(F.broadcast(texts), "lang")  # a row per language
             .where(F.col("df") >= F.greatest(F.lit(2), F.ceil(F.col("texts") * MIN_SHARE)))
             .select("lang", "gram"))
     sizes = {r["lang"]: r["n"] for r in

@@ -124,7 +124,8 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id:
     coded = cut_lineage(tokenize(docs, tokenizer_path, end_id, id_col, text_col), "ids")
     offsets = prefix_offsets(coded.groupBy("part").agg(F.sum("n").alias("total")),
                              "part", "total", "base")
-    rows = coded.join(offsets, "part").withColumn("at", F.col("base") + F.col("in_part"))
+    # one small row per task of pass one, so it may be broadcast and no ids are shuffled
+    rows = coded.join(F.broadcast(offsets), "part").withColumn("at", F.col("base") + F.col("in_part"))
 
     def piece(s):
         lo = F.greatest(F.col("at"), s * sequence)
