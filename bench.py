@@ -14,7 +14,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -41,9 +40,6 @@ def main() -> None:
              .config("spark.driver.memory", "16g")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    if spark.sparkContext.getCheckpointDir() is None:
-        ck = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cr-ckpt-")
-        spark.sparkContext.setCheckpointDir(ck)
     warm = os.path.join(os.path.dirname(sf_dir), "sf0.001")
     if os.path.isdir(warm):
         for n in ("q03", "q28"):

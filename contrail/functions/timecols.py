@@ -1,10 +1,10 @@
-"""Time helpers that stay inside Spark's codegen and do not depend on the
-session time zone.
+"""Time helpers that stay inside Spark's codegen.
 
-Driver tables carry ``TIMESTAMP_NTZ`` columns; ``unix_timestamp`` reads those
-as wall-clock UTC, so bins and distances are the same whatever
-``spark.sql.session.timeZone`` says. (No NTZ -> LTZ cast is ever made: that
-one depends on the session zone and is not monotone across DST gaps.)
+Columns that are compared or binned together are first brought to one type
+(``in_one_type``): bins and comparisons then always see the same value. With
+``TIMESTAMP_NTZ`` or ``DATE`` columns alone nothing depends on the session time
+zone; where a zoned ``TIMESTAMP`` takes part, the others are read in that zone,
+as Spark's own comparison does.
 """
 
 from __future__ import annotations
@@ -23,6 +23,29 @@ def ts_type_of(df, col: str) -> str:
         else "timestamp"
 
 
+_TIMES = ("date", "timestamp_ntz", "timestamp")
+
+
+def common_time_type(*types) -> str:
+    """The type in which Spark compares time columns of these types; anything
+    but DATE, TIMESTAMP_NTZ and TIMESTAMP is refused."""
+    names = {t.typeName() for t in types}
+    if not names <= set(_TIMES):
+        raise TypeError(f"not a time column: {', '.join(sorted(names - set(_TIMES)))}")
+    return "timestamp" if "timestamp" in names else "timestamp_ntz"
+
+
+def in_one_type(*frames_and_columns: tuple) -> list:
+    """``(frame, [columns])`` pairs -> the frames with these time columns cast
+    to their common type."""
+    kind = common_time_type(*[df.schema[c].dataType for df, cols in frames_and_columns
+                              for c in cols])
+    return [df.withColumns({c: F.col(c).cast(kind) for c in cols
+                            if df.schema[c].dataType.typeName() != kind} or {})
+            if any(df.schema[c].dataType.typeName() != kind for c in cols) else df
+            for df, cols in frames_and_columns]
+
+
 def epoch_seconds(ts: Column | str) -> Column:
     """Whole seconds since the epoch (the unit the nearest-match rules use)."""
     return F.unix_timestamp(col_of(ts))

@@ -3,9 +3,10 @@
 from .distance import airport_pair_distances, attach_distance
 from .history import prior_events_max
 from .lookup import dated_lookup, timeline_lookup
-from .match import append_unmatched, interval_match, nearest_match, unmatched_records
+from .match import (append_unmatched, interval_match, nearest_match, one_per_id,
+                    unmatched_records)
 from .observe import nearest_observation, nearest_observation_table, observation_gaps
-from .ranges import binned_range_join, bin_of, bins_between
+from .ranges import binned_range_join, interval_bins, point_bins
 from .reports import (REPORT_TYPES, attach_reports, message_roster, roster_flights,
                       roster_params)
 from .resolve import best_of, best_value, provenance
@@ -13,10 +14,10 @@ from .siblings import assign_slots, group_siblings, mark_parents, previous_value
 
 __all__ = [
     "REPORT_TYPES", "airport_pair_distances", "append_unmatched", "assign_slots",
-    "attach_distance", "attach_reports", "best_of", "best_value", "bin_of", "binned_range_join",
-    "bins_between", "dated_lookup", "group_siblings", "interval_match", "mark_parents",
+    "attach_distance", "attach_reports", "best_of", "best_value", "binned_range_join",
+    "dated_lookup", "group_siblings", "interval_bins", "interval_match", "mark_parents",
     "message_roster", "nearest_match", "nearest_observation", "nearest_observation_table",
-    "observation_gaps",
+    "observation_gaps", "one_per_id", "point_bins",
     "previous_values", "prior_events_max", "provenance", "roster_flights", "roster_params",
     "slot_ids", "timeline_lookup", "unmatched_records",
 ]

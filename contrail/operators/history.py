@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timecols import epoch_seconds
+from ..functions.timecols import common_time_type, epoch_seconds
 from .ranges import left_join
 
 # Default bucket for the two-level running maximum (30 days).
@@ -33,8 +33,8 @@ def prior_events_max(legs: DataFrame, events: DataFrame, *, key: str, at: str,
     not counted. The prefix runs over a per-(key, bucket) summary. Distinct
     (key, time) points are resolved once and joined back.
     """
-    ts_type = events.schema[event_ts].dataType
-    ev = (events.select(F.col(event_key).alias("_k"), F.col(event_ts).alias("_t"),
+    ts_type = common_time_type(events.schema[event_ts].dataType, legs.schema[at].dataType)
+    ev = (events.select(F.col(event_key).alias("_k"), F.col(event_ts).cast(ts_type).alias("_t"),
                         *[F.col(src).alias(f"_v{n}") for n, src in enumerate(cols.values())])
           .where(F.col("_k").isNotNull() & F.col("_t").isNotNull())
           .withColumn("_b", F.floor(epoch_seconds("_t") / F.lit(bucket_seconds)).cast("long")))

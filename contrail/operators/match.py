@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timecols import epoch_seconds, shift
-from .ranges import _pairs, binned_range_join, left_join
+from ..functions.timecols import common_time_type, epoch_seconds, shift
+from .ranges import _pairs, binned_range_join, left_join, null_salt
 
 _LO, _HI, _AT, _PT = "_cr_lo", "_cr_hi", "_cr_at", "_cr_pt"
 
@@ -22,6 +22,18 @@ _LO, _HI, _AT, _PT = "_cr_lo", "_cr_hi", "_cr_at", "_cr_pt"
 FLIGHT_BIN_SECONDS = 6 * 3600
 
 
+def one_per_id(df: DataFrame, id_col: str, order: Sequence[str]) -> DataFrame:
+    """One row of every non-NULL id: the first by ``order`` (NULLs last), ties
+    by a hash of the whole row, so that the choice does not depend on the
+    plan. Rows with a NULL id all stay."""
+    spread = df.withColumns({"_cr_one": null_salt(df, [id_col]), "_cr_hash": F.expr("xxhash64(*)")})
+    w = Window.partitionBy(id_col, "_cr_one").orderBy(
+        *[F.col(c).asc_nulls_last() for c in order], "_cr_hash")
+    return (spread.withColumn("_cr_rn", F.row_number().over(w))
+            .where(F.col(id_col).isNull() | (F.col("_cr_rn") == 1))
+            .drop("_cr_one", "_cr_hash", "_cr_rn"))
+
+
 def interval_match(legs: DataFrame, recs: DataFrame, *, leg_id: str,
                    keys: Sequence[str | tuple[str, str]], start: str, end: str,
                    rec_ts: str, rec_id: str, before: str = "20 minutes",
@@ -36,14 +48,15 @@ def interval_match(legs: DataFrame, recs: DataFrame, *, leg_id: str,
     Adds ``chosen`` = largest matched record id, ``ids_out`` = sorted array of
     all matched ids (empty when none), ``count_out`` = its size, and for each
     ``out: rec_col`` in ``maxima`` the largest value of ``rec_col`` over the
-    matches. ``leg_id`` must identify legs uniquely; a leg with a NULL id gets
-    no matches.
+    matches. Legs of one id become one row (the earliest, see ``one_per_id``);
+    legs with a NULL id stay as they are and get no matches.
 
     Plan: only the partner side is aggregated (one partial + final hash
     aggregate on the leg id), and joined back to the legs on the id.
     """
     maxima = dict(maxima or {})
     pairs = _pairs(keys)
+    legs = one_per_id(legs, leg_id, [start, end])
     # interval side: the legs, narrowed to what the join needs
     iv = legs.select(F.col(leg_id).alias("_cr_leg"),
                      *[F.col(a).alias(f"_cr_k{n}") for n, (a, _) in enumerate(pairs)],
@@ -107,34 +120,45 @@ def nearest_match(left: DataFrame, obs: DataFrame, *, row_key: Sequence[str], id
 
     Order: whole-second distance, then the sign of ``at - obs_ts`` (the later
     observation wins a tie), then ``tiebreak`` ascending. Rows whose
-    ``id_col`` is NULL keep *every* candidate (one row each); keyed rows keep
-    one. Rows without candidates stay with NULL ``obs_cols``.
+    ``id_col`` is NULL keep *every* candidate (one row each). Rows without
+    candidates stay with NULL ``obs_cols``.
 
-    ``row_key`` must identify left rows uniquely (NULLs compare equal); the
-    choice is made on the narrow key frame and joined back on it.
+    Rows that share an id become one row: of all their candidates the best is
+    chosen, together with the row that it belongs to (``row_key`` breaks ties,
+    NULLs last); without candidates the first row by ``row_key`` stays.
     """
     pairs = _pairs(keys)
-    rk = [f"_cr_r{n}" for n in range(len(row_key))]
-    iv = left.select(*[F.col(c).alias(a) for c, a in zip(row_key, rk)],
-                     F.col(id_col).isNull().alias("_cr_keep_all"),
-                     *[F.col(a).alias(f"_cr_k{n}") for n, (a, _) in enumerate(pairs)],
-                     F.col(lo).alias(_LO), F.col(hi).alias(_HI), F.col(at).alias(_AT))
+    ks = [f"_cr_k{n}" for n in range(len(pairs))]
     carried = list(dict.fromkeys([tiebreak, *obs_cols]))
-    pts = obs.select(*[F.col(b).alias(f"_cr_k{n}") for n, (_, b) in enumerate(pairs)],
+    pts = obs.select(*[F.col(b).alias(k) for k, (_, b) in zip(ks, pairs)],
                      F.col(obs_ts).alias(_PT), *[F.col(c) for c in carried])
-    cand = binned_range_join(pts, iv, [f"_cr_k{n}" for n in range(len(pairs))],
-                             _PT, _LO, _HI, bin_seconds)
-    delta = epoch_seconds(_AT) - epoch_seconds(_PT)
-    order = F.struct(F.abs(delta).alias("d"), F.signum(delta).alias("s"),
-                     F.col(tiebreak).alias("t"))
-    payload = F.struct(*[F.col(c) for c in obs_cols])
-    best = (cand.filter(~F.col("_cr_keep_all")).groupBy(*rk)
-            .agg(F.min_by(payload, order).alias("_cr_best"))
-            .select(*rk, *[F.col(f"_cr_best.{c}").alias(c) for c in obs_cols]))
-    every = cand.filter(F.col("_cr_keep_all")).select(*rk, *obs_cols)
-    chosen = best.unionByName(every)
-    cond = None
-    for c, a in zip(row_key, rk):
-        e = left[c].eqNullSafe(chosen[a])
-        cond = e if cond is None else cond & e
-    return left.join(chosen, on=cond, how="left").drop(*rk)
+    # what can match depends on keys and window alone: resolve these once
+    ends = {_LO: lo, _HI: hi}
+    window = left.select(*[F.col(a).alias(k) for k, (a, _) in zip(ks, pairs)],
+                         *[F.col(c).alias(a) for a, c in ends.items()]).dropna().distinct()
+    window = window.withColumns({"_cr_lo0": F.col(_LO), "_cr_hi0": F.col(_HI)})
+    cand = binned_range_join(pts, window, ks, _PT, _LO, _HI, bin_seconds).drop(_LO, _HI)
+    back = [*[(a, f"_cr_b{n}") for n, (a, _) in enumerate(pairs)], (lo, "_cr_lo0"), (hi, "_cr_hi0")]
+    cand = cand.withColumnsRenamed({k: f"_cr_b{n}" for n, k in enumerate(ks)})
+    extra = [b for _, b in back]
+
+    unkeyed = left_join(left.where(F.col(id_col).isNull()),
+                        cand.select(*extra, *obs_cols), back).drop(*extra)
+    keyed = left.where(F.col(id_col).isNotNull())
+    at_type = common_time_type(left.schema[at].dataType, obs.schema[obs_ts].dataType)
+    delta = epoch_seconds(F.col(at).cast(at_type)) - epoch_seconds(F.col(_PT).cast(at_type))
+    # per row the best candidate, then per id the best row
+    rows = left_join(keyed.select(id_col, at, *dict.fromkeys(
+        c for c in (*row_key, *[a for a, _ in back]) if c not in (id_col, at))),
+        cand.select(*extra, _PT, *carried), back)
+    key = F.struct(*[x for c in row_key for x in (F.col(c).isNull().alias(f"n_{c}"),
+                                                  F.col(c).alias(f"k_{c}"))])
+    order = F.struct(F.col(_PT).isNull().alias("none"), F.abs(delta).alias("d"),
+                     F.signum(delta).alias("s"), F.col(tiebreak).alias("t"), key.alias("k"))
+    payload = F.struct(key.alias("_cr_key"), *[F.col(c).alias(c) for c in obs_cols])
+    best = rows.groupBy(F.col(id_col).alias("_cr_id")).agg(F.min_by(payload, order).alias("_cr_best"))
+    out = (keyed.join(best, keyed[id_col] == best["_cr_id"])
+           .where(key == F.col("_cr_best._cr_key"))
+           .withColumns({c: F.col(f"_cr_best.{c}") for c in obs_cols}).drop("_cr_id", "_cr_best"))
+    out = one_per_id(out, id_col, [])
+    return out.unionByName(unkeyed.select(*out.columns))

@@ -38,7 +38,8 @@ def observation_gaps(packed: DataFrame, *, airport: str = "airport_str",
     Columns: ``_ap, _ym, _lo, _hi`` (gap in epoch seconds, ``[lo, hi)``),
     ``_bin``, ``_p_id, _p_s`` (reading at the start, NULL for the leading
     gap) and ``_n_id, _n_s`` (next reading, NULL for the trailing gap).
-    Unparseable reading times are skipped.
+    Unparseable reading times are skipped, and so are rows whose month is not a
+    ``yyyyMM``: no leg's month equals such a key.
     """
     pad = pad_hours * 3600
     parts = F.split(F.col("_r"), sep)
@@ -47,12 +48,14 @@ def observation_gaps(packed: DataFrame, *, airport: str = "airport_str",
             .select("_ap", "_ym", F.get(parts, 0).alias("_id"),
                     F.unix_timestamp(F.expr(f"try_cast(get(split(_r, '{sep}'), 1) AS {ts_type})"))
                     .alias("_s"))
-            .where(F.col("_s").isNotNull() & F.col("_ap").isNotNull() & F.col("_ym").isNotNull())
+            .where(F.col("_s").isNotNull() & F.col("_ap").isNotNull()
+                   & F.col("_ym").rlike("^[0-9]{4}(0[1-9]|1[0-2])$"))
             # same second -> same distance and sign, so only the smallest id can win
             .groupBy("_ap", "_ym", "_s").agg(F.min("_id").alias("_id")))
     to_ts = "to_timestamp_ntz" if ts_type == "timestamp_ntz" else "to_timestamp"
-    start_s = F.unix_timestamp(F.expr(f"{to_ts}(_ym, 'yyyyMM')"))
-    end_s = F.unix_timestamp(F.expr(f"{to_ts}(_ym, 'yyyyMM') + INTERVAL 1 MONTH"))
+    month_start = f"{to_ts}(_ym, 'yyyyMM')"
+    start_s = F.unix_timestamp(F.expr(month_start))
+    end_s = F.unix_timestamp(F.expr(f"{month_start} + INTERVAL 1 MONTH"))
     # gap ending at each reading: (previous reading, this reading); the lag
     # runs per (airport, month, day bucket) -- a busy airport-month is split
     lagged = previous_values(flat, partition=["_ap", "_ym"], order=["_s", "_id"], time_col="_s",

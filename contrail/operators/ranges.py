@@ -7,15 +7,17 @@ an airport) turns into an all-pairs loop inside one task. Here the interval
 side is exploded into the fixed-width time bins it overlaps and the point
 side gets the single bin it falls into; the bin becomes one more equi-key.
 
-* a point lies in exactly one bin, so every matching (point, interval) pair
-  is produced exactly once -- no dedupe step;
+* an interval is put into bins of one width only: the narrowest of a few (each
+  64 times the one before) at which it overlaps 65 bins at most, however far
+  away its end is. A point has one bin of each width;
+* so every matching (point, interval) pair is produced exactly once -- no
+  dedupe step;
 * work per (key, bin) is bounded by the data density per bin width, not by
   the size of the key, and a hot key is spread over many shuffle partitions;
 * with ``how="left"`` the point side is preserved exactly as a plain left
-  join would preserve it (a point row is never duplicated by the bins).
+  join would preserve it.
 
-Pick ``bin_seconds`` near the typical interval length: shorter bins explode
-long intervals into many rows, longer bins put more candidates per bin.
+Pick ``bin_seconds`` near the typical interval length.
 """
 
 from __future__ import annotations
@@ -25,28 +27,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timecols import col_of, epoch_seconds
+from ..functions.timecols import col_of, epoch_seconds, in_one_type
 
 BIN = "_cr_bin"
 
-# Rows of the preserved side whose join key has a NULL can never match; they
-# are spread over this many salt values instead of all hashing to the one
-# partition that a NULL key lands in.
-NULL_SPREAD = 256
+STEP = 64                       # from one bin width to the next
+ALL_SECONDS = 10_000 * 31_556_952  # the years that a timestamp can have
+
 _NS_L, _NS_R = "_cr_nsl", "_cr_nsr"
 
 
-def null_salt(df: DataFrame, key_cols: Sequence[Column | str], spread: int = NULL_SPREAD
-              ) -> Column:
-    """0 for rows whose key columns are all non-NULL, else a deterministic
-    hash of the row modulo ``spread`` (retries rebuild the same value)."""
+def null_salt(df: DataFrame, key_cols: Sequence[Column | str]) -> Column:
+    """0 for rows whose key columns are all non-NULL, else a hash of the whole
+    row: rows that can never match spread over all partitions instead of
+    meeting in the one of the NULL key (retries rebuild the same value)."""
     any_null = None
     for c in key_cols:
         e = col_of(c).isNull()
         any_null = e if any_null is None else (any_null | e)
     # xxhash64(*) expands to every column on the JVM side (one expression)
-    row_hash = F.pmod(F.expr("xxhash64(*)"), F.lit(spread))
-    return F.when(any_null, row_hash).otherwise(F.lit(0))
+    return F.when(any_null, F.expr("xxhash64(*)")).otherwise(F.lit(0).cast("long"))
 
 
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]],
@@ -67,25 +67,48 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]]
         e = F.col(b).isNull()
         rk_null = e if rk_null is None else (rk_null | e)
     l = left.withColumn(_NS_L, null_salt(left, lk))
-    r = right.withColumn(_NS_R, F.when(rk_null, F.lit(-1)).otherwise(F.lit(0)))
+    r = right.withColumn(_NS_R, F.when(rk_null, F.lit(-1).cast("long"))
+                         .otherwise(F.lit(0).cast("long")))
     cond = [F.col(a) == F.col(b) for a, b in keys] + list(extra)
     cond.append(F.col(_NS_L) == F.col(_NS_R))
     return l.join(r, on=cond, how="left").drop(_NS_L, _NS_R)
 
 
-def bin_of(ts: Column | str, bin_seconds: int) -> Column:
-    """Bin number of a timestamp (monotone in ``ts``; NULL stays NULL).
+def _seconds(ts: Column | str, width: int) -> Column:
+    """Bin number of a timestamp (monotone in ``ts``; NULL stays NULL). Whole
+    epoch seconds suffice: ``lo <= p <= hi`` implies the same of the bins."""
+    return F.floor(epoch_seconds(ts) / F.lit(width)).cast("long")
+
+
+def widths(bin_seconds: int) -> list[int]:
+    """Bin widths of the levels, each ``STEP`` times the one before; at the last
+    one, ``STEP`` bins span all years that a timestamp can have."""
+    out = [bin_seconds]
+    while out[-1] * STEP < ALL_SECONDS:
+        out.append(out[-1] * STEP)
+    return out
+
 
-    Whole epoch seconds suffice: a bin only has to be a monotone function of
-    time for ``lo <= p <= hi`` to imply ``bin(lo) <= bin(p) <= bin(hi)``."""
-    return F.floor(epoch_seconds(ts) / F.lit(bin_seconds)).cast("long")
+def point_bins(ts: Column | str, bin_seconds: int) -> Column:
+    """The point's bin at every level: an array of (level, bin)."""
+    return F.array(*[F.struct(F.lit(n).alias("l"), _seconds(ts, w).alias("b"))
+                     for n, w in enumerate(widths(bin_seconds))])
 
 
-def bins_between(lo: Column | str, hi: Column | str, bin_seconds: int) -> Column:
-    """All bins overlapped by ``[lo, hi]``; NULL (no rows) when either end is
-    NULL or the interval is empty."""
-    lo_b, hi_b = bin_of(lo, bin_seconds), bin_of(hi, bin_seconds)
-    return F.when(lo_b <= hi_b, F.sequence(lo_b, hi_b))
+def interval_bins(lo: Column | str, hi: Column | str, bin_seconds: int) -> Column:
+    """The bins that ``[lo, hi]`` overlaps, at the first level where they are
+    ``STEP`` + 1 at most; NULL (no rows) when either end is NULL or the interval
+    is empty."""
+    def at_level(n: int, a: Column, b: Column) -> Column:
+        return F.transform(F.sequence(a, b), lambda x: F.struct(F.lit(n).alias("l"), x.alias("b")))
+
+    out = None
+    for n, w in reversed(list(enumerate(widths(bin_seconds)))):
+        a, b = _seconds(lo, w), _seconds(hi, w)
+        bins = at_level(n, a, b)
+        fits = (a <= b) if out is None else (a <= b) & (b - a <= STEP)
+        out = F.when(fits, bins) if out is None else F.when(fits, bins).otherwise(out)
+    return out
 
 
 def _pairs(keys: Sequence[str | tuple[str, str]]) -> list[tuple[str, str]]:
@@ -103,26 +126,39 @@ def binned_range_join(points: DataFrame, intervals: DataFrame,
     ``(points_col, intervals_col)`` pairs. Apart from the keys the two sides
     must not share column names. Key columns of ``intervals`` that have a
     different name than on ``points`` are kept; same-named ones appear once.
+    The time columns come out in their common type (``how="left"``: the
+    point's as it was).
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     pairs = _pairs(keys)
+    if how == "left":
+        # a match depends on the keys and the time alone: resolve these once,
+        # as a narrow frame, and join back
+        pk, pt = [f"_cr_pk{n}" for n in range(len(pairs))], "_cr_pt"
+        narrow = points.select(*[F.col(a).alias(k) for (a, _), k in zip(pairs, pk)],
+                               F.col(point_ts).alias(pt), F.col(point_ts).alias("_cr_p0"))
+        narrow = narrow.dropna().distinct()
+        kept = {b for a, b in pairs if a == b}
+        found = binned_range_join(narrow, intervals, [(k, b) for k, (_, b) in zip(pk, pairs)], pt,
+                                  lo, hi, bin_seconds, hi_inclusive=hi_inclusive)
+        found = found.drop(pt, *kept)
+        joined = left_join(points, found, [*[(a, k) for (a, _), k in zip(pairs, pk)],
+                                           (point_ts, "_cr_p0")])
+        return joined.drop(*pk, "_cr_p0")
+    points, intervals = in_one_type((points, [point_ts]), (intervals, [lo, hi]))
     same = {b for a, b in pairs if a == b}
     ik = {b: (f"_cr_ik{n}" if b in same else b) for n, (_, b) in enumerate(pairs)}
-    p = points.withColumn(BIN, bin_of(point_ts, bin_seconds))
+    p = points.withColumn(BIN, F.explode(point_bins(point_ts, bin_seconds)))
     i = (intervals.withColumnsRenamed({b: k for b, k in ik.items() if b != k})
-         .withColumn("_cr_ibin", F.explode(bins_between(lo, hi, bin_seconds))))
+         .withColumn("_cr_ibin", F.explode(interval_bins(lo, hi, bin_seconds))))
     cond = [F.col(a) == F.col(ik[b]) for a, b in pairs]
-    cond.append(F.col(BIN) == F.col("_cr_ibin"))
+    cond += [F.col(f"{BIN}.l") == F.col("_cr_ibin.l"), F.col(f"{BIN}.b") == F.col("_cr_ibin.b")]
     pt = F.col(point_ts)
     cond.append(pt >= F.col(lo))
     cond.append(pt <= F.col(hi) if hi_inclusive else pt < F.col(hi))
-    if how == "left":
-        joined = left_join(p, i, [(a, ik[b]) for a, b in pairs] + [(BIN, "_cr_ibin")], cond)
-    else:
-        joined = p.join(i, on=cond, how=how)
-    return joined.drop(BIN, "_cr_ibin", *[k for b, k in ik.items() if b != k])
+    return p.join(i, on=cond).drop(BIN, "_cr_ibin", *[k for b, k in ik.items() if b != k])
 
 
-__all__ = ["BIN", "NULL_SPREAD", "bin_of", "bins_between", "binned_range_join", "left_join",
-           "null_salt"]
+__all__ = ["BIN", "binned_range_join", "interval_bins", "left_join", "null_salt", "point_bins",
+           "widths"]

@@ -8,9 +8,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ..functions.timecols import epoch_seconds
-from .ranges import binned_range_join
+from .ranges import binned_range_join, left_join
 
 # Default bucket for the per-aircraft previous-row look-up (1 day).
 LAG_BUCKET_SECONDS = 24 * 3600
@@ -64,15 +65,21 @@ def mark_parents(df: DataFrame, *, tail: str, at: str, start: str, end: str,
     previous row's [start, end] (its ``at`` standing in for a missing end) or
     equals the previous ``at``; True otherwise, including the first row of a
     tail and rows with NULL times. Rows are ordered per ``tail`` by
-    ``order`` (which must start with ``at``)."""
-    d = previous_values(df, partition=[tail], order=order, time_col=at,
+    ``order`` (which must start with ``at``).
+
+    A row without a tail is on no known aircraft and has no previous row: it is
+    a parent. Rows without tail or time never enter the window (nor could they
+    be another row's previous one: a NULL time makes no child)."""
+    placed = F.col(tail).isNotNull() & F.col(at).isNotNull()
+    d = previous_values(df.where(placed), partition=[tail], order=order, time_col=at,
                         values={"_cr_pat": at, "_cr_pst": start, "_cr_pen": end},
                         bucket_seconds=bucket_seconds)
     a = F.col(at)
     child = (a.between(F.coalesce("_cr_pst", "_cr_pat"), F.coalesce("_cr_pen", "_cr_pat"))
              | (a == F.col("_cr_pat")))
-    return d.withColumn(out, ~F.coalesce(child, F.lit(False))).drop("_cr_pat", "_cr_pst",
-                                                                     "_cr_pen")
+    marked = d.withColumn(out, ~F.coalesce(child, F.lit(False))).drop("_cr_pat", "_cr_pst",
+                                                                       "_cr_pen")
+    return marked.unionByName(df.where(~placed).withColumn(out, F.lit(True)))
 
 
 def group_siblings(marked: DataFrame, *, tail: str, at: str, start: str, end: str,
@@ -104,17 +111,17 @@ def group_siblings(marked: DataFrame, *, tail: str, at: str, start: str, end: st
     else:
         rows = kids
     rows = rows.distinct()
-    # rows without a key get no array; spread them over many window partitions
-    # (by a row hash, deterministic) instead of one partition per aircraft
-    rows = rows.withColumn("_cr_spread", F.when(F.col(parent_key).isNull(),
-                                                F.expr("xxhash64(*)")))
-    w = Window.partitionBy(tail, parent_key, "_cr_spread")
+    # one aggregate per group, joined back: no row carries its group's list
+    # through a window, and rows without a key are not gathered at all
     srt = F.struct(*[F.col(c) for c in order], F.col(id_col).alias("_cr_id"))
-    ids = F.transform(F.array_sort(F.filter(F.collect_list(srt).over(w),
-                                            lambda s: s["_cr_id"].isNotNull())),
-                      lambda s: s["_cr_id"])
-    return (rows.withColumn(ids_out, F.when(F.col(parent_key).isNotNull(), ids))
-            .drop("_cr_spread"))
+    groups = (rows.where(F.col(parent_key).isNotNull() & F.col(id_col).isNotNull())
+              .groupBy(F.col(tail).alias("_cr_gt"), F.col(parent_key).alias("_cr_gk"))
+              .agg(F.array_sort(F.collect_list(srt)).alias("_cr_ids")))
+    out = left_join(rows, groups, [(tail, "_cr_gt"), (parent_key, "_cr_gk")])
+    ids = F.coalesce(F.transform("_cr_ids", lambda x: x["_cr_id"]),
+                     F.array().cast(ArrayType(rows.schema[id_col].dataType)))
+    return (out.withColumn(ids_out, F.when(F.col(parent_key).isNotNull(), ids))
+            .drop("_cr_gt", "_cr_gk", "_cr_ids"))
 
 
 def slot_ids(esns: Sequence[Column | str], ids: Column | str, literal: bool = False,

@@ -37,74 +37,84 @@ ROLES = {
   SELECT event_id AS leg_id, 'T-' || CAST(user_id AS VARCHAR) AS tail, user_id AS key,
          event_id % 4 + 1 AS pos, ts AS start_ts,
          ts + to_seconds(CAST(floor(value * 1800) AS BIGINT)) AS end_ts,
-         {_code('user_id % 25')} AS dep, {_code('(user_id * 7 + event_id) % 25')} AS arr,
+         {_code('user_id // 2')} AS dep, {_code('(user_id + event_id % 9) // 2')} AS arr,
          event_id % 3 + 2 AS n_eng, {', '.join(_esn(k) for k in range(1, 5))}
-  FROM events WHERE event_type = 'purchase')""",
+  FROM ev WHERE event_type = 'purchase')""",
     "recs": f"""recs AS (
   SELECT event_id AS rec_id, user_id AS key, ts AS rec_ts,
-         CASE WHEN event_id % 4 = 0 THEN NULL ELSE {_code('event_id % 25')} END AS rec_dep
-  FROM events WHERE event_type = 'view')""",
+         CASE WHEN event_id % 4 = 0 THEN NULL ELSE {_code('(user_id + event_id % 5) // 2')} END AS rec_dep
+  FROM ev WHERE event_type = 'view')""",
     "obs": f"""obs AS (
-  SELECT event_id AS obs_id, user_id AS key, ts AS obs_ts, {_code('event_id % 25')} AS obs_dep
-  FROM events WHERE event_type = 'click')""",
+  SELECT event_id AS obs_id, user_id AS key, ts AS obs_ts, {_code('(user_id + event_id % 5) // 2')} AS obs_dep
+  FROM ev WHERE event_type = 'click')""",
     "wx": f"""wx AS (
-  SELECT {_code('user_id % 25')} AS airport_str, strftime(ts, '%Y%m') AS metar_year_month,
+  SELECT {_code('user_id // 2')} AS airport_str, strftime(ts, '%Y%m') AS metar_year_month,
          list(CAST(event_id AS VARCHAR) || '@' || strftime(ts, '%Y-%m-%d %H:%M:%S.%f'))
            AS metar_arr
-  FROM events WHERE event_type = 'error' GROUP BY 1, 2)""",
+  FROM ev WHERE event_type = 'error' GROUP BY 1, 2, user_id)""",
     "airports": f"""airports AS (
-  SELECT {_code('n_nationkey')} AS airport_code, radians(n_nationkey * 7 - 84) AS latitude_rad,
-         radians(n_nationkey * 14 - 168) AS longitude_rad FROM nation)""",
+  SELECT {_code('c_custkey * 2')} AS airport_code, radians(c_custkey % 24 * 7 - 84) AS latitude_rad,
+         radians(c_custkey % 25 * 14 - 168) AS longitude_rad FROM customer)""",
     "env_dated": f"""env_dated AS (
-  SELECT {_code('user_id % 25')} AS icao_code, CAST(ts AS DATE) AS nrl_date_year,
+  SELECT {_code('user_id // 2')} AS icao_code, CAST(ts AS DATE) AS nrl_date_year,
          min(event_id) AS env_airport_id, 'V6-' || CAST(min(event_id) AS VARCHAR) AS env_6x_id,
          CASE WHEN min(event_id) % 3 = 0 THEN NULL ELSE 'V5-' || CAST(min(event_id) AS VARCHAR)
          END AS env_5x_id, 'V4-' || CAST(max(event_id) AS VARCHAR) AS env_4x_id
-  FROM events WHERE event_type = 'signup' AND event_id % 2 = 0 GROUP BY 1, 2)""",
+  FROM ev WHERE event_type = 'signup' GROUP BY 1, 2)""",
     "env_undated": f"""env_undated AS (
-  SELECT {_code('user_id % 25')} AS icao_code, min(event_id) AS env_airport_id,
+  SELECT {_code('user_id // 2')} AS icao_code, min(event_id) AS env_airport_id,
          'U6-' || CAST(min(event_id) AS VARCHAR) AS env_6x_id,
          'U5-' || CAST(max(event_id) AS VARCHAR) AS env_5x_id,
          'U4-' || CAST(min(event_id) AS VARCHAR) AS env_4x_id
-  FROM events WHERE event_type = 'signup' AND user_id % 25 < 20 GROUP BY 1)""",
+  FROM ev WHERE event_type = 'signup' GROUP BY 1)""",
     "timeline": """timeline AS (
   SELECT user_id AS tl_key, event_id AS tl_id, ts AS begin_ts,
          lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS end_ts,
          'M' || CAST(event_id % 5 AS VARCHAR) AS engine_model_mdm,
          'S' || CAST(event_id % 3 AS VARCHAR) AS engine_series_mdm
-  FROM events WHERE event_type = 'error')""",
+  FROM ev WHERE event_type = 'error')""",
     "hist": """hist AS (
   SELECT user_id AS hist_key, ts AS ev_ts, event_id % 7 AS removals, event_id % 5 AS visits
-  FROM events WHERE event_type = 'signup')""",
+  FROM ev WHERE event_type = 'signup')""",
     "reports": f"""reports AS (
-  SELECT event_id AS report_def_id, 'R' || CAST(event_id AS VARCHAR) AS report_id,
-         {_code('event_id % 25')} AS rmd_dep, {_code('(event_id + 3) % 25')} AS rmd_arr
-  FROM events WHERE event_type = 'purchase' AND event_id % 3 = 0)""",
+  SELECT CASE WHEN event_id % 3 = 0 THEN event_id ELSE -event_id END AS report_def_id, 'R' || CAST(event_id AS VARCHAR) AS report_id,
+         {_code('(user_id + event_id % 5) // 2')} AS rmd_dep, {_code('(user_id + event_id % 3) // 2')} AS rmd_arr
+  FROM ev WHERE event_type = 'purchase')""",
     "rmd_flights": f"""rmd_flights AS (
-  SELECT CASE WHEN event_id % 5 = 0 THEN event_id % 400 END AS st_message_seq_id,
-         CASE WHEN event_id % 5 = 1 THEN event_id % 400 END AS tk_message_seq_id,
-         CASE WHEN event_id % 5 = 2 THEN event_id % 400 END AS cl_message_seq_id,
-         CASE WHEN event_id % 7 = 0 THEN event_id % 400 END AS cr1_message_seq_id,
+  SELECT CASE WHEN event_id % 5 = 0 THEN event_id // 8 END AS st_message_seq_id,
+         CASE WHEN event_id % 5 = 1 THEN event_id // 8 END AS tk_message_seq_id,
+         CASE WHEN event_id % 5 = 2 THEN event_id // 8 END AS cl_message_seq_id,
+         CASE WHEN event_id % 7 = 0 THEN event_id // 8 END AS cr1_message_seq_id,
          CAST(NULL AS BIGINT) AS pf_message_seq_id, event_id AS rmd_flight_def_id,
          'E' || CAST(user_id AS VARCHAR) AS serlzd_eng_ser_num, event_id % 4 + 1 AS engine_position,
-         {_code('user_id % 25')} AS airport_depart, {_code('(user_id * 7 + event_id) % 25')} AS airport_dest,
-         {_list(FAMILIES)}[user_id % 7 + 1] AS family
-  FROM events WHERE event_type = 'purchase')""",
+         {_code('user_id // 2')} AS airport_depart, {_code('(user_id + event_id % 9) // 2')} AS airport_dest,
+         {_list(FAMILIES)}[(event_id // 8) % 7 + 1] AS family
+  FROM ev WHERE event_type = 'purchase')""",
     "rmd_params": f"""rmd_params AS (
-  SELECT event_id % 400 AS message_seq_id,
+  SELECT event_id // 8 AS message_seq_id,
          CASE WHEN user_id % 10 = 0 THEN NULL ELSE 'C' || CAST(user_id % 10 AS VARCHAR) END AS src_icao_cd,
          CASE WHEN user_id % 11 = 0 THEN NULL ELSE 'E' || CAST(user_id AS VARCHAR) END AS serlzd_eng_ser_num,
          CASE WHEN event_id % 13 = 0 THEN NULL ELSE event_id % 4 + 1 END AS engine_position,
          CASE WHEN user_id % 9 = 0 THEN NULL
               ELSE TIMESTAMP '2020-01-01 00:00:00' + to_days(CAST(user_id AS INTEGER)) END AS install_datetime,
          ts AS message_date_time, {_list(PARAM_TYPES)}[event_id % 8 + 1] AS report_type,
-         {_list(FAMILIES)}[user_id % 7 + 1] AS family
-  FROM events WHERE event_type = 'click')""",
+         {_list(FAMILIES)}[(event_id // 8) % 7 + 1] AS family
+  FROM ev WHERE event_type = 'click')""",
 }
 
 
+ROLES["all_legs"] = ROLES["legs"].replace(" WHERE event_type = 'purchase'", "")
+ROLES["repeated_legs"] = """repeated AS (
+  SELECT CASE WHEN leg_id % 17 <> 0 THEN leg_id END AS leg_id, key, start_ts, end_ts FROM (
+    SELECT leg_id, key, start_ts, end_ts FROM legs UNION ALL
+    SELECT leg_id, key, start_ts + INTERVAL 1 MINUTE, end_ts FROM legs WHERE leg_id % 20 = 0))"""
+
+EV = """ev AS (
+  SELECT * REPLACE (ts + to_days(CAST(user_id % 14 * 30 AS INTEGER)) AS ts) FROM events)"""
+
+
 def _with(*names: str, extra: str = "") -> str:
-    parts = [ROLES[n] for n in names]
+    parts = [EV, *[ROLES[n] for n in names]]
     if extra:
         parts.append(extra)
     return "WITH " + ",\n".join(parts) + "\n"
@@ -293,9 +303,9 @@ FROM legs l LEFT JOIN dist d ON l.dep = d.dep AND l.arr = d.arr""",
 FROM env_depart a JOIN env_destination b ON a.leg_id = b.leg_id""",
     "q14": _with("legs", "timeline") + """SELECT l.leg_id, t.tl_id, t.engine_model_mdm, t.engine_series_mdm
 FROM legs l LEFT JOIN timeline t ON l.key = t.tl_key AND l.start_ts BETWEEN t.begin_ts AND t.end_ts""",
-    "q15": _with("legs", extra=_MARK) + "SELECT leg_id, tail, is_parent FROM marked",
-    "q16": _with("legs", extra=_SIBS) + "SELECT leg_id, tail, is_parent, parent_datetime FROM sib",
-    "q17": _with("legs", extra=_SIBS) + "SELECT leg_id, parent_datetime, "
+    "q15": _with("all_legs", extra=_MARK) + "SELECT leg_id, tail, is_parent FROM marked",
+    "q16": _with("all_legs", extra=_SIBS) + "SELECT leg_id, tail, is_parent, parent_datetime FROM sib",
+    "q17": _with("all_legs", extra=_SIBS) + "SELECT leg_id, parent_datetime, "
     + "array_to_string(ids, ',') AS sibling_ids, slot_1, slot_2, slot_3, slot_4, "
     + "concat_ws(',', slot_1, slot_2, slot_3, slot_4) AS slots FROM ("
     + "SELECT *, " + ", ".join(_slot(k) for k in range(1, 5)) + " FROM sibs) x",
@@ -307,7 +317,7 @@ GROUP BY l.leg_id""",
   coalesce(CASE WHEN l.leg_id % 5 = 0 THEN NULL ELSE l.dep END, r.rmd_dep) AS airport_depart,
   coalesce(CASE WHEN l.leg_id % 7 = 0 THEN NULL ELSE l.arr END, r.rmd_arr) AS airport_destination
 FROM legs l LEFT JOIN reports r ON l.leg_id = r.report_def_id""",
-    "q20": _with("legs") + """SELECT leg_id, n_eng AS no_of_engines,
+    "q20": _with("all_legs") + """SELECT leg_id, n_eng AS no_of_engines,
   CASE WHEN n_eng = 2 THEN (CASE WHEN pos = 1 THEN 'LI' WHEN pos = 2 THEN 'RI' END)
        WHEN n_eng = 3 THEN (CASE WHEN pos = 1 THEN 'LI' WHEN pos = 2 THEN 'C' WHEN pos = 3 THEN 'RI' END)
        WHEN n_eng = 4 THEN (CASE WHEN pos = 1 THEN 'LO' WHEN pos = 2 THEN 'LI' WHEN pos = 3 THEN 'RI'
@@ -320,21 +330,36 @@ FROM legs""",
   CASE WHEN l.esn_3 IS NULL THEN 't' ELSE 'f' END AS missing_esn_3,
   CASE WHEN l.esn_4 IS NULL THEN 't' ELSE 'f' END AS missing_esn_4
 FROM legs l LEFT JOIN dist d ON l.dep = d.dep AND l.arr = d.arr""",
-    "q22": _with("legs") + """SELECT leg_id,
+    "q22": _with("all_legs") + """SELECT leg_id,
   concat_ws('-', coalesce(CAST(leg_id AS VARCHAR), '0'), coalesce(esn_1, 'xxx')) AS "ID",
   concat_ws('_', esn_1, strftime(start_ts, '%Y%m%d')) AS enginefitstring,
   coalesce(dep, 'z') || coalesce(esn_1, 'x') || coalesce(CAST(pos AS VARCHAR), 'y')
     || coalesce(CAST(""" + _secs("start_ts") + """ AS VARCHAR), '-2') AS nkey
 FROM legs""",
-    "q23": _with("legs") + "SELECT leg_id, CAST(strftime(start_ts, '%Y%m') AS INTEGER) AS best_yearmonth FROM legs",
+    "q23": _with("all_legs") + "SELECT leg_id, CAST(strftime(start_ts, '%Y%m') AS INTEGER) AS best_yearmonth FROM legs",
     "q24": """SELECT o_orderkey, o_orderdate, CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS best_yearmonth
 FROM orders WHERE CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) >= 200008""",
     "q25": """SELECT o_orderkey, o_totalprice, CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS best_yearmonth
 FROM orders WHERE CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) < 200008
 UNION ALL
 SELECT o_orderkey, o_totalprice * 2, CAST(strftime(o_orderdate, '%Y%m') AS INTEGER)
-FROM orders WHERE CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) > 200008
-  AND o_orderpriority <> '1-URGENT'""",
+FROM orders WHERE CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) > 200008""",
+    "q31": _with("legs", "recs", "repeated_legs", extra="""one AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY leg_id ORDER BY start_ts) AS rn FROM repeated)
+  WHERE rn = 1 AND leg_id IS NOT NULL),
+mm AS (
+  SELECT o.leg_id, count(r.rec_id) AS n, max(r.rec_id) AS rec_id FROM one o LEFT JOIN recs r
+    ON o.key = r.key AND r.rec_ts BETWEEN o.start_ts - INTERVAL 20 MINUTE AND o.end_ts GROUP BY 1)""")
+    + """SELECT o.leg_id, o.key, o.start_ts, mm.rec_id, mm.n AS rec_count FROM one o JOIN mm ON o.leg_id = mm.leg_id
+UNION ALL SELECT NULL, key, start_ts, NULL, 0 FROM repeated WHERE leg_id IS NULL""",
+    "q32": _with("legs", "obs", "repeated_legs", extra="""c AS (
+  SELECT l.leg_id, l.key, l.start_ts, o.obs_id,
+         row_number() OVER (PARTITION BY l.leg_id ORDER BY o.obs_id IS NULL,
+           abs(""" + _secs("l.start_ts") + " - " + _secs("o.obs_ts") + """),
+           sign(""" + _secs("l.start_ts") + " - " + _secs("o.obs_ts") + """), o.obs_id, l.start_ts) AS rn
+  FROM repeated l LEFT JOIN obs o ON l.key = o.key
+   AND o.obs_ts BETWEEN l.start_ts - INTERVAL 25 MINUTE AND l.end_ts + INTERVAL 25 MINUTE)""")
+    + "SELECT leg_id, key, start_ts, obs_id FROM c WHERE leg_id IS NULL OR rn = 1",
     "q26": _with("rmd_flights", "rmd_params", extra=_roster(FAMILIES)) + _ROSTER_SELECT,
     "q27": _with("rmd_flights", "rmd_params", extra=_roster(None)) + _ROSTER_SELECT,
 }
@@ -346,5 +371,5 @@ def _end_to_end(where: str = "") -> str:
     return end_to_end_sql(OUTPUT_COLUMNS, where)
 
 
-SQL["q29"] = _end_to_end()
-SQL["q30"] = _end_to_end("CAST(strftime(best_datetime, '%Y%m') AS INTEGER) >= 202312")
+SQL["q28"] = SQL["q29"] = _end_to_end()
+SQL["q30"] = _end_to_end("CAST(strftime(best_datetime, '%Y%m') AS INTEGER) >= 202406")

@@ -18,14 +18,15 @@ from .. import operators as op
 from ..functions import (composite_id, engine_fit_string, month_key_int, normalize_id,
                          position_label, present_flag, quality_flags, report_nkey, shift)
 from ..functions.timecols import ts_type_of
+from ..operators.ranges import left_join
 from ..session import scratch_path
 from ..sources import adapter, roles, sink
 from ..sources.tables import Tables
-from .common_flight import build_common_flight, build_trailing
+from .common_flight import build_common_flight, build_trailing, publish_full
 
 AS_OF = dt.date(2001, 8, 1)
 CREATED_AT = dt.datetime(2024, 2, 1, 0, 0, 0)
-TRAILING_AS_OF = dt.date(2024, 12, 20)
+TRAILING_AS_OF = dt.date(2025, 6, 20)
 LEG_ORDER = ["start_ts", "pos", "leg_id"]
 
 
@@ -53,8 +54,7 @@ def with_rec_detail(t: Tables) -> DataFrame:
     rows = with_unmatched(t)
     det = roles.recs(t).select(F.col("rec_id").alias("_rid"), F.col("key").alias("_rkey"),
                                "rec_ts", "rec_dep")
-    return (rows.join(det, on=[rows["rec_id"] == det["_rid"], rows["key"] == det["_rkey"]],
-                      how="left").drop("_rid", "_rkey"))
+    return left_join(rows, det, [("rec_id", "_rid"), ("key", "_rkey")]).drop("_rid", "_rkey")
 
 
 def fa_candidates(t: Tables) -> DataFrame:
@@ -73,7 +73,7 @@ def fa_matched(t: Tables) -> DataFrame:
 
 
 def marked_legs(t: Tables) -> DataFrame:
-    return op.mark_parents(roles.legs(t), tail="tail", at="start_ts", start="start_ts",
+    return op.mark_parents(roles.legs(t, None), tail="tail", at="start_ts", start="start_ts",
                            end="end_ts", order=LEG_ORDER)
 
 
@@ -240,7 +240,7 @@ def q19(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q20(spark: SparkSession, sf: str) -> DataFrame:
-    legs = roles.legs(Tables(spark, sf))
+    legs = roles.legs(Tables(spark, sf), None)
     return legs.select("leg_id", F.col("n_eng").alias("no_of_engines"),
                        position_label("pos", "n_eng").alias("engine_position_description"))
 
@@ -253,14 +253,14 @@ def q21(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q22(spark: SparkSession, sf: str) -> DataFrame:
-    legs = roles.legs(Tables(spark, sf))
+    legs = roles.legs(Tables(spark, sf), None)
     return legs.select("leg_id", composite_id("leg_id", "esn_1").alias("ID"),
                        engine_fit_string("esn_1", "start_ts").alias("enginefitstring"),
                        report_nkey("dep", "esn_1", "pos", "start_ts").alias("nkey"))
 
 
 def q23(spark: SparkSession, sf: str) -> DataFrame:
-    legs = roles.legs(Tables(spark, sf))
+    legs = roles.legs(Tables(spark, sf), None)
     return legs.select("leg_id", month_key_int("start_ts").alias("best_yearmonth"))
 
 
@@ -274,13 +274,13 @@ def q24(spark: SparkSession, sf: str) -> DataFrame:
 def q25(spark: SparkSession, sf: str) -> DataFrame:
     """Full write, trailing refresh (one month emptied), catalog read-back."""
     o = Tables(spark, sf).orders.select(
-        "o_orderkey", "o_totalprice", "o_orderpriority",
+        "o_orderkey", "o_totalprice",
         month_key_int("o_orderdate").alias("best_yearmonth"))
     cutoff = sink.cutoff_month(AS_OF)
     path = scratch_path(spark, "q25")
     sink.write_full(o.select("o_orderkey", "o_totalprice", "best_yearmonth"), path,
                     "best_yearmonth")
-    fresh = (o.where((F.col("best_yearmonth") > cutoff) & (F.col("o_orderpriority") != "1-URGENT"))
+    fresh = (o.where(F.col("best_yearmonth") > cutoff)
              .select("o_orderkey", (F.col("o_totalprice") * 2).alias("o_totalprice"),
                      "best_yearmonth"))
     sink.refresh_trailing(spark, fresh, path, "best_yearmonth", cutoff)
@@ -300,33 +300,61 @@ def q27(spark: SparkSession, sf: str) -> DataFrame:
     return op.message_roster(_roster_sources(t, None))
 
 
+def _hash_stable(out: DataFrame) -> DataFrame:
+    """Distance to 3 decimals, matched record ids as a sorted comma list."""
+    return out.withColumns({
+        "great_circle_distance": F.round("great_circle_distance", 3),
+        "matched_adi_flight_rec_nos": _ids_text("matched_adi_flight_rec_nos")})
+
+
 def q28(spark: SparkSession, sf: str) -> DataFrame:
-    """End to end: every step, fixed output columns, one engine family."""
+    """End to end: every step, fixed output columns, one engine family of two."""
     t = Tables(spark, sf)
-    return build_common_flight(adapter.common_flight_inputs(t), adapter.FAMILY, CREATED_AT)
+    return _hash_stable(build_common_flight(adapter.common_flight_inputs(t), adapter.FAMILY,
+                                            CREATED_AT))
 
 
 def q29(spark: SparkSession, sf: str) -> DataFrame:
-    """q28 with hash-stable values (distance to 3 decimals, matched record ids
-    as a sorted comma list), checked against the composed SQL oracle."""
-    return q28(spark, sf).withColumns({
-        "great_circle_distance": F.round("great_circle_distance", 3),
-        "matched_adi_flight_rec_nos": _ids_text("matched_adi_flight_rec_nos")})
+    """q28 published by month and read back from the catalog."""
+    out = q28(spark, sf)
+    path = scratch_path(spark, "q29")
+    name = "contrail_q29_" + path.rsplit("-", 1)[-1]
+    publish_full(out, path, name)
+    return spark.table(name).select(*out.columns)
 
 
 def q30(spark: SparkSession, sf: str) -> DataFrame:
-    """Trailing twelve-month build (as of 2024-12-20: months >= 202312), with
-    the hash-stable values of q29."""
+    """Trailing twelve-month build (as of 2025-06-20: months >= 202406), with
+    the hash-stable values of q28."""
     t = Tables(spark, sf)
     out = build_trailing(adapter.common_flight_inputs(t), adapter.FAMILY, CREATED_AT,
                          as_of=TRAILING_AS_OF)
-    return out.withColumns({
-        "great_circle_distance": F.round("great_circle_distance", 3),
-        "matched_adi_flight_rec_nos": _ids_text("matched_adi_flight_rec_nos")})
+    return _hash_stable(out)
+
+
+def q31(spark: SparkSession, sf: str) -> DataFrame:
+    """Interval match over flights listed twice and flights without an id."""
+    t = Tables(spark, sf)
+    out = op.interval_match(roles.repeated_legs(t), roles.recs(t), leg_id="leg_id", keys=["key"],
+                            start="start_ts", end="end_ts", rec_ts="rec_ts", rec_id="rec_id")
+    return out.select("leg_id", "key", "start_ts", "rec_id",
+                      F.col("rec_count").cast("long").alias("rec_count"))
+
+
+def q32(spark: SparkSession, sf: str) -> DataFrame:
+    """Nearest match over the same rows: one row per id, and without an id every
+    candidate."""
+    t = Tables(spark, sf)
+    rows = roles.repeated_legs(t).withColumns({"_lo": shift("start_ts", "-25 minutes"),
+                                               "_hi": shift("end_ts", "25 minutes")})
+    out = op.nearest_match(rows, roles.obs(t), row_key=["start_ts"], id_col="leg_id", keys=["key"],
+                           lo="_lo", hi="_hi", at="start_ts", obs_ts="obs_ts", tiebreak="obs_id",
+                           obs_cols=["obs_id"])
+    return out.select("leg_id", "key", "start_ts", "obs_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f"q{n:02d}": fn for n, fn in enumerate(
         [q01, q02, q03, q04, q05, q06, q07, q08, q09, q10, q11, q12, q13, q14, q15, q16, q17,
-         q18, q19, q20, q21, q22, q23, q24, q25, q26, q27, q28, q29, q30], start=1)
+         q18, q19, q20, q21, q22, q23, q24, q25, q26, q27, q28, q29, q30, q31, q32], start=1)
 }

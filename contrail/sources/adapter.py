@@ -25,6 +25,11 @@ def _s(x: str) -> str:
     return f"CAST({x} AS STRING)"
 
 
+def _family(user: str) -> str:
+    """A third of the users fly another family than the one that is built."""
+    return f"CASE WHEN {user} % 3 = 0 THEN 'CF34' ELSE '{FAMILY}' END"
+
+
 def _esn(user: str, pos: str) -> str:
     return f"concat('E', {_s(user)}, '-', {_s(pos)})"
 
@@ -35,10 +40,10 @@ def _day(start: str, days: str) -> str:
 
 def phm(t: Tables) -> DataFrame:
     return roles.legs(t).selectExpr(
-        f"'{FAMILY}' AS engine_family", "leg_id AS phm_flight_def_id",
+        f"{_family('key')} AS engine_family", "leg_id AS phm_flight_def_id",
         f"concat('C', {_s('key % 10')}) AS src_icao_cd",
         f"{_esn('key', 'pos')} AS serlzd_eng_ser_num",
-        f"concat('AT', {_s('key % 5')}) AS aircraft_type",
+        f"concat('AT', {_s('key % 30')}) AS aircraft_type",
         f"CASE WHEN leg_id % 6 = 0 THEN NULL ELSE concat('ET', {_s('key % 3')}) END AS engine_type",
         "CAST(pos AS INT) AS engine_position",
         f"concat(' t-', {_s('key')}, ' ') AS src_tl_num",
@@ -55,14 +60,15 @@ def phm(t: Tables) -> DataFrame:
 
 
 def aircraft_types(t: Tables) -> DataFrame:
-    return t.nation.where("n_nationkey < 4").selectExpr(
-        f"concat('AT', {_s('n_nationkey')}) AS aircrft_typ_cd",
+    """Twenty types, five of them listed twice."""
+    return t.nation.selectExpr(
+        f"concat('AT', {_s('n_nationkey % 20')}) AS aircrft_typ_cd",
         f"concat('FAM', {_s('n_nationkey % 2')}) AS vld_arfrmr_nm")
 
 
 def ffd(t: Tables) -> DataFrame:
     return roles.recs(t).selectExpr(
-        f"'{FAMILY}' AS ffd_engine_family", f"{_esn('key', 'rec_id % 4 + 1')} AS ffd_esn",
+        f"{_family('key')} AS ffd_engine_family", f"{_esn('key', 'rec_id % 4 + 1')} AS ffd_esn",
         "CAST(rec_id % 4 + 1 AS INT) AS ffd_engine_position",
         f"concat('T', {_s('key')}) AS ffd_tail_number", "rec_ts AS flight_date_exact",
         "rec_id AS adi_flight_record_number", f"concat('FK', {_s('rec_id')}) AS flight_key_no",
@@ -70,12 +76,12 @@ def ffd(t: Tables) -> DataFrame:
         f"concat('AT', {_s('key % 5')}) AS ffd_aircraft_type",
         f"concat('ET', {_s('key % 3')}) AS ffd_engine_type",
         f"{_day('2020-01-02', 'key')} AS ffd_install_date", "rec_dep AS ffd_depart_icao",
-        f"{airport_code_sql('(rec_id + 11) % 25')} AS ffd_arrival_icao")
+        f"{airport_code_sql('(key + rec_id % 7) div 2')} AS ffd_arrival_icao")
 
 
 def fa(t: Tables) -> DataFrame:
     return roles.obs(t).selectExpr(
-        f"'{FAMILY}' AS fa_engine_family", f"concat('T', {_s('key')}) AS fa_tail_number",
+        f"{_family('key')} AS fa_engine_family", f"concat('T', {_s('key')}) AS fa_tail_number",
         f"{_esn('key', 'obs_id % 4 + 1')} AS fa_esn",
         "CAST(obs_id % 4 + 1 AS INT) AS fa_eng_position", "obs_ts AS faware_dt",
         "obs_id AS internal_id", f"concat('FA', {_s('obs_id')}) AS faware_id",
@@ -88,7 +94,7 @@ def fa(t: Tables) -> DataFrame:
         "obs_ts AS estimated_depart_time_utc",
         "timestampadd(HOUR, 2, obs_ts) AS estimated_dest_time_utc",
         "obs_dep AS faware_depart",
-        f"{airport_code_sql('(obs_id + 5) % 25')} AS faware_destination",
+        f"{airport_code_sql('(key + obs_id % 6) div 2')} AS faware_destination",
         "CAST(NULL AS TIMESTAMP_NTZ) AS timeline_begin_date",
         "CAST(NULL AS TIMESTAMP_NTZ) AS timeline_end_date",
         f"CASE WHEN obs_id % 2 = 0 THEN '{FAMILY}' END AS engine_family_mdm",
@@ -104,7 +110,7 @@ def denorm(t: Tables) -> DataFrame:
         f"{_esn('tl_key', 'tl_id % 4 + 1')} AS esn",
         f"concat('T', {_s('tl_key')}) AS denorm_tail_number",
         "begin_ts AS timeline_begin_date", "end_ts AS timeline_end_date",
-        f"'{FAMILY}' AS engine_family_denorm", f"'{FAMILY}' AS engine_family_mdm",
+        f"{_family('tl_key')} AS engine_family_denorm", f"'{FAMILY}' AS engine_family_mdm",
         "engine_model_mdm", "engine_series_mdm",
         *[f"CASE WHEN (tl_key + {j}) % 3 = 0 THEN NULL ELSE {_esn('tl_key', str(j))} END "
           f"AS eng_pos_{j}_esn" for j in range(1, 5)],

@@ -2,8 +2,9 @@
 
 Each role is a projection (sometimes an aggregate) of one driver table, so it
 grows with the table and the DuckDB oracle can define it with the same
-expressions (see ``contrail.plans.oracle``). ``events`` spans one month; its
-event types stand for the different record sources.
+expressions (see ``contrail.plans.oracle``). The event types of ``events``
+stand for the different record sources; a role without a second source reads
+every event.
 """
 
 from __future__ import annotations
@@ -37,8 +38,11 @@ def airport_code(n: Column | str) -> Column:
             .otherwise(F.concat(F.lit("X"), n.cast("string")))
 
 
-def _events(t: Tables, kind: str) -> DataFrame:
-    return t.events.where(F.col("event_type") == kind)
+def _events(t: Tables, kind: str | None) -> DataFrame:
+    """Events of a kind (None: all), each user's moved by 0 to 13 times 30
+    days, so that the times of ``events`` spread over fourteen months."""
+    e = t.events if kind is None else t.events.where(F.col("event_type") == kind)
+    return e.withColumn("ts", F.expr("timestampadd(DAY, CAST(user_id % 14 * 30 AS INT), ts)"))
 
 
 def _esn(k: int) -> Column:
@@ -47,29 +51,39 @@ def _esn(k: int) -> Column:
             .otherwise(F.concat(F.lit("E"), u.cast("string"), F.lit(f"-{k}")))
 
 
-def legs(t: Tables) -> DataFrame:
-    """PHM flights: one per purchase event."""
+def legs(t: Tables, kind: str | None = "purchase") -> DataFrame:
+    """PHM flights: one per purchase event (``kind=None``: per event)."""
     e, u = F.col("event_id"), F.col("user_id")
-    return _events(t, "purchase").select(
+    return _events(t, kind).select(
         e.alias("leg_id"),
         F.concat(F.lit("T-"), u.cast("string")).alias("tail"),
         u.alias("key"),
         (e % 4 + 1).alias("pos"),
         F.col("ts").alias("start_ts"),
         F.timestamp_add("SECOND", F.floor(F.col("value") * 1800), F.col("ts")).alias("end_ts"),
-        airport_code("user_id % 25").alias("dep"),
-        airport_code("(user_id * 7 + event_id) % 25").alias("arr"),
+        airport_code("user_id div 2").alias("dep"),
+        airport_code("(user_id + event_id % 9) div 2").alias("arr"),
         (e % 3 + 2).alias("n_eng"),
         *[_esn(k).alias(f"esn_{k}") for k in range(1, 5)],
     )
 
 
+def repeated_legs(t: Tables) -> DataFrame:
+    """The flights with every twentieth listed again a minute later, and every
+    seventeenth without an id."""
+    rows = legs(t).select("leg_id", "key", "start_ts", "end_ts")
+    again = rows.where(F.col("leg_id") % 20 == 0).withColumn(
+        "start_ts", F.timestamp_add("MINUTE", F.lit(1), F.col("start_ts")))
+    none = F.col("leg_id") % 17 == 0
+    return rows.unionByName(again).withColumn("leg_id", F.when(~none, F.col("leg_id")))
+
+
 def recs(t: Tables) -> DataFrame:
     """Full-flight-data recordings: view events."""
     e = F.col("event_id")
     return _events(t, "view").select(
         e.alias("rec_id"), F.col("user_id").alias("key"), F.col("ts").alias("rec_ts"),
-        F.when(e % 4 == 0, F.lit(None).cast("string")).otherwise(airport_code("event_id % 25"))
+        F.when(e % 4 == 0, F.lit(None).cast("string")).otherwise(airport_code("(user_id + event_id % 5) div 2"))
         .alias("rec_dep"))
 
 
@@ -78,32 +92,34 @@ def obs(t: Tables) -> DataFrame:
     e = F.col("event_id")
     return _events(t, "click").select(
         e.alias("obs_id"), F.col("user_id").alias("key"), F.col("ts").alias("obs_ts"),
-        airport_code("event_id % 25").alias("obs_dep"))
+        airport_code("(user_id + event_id % 5) div 2").alias("obs_dep"))
 
 
 def wx(t: Tables) -> DataFrame:
-    """Weather readings packed per (airport, month): error events."""
+    """Weather readings packed per (airport, month, station): error events. An
+    airport and month can have several rows, so that no list grows with the
+    whole airport."""
     reading = F.concat(F.col("event_id").cast("string"), F.lit("@"),
                        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     return (_events(t, "error")
-            .groupBy(airport_code("user_id % 25").alias("airport_str"),
-                     F.date_format("ts", "yyyyMM").alias("metar_year_month"))
-            .agg(F.collect_list(reading).alias("metar_arr")))
+            .groupBy(airport_code("user_id div 2").alias("airport_str"),
+                     F.date_format("ts", "yyyyMM").alias("metar_year_month"), "user_id")
+            .agg(F.collect_list(reading).alias("metar_arr")).drop("user_id"))
 
 
 def airports(t: Tables) -> DataFrame:
-    """Airport coordinates (radians) from nation."""
-    n = F.col("n_nationkey")
-    return t.nation.select(airport_code("n_nationkey").alias("airport_code"),
-                           F.radians(n * 7 - 84).alias("latitude_rad"),
-                           F.radians(n * 14 - 168).alias("longitude_rad"))
+    """Airport coordinates (radians) from customer: every other airport has some."""
+    n = F.col("c_custkey")
+    return t.customer.select(airport_code("c_custkey * 2").alias("airport_code"),
+                             F.radians(n % 24 * 7 - 84).alias("latitude_rad"),
+                             F.radians(n % 25 * 14 - 168).alias("longitude_rad"))
 
 
 def env_dated(t: Tables) -> DataFrame:
-    """Dated environment ids per (airport, day): even signup events."""
+    """Dated environment ids per (airport, day): signup events."""
     lo, hi = F.min("event_id"), F.max("event_id")
-    return (_events(t, "signup").where(F.col("event_id") % 2 == 0)
-            .groupBy(airport_code("user_id % 25").alias("icao_code"),
+    return (_events(t, "signup")
+            .groupBy(airport_code("user_id div 2").alias("icao_code"),
                      F.col("ts").cast("date").alias("nrl_date_year"))
             .agg(lo.alias("env_airport_id"),
                  F.concat(F.lit("V6-"), lo.cast("string")).alias("env_6x_id"),
@@ -113,10 +129,10 @@ def env_dated(t: Tables) -> DataFrame:
 
 
 def env_undated(t: Tables) -> DataFrame:
-    """Undated environment ids per airport (airport codes 0..19 only)."""
+    """Undated environment ids per airport that has a signup event."""
     lo, hi = F.min("event_id"), F.max("event_id")
-    return (_events(t, "signup").where(F.col("user_id") % 25 < 20)
-            .groupBy(airport_code("user_id % 25").alias("icao_code"))
+    return (_events(t, "signup")
+            .groupBy(airport_code("user_id div 2").alias("icao_code"))
             .agg(lo.alias("env_airport_id"),
                  F.concat(F.lit("U6-"), lo.cast("string")).alias("env_6x_id"),
                  F.concat(F.lit("U5-"), hi.cast("string")).alias("env_5x_id"),
@@ -144,12 +160,13 @@ def hist(t: Tables) -> DataFrame:
 
 
 def reports(t: Tables) -> DataFrame:
-    """Flight reports for every third purchase event."""
+    """Flight reports per purchase event; two in three name no flight (a
+    negative id)."""
     e = F.col("event_id")
-    return _events(t, "purchase").where(e % 3 == 0).select(
-        e.alias("report_def_id"), F.concat(F.lit("R"), e.cast("string")).alias("report_id"),
-        airport_code("event_id % 25").alias("rmd_dep"),
-        airport_code("(event_id + 3) % 25").alias("rmd_arr"))
+    return _events(t, "purchase").select(
+        F.when(e % 3 == 0, e).otherwise(-e).alias("report_def_id"), F.concat(F.lit("R"), e.cast("string")).alias("report_id"),
+        airport_code("(user_id + event_id % 5) div 2").alias("rmd_dep"),
+        airport_code("(user_id + event_id % 3) div 2").alias("rmd_arr"))
 
 
 def _family(u: Column) -> Column:
@@ -159,28 +176,28 @@ def _family(u: Column) -> Column:
 
 def rmd_flights(t: Tables) -> DataFrame:
     """Report flights: purchase events with up to five message ids."""
-    e, u = F.col("event_id"), F.col("user_id")
+    e, u, m = F.col("event_id"), F.col("user_id"), F.expr("event_id div 8")
     none = F.lit(None).cast("long")
     return _events(t, "purchase").select(
-        F.when(e % 5 == 0, e % 400).alias("st_message_seq_id"),
-        F.when(e % 5 == 1, e % 400).alias("tk_message_seq_id"),
-        F.when(e % 5 == 2, e % 400).alias("cl_message_seq_id"),
-        F.when(e % 7 == 0, e % 400).alias("cr1_message_seq_id"),
+        F.when(e % 5 == 0, m).alias("st_message_seq_id"),
+        F.when(e % 5 == 1, m).alias("tk_message_seq_id"),
+        F.when(e % 5 == 2, m).alias("cl_message_seq_id"),
+        F.when(e % 7 == 0, m).alias("cr1_message_seq_id"),
         none.alias("pf_message_seq_id"),
         e.alias("rmd_flight_def_id"),
         F.concat(F.lit("E"), u.cast("string")).alias("serlzd_eng_ser_num"),
         (e % 4 + 1).alias("engine_position"),
-        airport_code("user_id % 25").alias("airport_depart"),
-        airport_code("(user_id * 7 + event_id) % 25").alias("airport_dest"),
-        _family(u).alias("family"))
+        airport_code("user_id div 2").alias("airport_depart"),
+        airport_code("(user_id + event_id % 9) div 2").alias("airport_dest"),
+        _family(m).alias("family"))
 
 
 def rmd_params(t: Tables) -> DataFrame:
     """Report parameters: click events."""
-    e, u = F.col("event_id"), F.col("user_id")
+    e, u, m = F.col("event_id"), F.col("user_id"), F.expr("event_id div 8")
     types = F.array(*[F.lit(x) for x in PARAM_REPORT_TYPES])
     return _events(t, "click").select(
-        (e % 400).alias("message_seq_id"),
+        m.alias("message_seq_id"),
         F.when(u % 10 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("C"), (u % 10).cast("string"))).alias("src_icao_cd"),
         F.when(u % 11 == 0, F.lit(None).cast("string"))
@@ -191,4 +208,4 @@ def rmd_params(t: Tables) -> DataFrame:
         .alias("install_datetime"),
         F.col("ts").alias("message_date_time"),
         F.element_at(types, (e % len(PARAM_REPORT_TYPES) + 1).cast("int")).alias("report_type"),
-        _family(u).alias("family"))
+        _family(m).alias("family"))

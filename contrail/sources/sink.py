@@ -23,30 +23,17 @@ def trailing_months(df: DataFrame, ts: Column | str, as_of: dt.date, months: int
     return df.where(month_key(col_of(ts)).cast("int") >= F.lit(cutoff_month(as_of, months)))
 
 
-# Default number of files written per month directory.
-FILES_PER_MONTH = 16
-
-
-def spread_by_month(df: DataFrame, month: str, files_per_month: int | None = FILES_PER_MONTH
-                    ) -> DataFrame:
-    """Hash-partition rows by (month, salt): all rows of one (month, salt)
-    key land in one task, so a month is written by at most
-    ``files_per_month`` tasks -- at most that many files per month directory,
-    instead of one file per month from every task of the job. The salt is a
-    hash of the row's content (deterministic, so a retried task rebuilds the
-    same partition); a month holding a third of the rows is still split
-    ``files_per_month`` ways. ``None`` keeps the incoming partitioning."""
-    if not files_per_month:
-        return df
-    salted = df.withColumn("_cr_salt", F.pmod(F.expr("xxhash64(*)"), F.lit(files_per_month)))
-    return salted.repartition(F.col(month), F.col("_cr_salt")).drop("_cr_salt")
-
-
-def write_full(df: DataFrame, path: str, month: str,
-               files_per_month: int | None = FILES_PER_MONTH) -> None:
+def spread_by_month(df: DataFrame, month: str) -> DataFrame:
+    """Rows of a month together, and as many tasks for it as its size asks:
+    the rebalance hint lets adaptive execution split a large month and join
+    small ones by the advisory partition size, so the number of files follows
+    the data."""
+    return df.hint("rebalance", month)
+
+
+def write_full(df: DataFrame, path: str, month: str) -> None:
     """Overwrite the whole table at ``path``, one directory per month."""
-    spread_by_month(df, month, files_per_month).write.mode("overwrite") \
-        .partitionBy(month).parquet(path)
+    spread_by_month(df, month).write.mode("overwrite").partitionBy(month).parquet(path)
 
 
 def write_unpartitioned(df: DataFrame, path: str) -> None:
@@ -55,41 +42,45 @@ def write_unpartitioned(df: DataFrame, path: str) -> None:
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def months_at(spark: SparkSession, path: str, month: str) -> set[int]:
+    """The months that have a directory at ``path``: a listing, no rows are read."""
+    fs, root = _fs(spark, path)
+    if not fs.exists(root):
+        return set()
+    names = [x.getPath().getName() for x in fs.listStatus(root) if x.isDirectory()]
+    values = [n.partition("=")[2] for n in names if n.startswith(f"{month}=")]
+    return {int(v) for v in values if v.isdigit()}
+
+
 def refresh_trailing(spark: SparkSession, new: DataFrame, path: str, month: str,
-                     cutoff: int, files_per_month: int | None = FILES_PER_MONTH) -> list[int]:
+                     cutoff: int) -> list[int]:
     """Replace every month ``>= cutoff`` of the table at ``path`` with the
     rows of ``new`` in those months.
 
-    Months present in ``new`` are rewritten with dynamic partition overwrite
-    (other months stay byte-for-byte as they were); months ``>= cutoff`` that
-    exist in the table but have no new rows are deleted afterwards, so a
-    failure part-way never loses a month that has replacement data. Returns
-    the deleted months. The month list is one small distinct query.
+    The new rows are written once, by month, into the shared scratch folder;
+    the listing of that folder names their months. They then replace these
+    months by dynamic partition overwrite (other months stay byte-for-byte as
+    they were); months ``>= cutoff`` that exist in the table but have no new
+    rows are deleted afterwards, so a failure part-way never loses a month that
+    has replacement data. Returns the deleted months.
     """
-    from ..session import cut_lineage
-    # computed once: the write and the month list both read the stage table
-    fresh = cut_lineage(new.where(F.col(month) >= F.lit(cutoff)))
-    old_months = {r[0] for r in spark.read.parquet(path).where(F.col(month) >= F.lit(cutoff))
-                  .select(month).distinct().collect()}
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        spread_by_month(fresh, month, files_per_month).write.mode("overwrite") \
-            .partitionBy(month).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    kept = {r[0] for r in fresh.select(month).distinct().collect()}
-    emptied = sorted(m for m in old_months - kept if m is not None)
-    fs, root = _fs(spark, path)
+    from ..session import drop_path, scratch_path
+    stage = scratch_path(spark, "refresh")
+    fresh = new.where(F.col(month) >= F.lit(cutoff))
+    spread_by_month(fresh, month).write.partitionBy(month).parquet(stage)
+    old = {m for m in months_at(spark, path, month) if m >= cutoff}
+    kept = months_at(spark, stage, month)
+    if kept:
+        (spark.read.schema(fresh.schema).parquet(stage).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(month).parquet(path))
+    drop_path(spark, stage)
+    emptied = sorted(old - kept)
     for m in emptied:
-        part = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"{month}={m}")
-        if fs.exists(part):
-            fs.delete(part, True)
+        drop_path(spark, f"{path.rstrip('/')}/{month}={m}")
     return emptied
 
 
