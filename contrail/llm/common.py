@@ -67,3 +67,12 @@ def renamed(df: DataFrame) -> DataFrame:
     """The same columns under identities of their own, for a cogroup of two
     frames that come from one."""
     return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (narrow, and cheap to count) marked for broadcast if it has at most
+    ``rows`` rows; beyond that the join shuffles as usual."""
+    return F.broadcast(df) if df.count() <= rows else df

@@ -14,10 +14,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .common import broadcast_if_small
 from .graph import connected_components
 
 SHINGLE = 4
@@ -76,7 +77,37 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         .mapInPandas(run, "id long, n long, set_id binary, sig binary")
 
 
-def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+def _candidates(docs: DataFrame, reps: DataFrame, asked: DataFrame, id_col: str,
+                text_col: str) -> DataFrame:
+    """(rep, n, common, sig, shingles) of the classes in question: their full
+    sets, made anew, and how many of the shingles any other one of them has."""
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = [shingle_set(t) for t in b["t"]]
+            yield pd.DataFrame({"rep": b["rep"], "set_id": [set_id(s) for s in found],
+                                "shingles": [s.view(np.int64) for s in found]})
+
+    asked = broadcast_if_small(cut_lineage(asked, "asked"))
+    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("t"))
+    made = texts.join(asked, "rep").mapInPandas(sets, "rep long, set_id binary, shingles array<long>")
+    # by set as well: rows that share an id can differ in text
+    made = cut_lineage(made.join(reps.join(asked, "rep"), ["rep", "set_id"])
+                       .dropDuplicates(["rep", "set_id"])
+                       .select("rep", "set_id", "n", "sig", "shingles"), "sets")
+    own = (made.select("set_id", F.explode("shingles").alias("h")).groupBy("h")
+           .agg(F.count("*").alias("k"), F.min("set_id").alias("set_id")).where("k = 1")
+           .groupBy("set_id").agg(F.count("*").alias("own")))
+    return cut_lineage(made.join(own, "set_id", "left").withColumn(
+        "common", F.col("n") - F.coalesce("own", F.lit(0))).drop("own", "set_id"), "sets")
+
+
+def _reachable(common, n, other):
+    """Whether a set with ``common`` shareable shingles of ``n`` can meet the
+    threshold with a set of size ``other``."""
+    return common * 100 >= (n + other - common) * PERCENT
+
+
+def _estimated(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose signatures agree well enough."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -84,45 +115,30 @@ def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
                     for x, y in zip(b["sa"], b["sb"], strict=True)]
             yield b.loc[np.array(same, dtype=bool), ["a", "b"]]
 
-    a = reps.select(F.col("rep").alias("a"), F.col("sig").alias("sa"))
-    b = reps.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
-    return pairs.join(b, "b").join(a, "a").mapInPandas(run, "a long, b long")
-
+    a = sets.select(F.col("rep").alias("a"), F.col("sig").alias("sa"))
+    b = sets.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
+    return cut_lineage(pairs.join(b, "b").join(a, "a").mapInPandas(run, "a long, b long"), "estimated")
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str,
-               text_col: str) -> DataFrame:
-    """The pairs whose full sets meet the threshold. Sets are made anew for the
-    documents in question only."""
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            found = [shingle_set(t) for t in b["t"]]
-            yield pd.DataFrame({"rep": b["rep"], "set_id": [set_id(s) for s in found],
-                                "shingles": [s.tobytes() for s in found]})
 
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose full sets meet the threshold."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             linked = []
             for x, y in zip(b["x"], b["y"], strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield b.loc[np.array(linked, dtype=bool), ["a", "b"]].rename(
                 columns={"a": "u", "b": "v"})
 
-    asked = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("t"))
-    made = (texts.join(asked, "rep").mapInPandas(sets, "rep long, set_id binary, shingles binary")
-            .join(reps.select("rep", "set_id"), ["rep", "set_id"])  # of rows that share an id
-            .dropDuplicates(["rep", "set_id"]))
-    made = cut_lineage(made.select("rep", "shingles"), "sets")
-    x = made.select(F.col("rep").alias("a"), F.col("shingles").alias("x"))
-    y = made.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(y, "b").join(x, "a").mapInPandas(run, "u long, v long")
+    x = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x"))
+    y = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
+    return cut_lineage(pairs.join(y, "b").join(x, "a").mapInPandas(run, "u long, v long"), "links")
 
 
-def _sized(x: str, y: str):
-    """Sets whose sizes alone allow the threshold."""
-    return F.least(x, y) * 100 >= F.greatest(x, y) * PERCENT
+def _possible(x: str, y: str) -> Column:
+    """Whether the sets' sizes and shareable shingles alone allow the threshold."""
+    return _reachable(F.least(f"{x}common", f"{y}common"), F.col(f"{x}n"), F.col(f"{y}n"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -142,32 +158,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     width = 4 * ROWS
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                         lambda i: F.xxhash64(i, F.substring(F.col("sig"), i * width + 1, F.lit(width))))
-    banded = reps.select("rep", "n", F.explode(bands).alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.min("rep").alias("lead"), F.max("rep").alias("top"),
-                                          F.min_by("n", "rep").alias("lead_n"))
-    shared = shared.where("lead <> top").drop("top")
-    members = cut_lineage(banded.join(shared, "bucket"), "buckets")
-
-    tried = cut_lineage(members.where("rep <> lead").where(_sized("n", "lead_n"))
+    banded = reps.select("rep", F.explode(bands).alias("bucket"))
+    shared = banded.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("top"))
+    members = cut_lineage(banded.join(shared.where("low <> top").select("bucket"), "bucket"), "buckets")
+    sets = _candidates(docs, reps, members.select("rep").distinct(), id_col, text_col)
+
+    # a set whose own shingles, which no other candidate has, are too many for
+    # any partner in the bucket is linked with nothing there
+    sized = members.join(sets.select("rep", "n", "common"), "rep")
+    least = sized.groupBy("bucket").agg(F.min("n").alias("least"))
+    alive = sized.join(least, "bucket").where(
+        _reachable(F.col("common"), F.col("n"), F.greatest("common", "least"))).drop("least")
+    lead = alive.groupBy("bucket").agg(
+        F.min(F.struct(F.col("rep").alias("lead"), F.col("n").alias("l_n"),
+                       F.col("common").alias("l_common"))).alias("l"), F.count("*").alias("k"))
+    alive = cut_lineage(alive.join(lead.where("k > 1").select("bucket", "l.*"), "bucket"), "alive")
+
+    tried = cut_lineage(alive.where("rep <> lead").where(_possible("", "l_"))
                         .select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(),
                         "candidates")
-    close = cut_lineage(_estimated(tried, reps), "estimated")
-    stars = cut_lineage(_confirmed(close, docs, reps, id_col, text_col), "stars")
-    parts = connected_components(stars)
+    parts = connected_components(_confirmed(_estimated(tried, sets), sets))
 
-    placed = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "bucket", "rep", "n", F.coalesce("component", "rep").alias("c"))
+    placed = alive.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "bucket", "rep", "n", "common", F.coalesce("component", "rep").alias("c"))
     main = (placed.groupBy("bucket", "c").agg(F.count("*").alias("k")).groupBy("bucket")
             .agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("parts"))
             .where("parts > 1").select("bucket", "main"))
     open_ = cut_lineage(placed.join(main, "bucket"), "open")
-    apart = open_.where("c <> main").select("bucket", F.col("rep").alias("r"),
-                                            F.col("n").alias("m"), F.col("c").alias("d"))
-    rest = (open_.join(apart, "bucket").where("c <> d").where(_sized("n", "m"))
-            .select(F.least("rep", "r").alias("a"), F.greatest("rep", "r").alias("b")).distinct()
-            .join(tried, ["a", "b"], "left_anti"))
-    close = cut_lineage(_estimated(rest, reps), "estimated")
-    more = _confirmed(close, docs, reps, id_col, text_col)
+    apart = open_.where("c <> main").select(
+        "bucket", F.col("rep").alias("r"), F.col("n").alias("r_n"),
+        F.col("common").alias("r_common"), F.col("c").alias("d"))
+    met = (open_.join(apart, "bucket").where("c <> d").where(_possible("", "r_"))
+           .select(F.least("rep", "r").alias("a"), F.greatest("rep", "r").alias("b")).distinct())
+    rest = cut_lineage(met.join(tried, ["a", "b"], "left_anti"), "candidates")
+    more = _confirmed(_estimated(rest, sets), sets)
     parts = connected_components(parts.select(F.col("node").alias("u"),
                                               F.col("component").alias("v")).union(more))
 

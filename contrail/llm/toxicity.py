@@ -174,7 +174,8 @@ def labelled_units(docs: DataFrame, marks: DataFrame) -> tuple[list[str], list[s
                              "toxic": [seen[1][w] for w in both]})
 
     few = F.broadcast(marks)  # LABELLED rows at most
-    texts = docs.where("text is not null").join(few, "doc_id").select(F.col("text").alias("t"), "toxic")
+    texts = docs.select("doc_id", F.col("text").alias("t")).where("t is not null").join(few, "doc_id")
+    texts = texts.select("t", "toxic")
     found = cut_lineage(texts.mapInPandas(run, "unit string, clean long, toxic long")
                         .groupBy("unit").agg(F.sum("clean").alias("clean"),
                                              F.sum("toxic").alias("toxic")), "units")
