@@ -119,15 +119,19 @@ def normal_equations(rows: DataFrame, kernel: Kernel) -> tuple[np.ndarray, np.nd
 
 def isotonic(count: np.ndarray, total: np.ndarray) -> np.ndarray:
     """The non-decreasing means closest to the bins' means (pool adjacent
-    violators); an empty bin takes the value before it."""
+    violators); an empty bin takes the value before it, those before the first
+    rows the first value."""
+    at = np.flatnonzero(count)
+    if not len(at):
+        return np.zeros(len(count))
     pools: list[list[float]] = []
-    for c, t in zip(count, total, strict=True):
+    for c, t in zip(count[at], total[at], strict=True):
         pools.append([float(c), float(t), 1])
-        while len(pools) > 1 and (pools[-1][0] == 0 or pools[-2][0] > 0 and
-                                  pools[-2][1] / pools[-2][0] >= pools[-1][1] / pools[-1][0]):
+        while len(pools) > 1 and pools[-2][1] / pools[-2][0] >= pools[-1][1] / pools[-1][0]:
             c2, t2, k = pools.pop()
             pools[-1] = [pools[-1][0] + c2, pools[-1][1] + t2, pools[-1][2] + k]
-    return np.repeat([t / c if c else 0.0 for c, t, _ in pools], [int(p[2]) for p in pools])
+    values = np.repeat([t / c for c, t, _ in pools], [int(p[2]) for p in pools])
+    return values[np.maximum(np.searchsorted(at, np.arange(len(count)), side="right") - 1, 0)]
 
 
 class Model:
