@@ -119,8 +119,8 @@ def normal_equations(rows: DataFrame, kernel: Kernel) -> tuple[np.ndarray, np.nd
 
 def isotonic(count: np.ndarray, total: np.ndarray) -> np.ndarray:
     """The non-decreasing means closest to the bins' means (pool adjacent
-    violators); an empty bin takes the value before it, those before the first
-    rows the first value."""
+    violators); empty bins lie on the line between their neighbours, those
+    outside all rows take the nearest value."""
     at = np.flatnonzero(count)
     if not len(at):
         return np.zeros(len(count))
@@ -131,7 +131,7 @@ def isotonic(count: np.ndarray, total: np.ndarray) -> np.ndarray:
             c2, t2, k = pools.pop()
             pools[-1] = [pools[-1][0] + c2, pools[-1][1] + t2, pools[-1][2] + k]
     values = np.repeat([t / c for c, t, _ in pools], [int(p[2]) for p in pools])
-    return values[np.maximum(np.searchsorted(at, np.arange(len(count)), side="right") - 1, 0)]
+    return np.interp(np.arange(len(count)), at, values)
 
 
 class Model:
@@ -155,7 +155,7 @@ def fit(rows: DataFrame) -> Model | None:
         return None
     kernel = Kernel(np.array(found[1:n + 1]), np.array(found[n + 1:]))
     xx, xy, count = normal_equations(rows, kernel)
-    weights = np.linalg.solve(xx + RIDGE * count * np.eye(len(xx)) / len(xx), xy)
+    weights = np.linalg.solve(xx + RIDGE * count * np.eye(len(xx)), xy)
     model = Model(kernel, weights, np.zeros(BINS))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
