@@ -24,6 +24,7 @@ from .graph import connected_components
 SHINGLE = 4
 BANDS, ROWS = 30, 5  # a pair of similarity 0.8 is missed once in 150,000
 PERCENT = 80
+FEW = 16  # members of a bucket, or sets with a shingle, that are paired directly
 #: Share of equal minima below which a candidate is dropped unread: 4.6 standard
 #: deviations under the threshold.
 ESTIMATE = 0.65
@@ -79,8 +80,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _candidates(docs: DataFrame, reps: DataFrame, asked: DataFrame, id_col: str,
                 text_col: str) -> DataFrame:
-    """(rep, n, common, sig, shingles) of the classes in question: their full
-    sets, made anew, and how many of the shingles any other one of them has."""
+    """(key, rep, n, sig, shingles) of the classes in question, their full sets
+    being made anew; ``key`` names a row."""
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [shingle_set(t) for t in b["t"]]
@@ -91,19 +92,22 @@ def _candidates(docs: DataFrame, reps: DataFrame, asked: DataFrame, id_col: str,
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("t"))
     made = texts.join(asked, "rep").mapInPandas(sets, "rep long, set_id binary, shingles array<long>")
     # by set as well: rows that share an id can differ in text
-    made = cut_lineage(made.join(reps.join(asked, "rep"), ["rep", "set_id"])
-                       .dropDuplicates(["rep", "set_id"])
-                       .select("rep", "set_id", "n", "sig", "shingles"), "sets")
-    own = (made.select("set_id", F.explode("shingles").alias("h")).groupBy("h")
-           .agg(F.count("*").alias("k"), F.min("set_id").alias("set_id")).where("k = 1")
-           .groupBy("set_id").agg(F.count("*").alias("own")))
-    return cut_lineage(made.join(own, "set_id", "left").withColumn(
-        "common", F.col("n") - F.coalesce("own", F.lit(0))).drop("own", "set_id"), "sets")
+    made = (made.join(reps.join(asked, "rep"), ["rep", "set_id"]).dropDuplicates(["rep", "set_id"])
+            .withColumn("key", F.monotonically_increasing_id()))
+    return cut_lineage(made.select("key", "rep", "n", "sig", "shingles"), "sets")
+
+
+def _rare_shingles(sets: DataFrame, crowded: DataFrame) -> DataFrame:
+    """(key, rep, n, h): the shingles that at most ``FEW`` of the sets in crowded
+    buckets have, in each of these."""
+    rows = sets.join(crowded, "key", "left_semi").select("key", "rep", "n", F.explode("shingles").alias("h"))
+    few = rows.groupBy("h").agg(F.count("*").alias("k")).where(F.col("k") <= FEW).select("h")
+    return cut_lineage(rows.join(few, "h"), "rare")
 
 
 def _reachable(common, n, other):
-    """Whether a set with ``common`` shareable shingles of ``n`` can meet the
-    threshold with a set of size ``other``."""
+    """Whether a set that shares at most ``common`` of its ``n`` shingles can
+    meet the threshold with a set of size ``other``."""
     return common * 100 >= (n + other - common) * PERCENT
 
 
@@ -163,20 +167,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = cut_lineage(banded.join(shared.where("low <> top").select("bucket"), "bucket"), "buckets")
     sets = _candidates(docs, reps, members.select("rep").distinct(), id_col, text_col)
 
-    # a set whose own shingles, which no other candidate has, are too many for
-    # any partner in the bucket is linked with nothing there
-    sized = members.join(sets.select("rep", "n", "common"), "rep")
-    least = sized.groupBy("bucket").agg(F.min("n").alias("least"))
-    alive = sized.join(least, "bucket").where(
-        _reachable(F.col("common"), F.col("n"), F.greatest("common", "least"))).drop("least")
-    lead = alive.groupBy("bucket").agg(
-        F.min(F.struct(F.col("rep").alias("lead"), F.col("n").alias("l_n"),
-                       F.col("common").alias("l_common"))).alias("l"), F.count("*").alias("k"))
-    alive = cut_lineage(alive.join(lead.where("k > 1").select("bucket", "l.*"), "bucket"), "alive")
-
+    sized = members.join(sets.select("key", "rep", "n"), "rep")
+    size = sized.groupBy("bucket").agg(F.count("*").alias("k"), F.min("n").alias("least"))
+    sized = cut_lineage(sized.join(size, "bucket"), "sized")
+    # In a crowded bucket two sets share a rare shingle, and are paired for
+    # that, or share none: then their frequent shingles alone must do. Most
+    # sets cannot do it, whatever the partner, and go; the set with the most
+    # frequent ones is in the middle of the others and leads.
+    crowd = F.col("k") > FEW
+    rare = _rare_shingles(sets, sized.where(crowd).select("key").distinct())
+    own = rare.groupBy("key").agg(F.count("*").alias("rare"))
+    reach = (sized.where(~crowd).withColumn("common", F.col("n"))
+             .unionByName(sized.where(crowd).join(own, "key", "left").withColumn(
+                 "common", F.col("n") - F.coalesce("rare", F.lit(0))).drop("rare")))
+    alive = reach.where(_reachable(F.col("common"), F.col("n"), F.greatest("common", "least")))
+    middle = F.struct(F.when(crowd, -F.col("common")).otherwise(F.lit(0).cast("long")).alias("o"),
+                      F.col("rep").alias("lead"), F.col("n").alias("l_n"),
+                      F.col("common").alias("l_common"))
+    lead = alive.groupBy("bucket").agg(F.min(middle).alias("l"), F.count("*").alias("m"))
+    alive = cut_lineage(alive.join(lead.where("m > 1").select("bucket", "l.lead", "l.l_n", "l.l_common"),
+                                   "bucket").drop("key", "k", "least"), "alive")
+
+    x = rare.select("h", F.col("rep").alias("a"), F.col("n").alias("a_n"), F.col("n").alias("a_common"))
+    y = rare.select("h", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("n").alias("b_common"))
+    kin = x.join(y, "h").where("a < b").where(_possible("a_", "b_")).select("a", "b")
     tried = cut_lineage(alive.where("rep <> lead").where(_possible("", "l_"))
-                        .select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(),
-                        "candidates")
+                        .select(F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b"))
+                        .union(kin).distinct(), "candidates")
     parts = connected_components(_confirmed(_estimated(tried, sets), sets))
 
     placed = alive.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
