@@ -10,17 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..plans.common_flight import REPORT_KINDS, SEDI_COLUMNS
 from . import roles
 from .roles import airport_code_sql
 from .tables import Tables
 
 FAMILY = "GENX"
 
-# Report kinds of the flight-report table, in column order.
-REPORT_KINDS = ["es", "to", "cl", "cr1", "pf", "sp"]
-SEDI_COLUMNS = ["sedi_etsn", "sedi_ecsn", "sedi_etsv", "sedi_ecsv", "sedi_etsi", "sedi_ecsi"]
-
-
 def _s(x: str) -> str:
     return f"CAST({x} AS STRING)"
 
