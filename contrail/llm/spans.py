@@ -82,8 +82,8 @@ def repeated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     spans = cut_lineage(texts.mapInPandas(
         run, "id long, th int, i int, n int, h1 long, h2 long"), "spans")
     place = F.struct("id", "th", "i")
-    first = (spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-             .where("first <> last").select("h1", "h2", "first"))
+    first = (spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("k"))
+             .where("k > 1").select("h1", "h2", "first"))
     again = spans.join(first, ["h1", "h2"]).where(place != F.col("first"))
     # a set: it is bounded by the document's own sentences however often rows repeat
     return again.groupBy("id", "th").agg(F.collect_set(F.struct("i", "n")).alias("runs"))
