@@ -145,6 +145,26 @@ def _possible(x: str, y: str) -> Column:
     return _reachable(F.least(f"{x}common", f"{y}common"), F.col(f"{x}n"), F.col(f"{y}n"))
 
 
+def _open(alive: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members of buckets with several components, and those of them that
+    are not in their bucket's largest one (``main``)."""
+    placed = alive.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "bucket", "rep", "n", "common", F.coalesce("component", "rep").alias("c"))
+    main = (placed.groupBy("bucket", "c").agg(F.count("*").alias("k")).groupBy("bucket")
+            .agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("parts"))
+            .where("parts > 1").select("bucket", "main"))
+    open_ = cut_lineage(placed.join(main, "bucket"), "open")
+    apart = open_.where("c <> main").select(
+        "bucket", "main", F.col("rep").alias("r"), F.col("n").alias("r_n"),
+        F.col("common").alias("r_common"), F.col("c").alias("d"))
+    return open_, apart
+
+
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    return connected_components(parts.select(F.col("node").alias("u"),
+                                             F.col("component").alias("v")).union(links))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: its id, ``n_shingles``, ``component_id``
     (the least id that it reaches by links, itself included) and ``kept`` (it
@@ -196,21 +216,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         .union(kin).distinct(), "candidates")
     parts = connected_components(_confirmed(_estimated(tried, sets), sets))
 
-    placed = alive.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "bucket", "rep", "n", "common", F.coalesce("component", "rep").alias("c"))
-    main = (placed.groupBy("bucket", "c").agg(F.count("*").alias("k")).groupBy("bucket")
-            .agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("parts"))
-            .where("parts > 1").select("bucket", "main"))
-    open_ = cut_lineage(placed.join(main, "bucket"), "open")
-    apart = open_.where("c <> main").select(
-        "bucket", F.col("rep").alias("r"), F.col("n").alias("r_n"),
-        F.col("common").alias("r_common"), F.col("c").alias("d"))
-    met = (open_.join(apart, "bucket").where("c <> d").where(_possible("", "r_"))
+    # the same with the middle of the whole component that has most of a bucket
+    open_, apart = _open(alive, parts)
+    centres = (alive.select("rep", "n", "common").distinct()
+               .join(parts.withColumnRenamed("node", "rep"), "rep").groupBy("component")
+               .agg(F.min(F.struct((-F.col("common")).alias("o"), F.col("rep").alias("lead"),
+                                   F.col("n").alias("l_n"), F.col("common").alias("l_common"))).alias("l"))
+               .select(F.col("component").alias("main"), "l.lead", "l.l_n", "l.l_common"))
+    middles = (apart.join(centres, "main").where(_possible("r_", "l_"))
+               .select(F.least("lead", "r").alias("a"), F.greatest("lead", "r").alias("b")).distinct()
+               .join(tried, ["a", "b"], "left_anti"))
+    middles = cut_lineage(middles, "candidates")
+    parts = _joined(parts, _confirmed(_estimated(middles, sets), sets))
+
+    open_, apart = _open(alive, parts)
+    tried = tried.union(middles)
+    met = (open_.join(apart.drop("main"), "bucket").where("c <> d").where(_possible("", "r_"))
            .select(F.least("rep", "r").alias("a"), F.greatest("rep", "r").alias("b")).distinct())
     rest = cut_lineage(met.join(tried, ["a", "b"], "left_anti"), "candidates")
     more = _confirmed(_estimated(rest, sets), sets)
-    parts = connected_components(parts.select(F.col("node").alias("u"),
-                                              F.col("component").alias("v")).union(more))
+    parts = _joined(parts, more)
 
     classes = (reps.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
                .select("set_id", F.coalesce("component", "rep").alias("component_id")))
