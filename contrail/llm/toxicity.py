@@ -150,17 +150,24 @@ class Detector:
 def labelled_units(docs: DataFrame, marks: DataFrame) -> tuple[list[str], list[str], np.ndarray]:
     """Units of clean and of toxic sentences, and the weights of the latter.
 
-    Labels are on documents; a sentence of a toxic document is labelled toxic
-    where it has a unit that significantly more toxic than clean documents
-    hold, and that unit is what it adds. Clean documents' sentences are clean.
-    At most ``UNITS`` units of either class come to the driver."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Labels are on documents. Equal sentences count once, so that a document's
+    copies do not vote for its words; one that clean documents have too is
+    clean. A sentence of toxic documents is labelled toxic where it has a unit
+    that significantly more of their sentences hold than of clean documents',
+    and that unit is what it adds. At most ``UNITS`` units of either class come
+    to the driver."""
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = {(s.strip(), t) for text, t in zip(b["t"], b["toxic"], strict=True)
+                    for s in _SENTENCE.split(text.lower())}
+            yield pd.DataFrame(list(rows), columns=["sentence", "toxic"])
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: tuple[Counter, Counter] = Counter(), Counter()
         total = [0, 0]
         for b in batches:
-            for text, toxic in zip(b["t"], b["toxic"], strict=True):
-                own = {w for s in _SENTENCE.split(text) for w in units(s) if 2 < len(w) <= 40}
-                seen[toxic].update(own)
+            for sentence, toxic in zip(b["sentence"], b["toxic"], strict=True):
+                seen[toxic].update({w for w in units(sentence) if 2 < len(w) <= 40})
                 total[toxic] += 1
             if len(seen[0]) + len(seen[1]) > 1_000_000:
                 yield counts(seen)
@@ -175,32 +182,57 @@ def labelled_units(docs: DataFrame, marks: DataFrame) -> tuple[list[str], list[s
 
     few = F.broadcast(marks)  # LABELLED rows at most
     texts = docs.select("doc_id", F.col("text").alias("t")).where("t is not null").join(few, "doc_id")
-    texts = texts.select("t", "toxic")
-    found = cut_lineage(texts.mapInPandas(run, "unit string, clean long, toxic long")
+    sentences = (texts.select("t", "toxic").mapInPandas(split, "sentence string, toxic int")
+                 .groupBy("sentence").agg(F.min("toxic").alias("toxic")))
+    found = cut_lineage(sentences.mapInPandas(count, "unit string, clean long, toxic long")
                         .groupBy("unit").agg(F.sum("clean").alias("clean"),
                                              F.sum("toxic").alias("toxic")), "units")
     whole = found.where("unit = ''").first()
     if whole is None or not whole["clean"] or not whole["toxic"]:
         return [], [], np.empty(0)
-    share = F.lit(whole["toxic"] / (whole["clean"] + whole["toxic"]))
-    n = F.col("clean") + F.col("toxic")
-    # binomial evidence that the unit is commoner in toxic documents
-    p = F.greatest(F.col("toxic") / n, F.lit(1e-9))
-    evidence = F.col("toxic") * F.log(p / share) + F.when(
-        F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / n / (1 - share))).otherwise(0)
-    named = found.where("unit <> ''").withColumn("evidence", evidence)
+    share = whole["toxic"] / (whole["clean"] + whole["toxic"])
     sure = 2 * np.log(max(2, found.count())) ** 0.5 + 2
-    bad = (named.where((F.col("toxic") > 2 * n * F.greatest(share, F.lit(0.25)))
-                       & (F.col("toxic") >= 2) & (F.col("evidence") > sure))
-           .orderBy(F.desc("evidence"), "unit").limit(UNITS).collect())
-    good = (named.where("toxic <= clean * 0.5").where(F.col("clean") > 0)
-            .orderBy(F.xxhash64("unit")).limit(UNITS).collect())
-    common = named.where("toxic <= clean * 0.5").orderBy(F.desc("clean"), "unit").limit(UNITS // 4).collect()
+    named = found.where("unit <> ''")
+    likely = (_significant(named, share, sure).orderBy(F.desc("evidence"), "unit").limit(UNITS)
+              .select("unit").toPandas()["unit"])
+    # near copies of a document still repeat its words, but in the same places:
+    # what counts in the end is the number of different neighbours
+    wanted = frozenset(likely)
+
+    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = set()
+            for text, toxic in zip(b["t"], b["toxic"], strict=True):
+                own = ["", *units(text), ""]
+                rows.update((w, toxic, own[i - 1], own[i + 1]) for i, w in enumerate(own) if w in wanted)
+            yield pd.DataFrame(list(rows), columns=["unit", "toxic", "before", "after"])
+
+    spread = (texts.select("t", "toxic").mapInPandas(
+        places, "unit string, toxic int, before string, after string").groupBy("unit", "toxic")
+        .agg(F.least(F.countDistinct("before"), F.countDistinct("after")).alias("n"))
+        .groupBy("unit").agg(F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("clean"),
+                             F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic")))
+    bad = _significant(spread, share, sure).orderBy(F.desc("evidence"), "unit").collect()
+    plain = named.where("toxic <= clean * 0.5")
+    good = plain.orderBy(F.xxhash64("unit"), "unit").limit(UNITS).collect()
+    common = plain.orderBy(F.desc("clean"), "unit").limit(UNITS // 4).collect()
     good = list(dict.fromkeys([r["unit"] for r in good] + [r["unit"] for r in common]))
     weight = np.sqrt([r["toxic"] for r in bad]) if bad else np.empty(0)
     return good, [r["unit"] for r in bad], weight
 
 
+def _significant(counted: DataFrame, share: float, sure: float) -> DataFrame:
+    """The units (unit, clean, toxic) with their binomial ``evidence`` of being
+    commoner in toxic documents, where it is enough."""
+    n, base = F.col("clean") + F.col("toxic"), F.lit(float(share))
+    p = F.greatest(F.col("toxic") / n, F.lit(1e-9))
+    evidence = F.col("toxic") * F.log(p / base) + F.when(
+        F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / n / (1 - base))).otherwise(0)
+    return counted.where((F.col("toxic") > 2 * n * F.greatest(base, F.lit(0.25)))
+                         & (F.col("toxic") >= 2)).withColumn("evidence", evidence).where(
+        F.col("evidence") > float(sure))
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     x1, w = np.hstack([x, np.ones((len(x), 1))]), np.zeros(x.shape[1] + 1)
     for _ in range(50):
