@@ -59,4 +59,49 @@ QUERIES = {f.__name__: f for f in (
     op1_packing, op2_language_id, op3_source_mixing, op4_quality, op5_near_duplicates,
     op6_substring_dedup, op7_personal_data, op8_toxicity, op9_near_vectors, op10_top_k)}
 
-SQL: dict[str, str] = {}
+_USABLE = """embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0"""
+
+_REACH = """reach(id, c) AS (
+  SELECT DISTINCT id, id FROM nodes
+  UNION
+  SELECT e.b, r.c FROM reach r JOIN links e ON e.a = r.id)"""
+
+SQL: dict[str, str] = {
+    "op5_near_duplicates": r"""WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS s FROM d),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS an, any_value(y.n) AS bn, count(*) AS m
+  FROM items x JOIN items y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+linked AS (SELECT a, b FROM pairs WHERE 100 * m >= 80 * (an + bn - m)),
+links AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+nodes AS (SELECT doc_id AS id FROM documents),
+""" + _REACH + """
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.c AS component_id, s.doc_id = r.c AS kept
+FROM sets s JOIN (SELECT id, min(c) AS c FROM reach GROUP BY id) r ON s.doc_id = r.id""",
+    "op9_near_vectors": f"""WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND {_USABLE} AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y
+    ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.93),
+nodes AS (SELECT vec_id AS id FROM embeddings),
+{_REACH}
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, r.c AS component_id, e.vec_id = r.c AS kept
+FROM embeddings e JOIN (SELECT id, min(c) AS c FROM reach GROUP BY id) r ON e.vec_id = r.id
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON e.vec_id = n.a""",
+    "op10_top_k": f"""WITH v AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+  WHERE {_USABLE} AND len(embedding) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.v, x.v) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.vec_id <> x.vec_id AND len(q.v) = len(x.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score FROM s QUALIFY rank <= 5""",
+}
