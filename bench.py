@@ -22,7 +22,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from contrail.plans.queries import QUERIES  # noqa: E402
 
-HEADLINE = ["q03", "q07", "q10", "q14", "q17", "q18", "q26", "q27", "q28"]
+HEADLINE = ["q03", "q04", "q07", "q08", "q10", "q13", "q14", "q17", "q18", "q25", "q26", "q27", "q28", "q30"]
 
 
 def main() -> None:
