@@ -231,7 +231,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     open_, apart = _open(alive, parts)
     tried = tried.union(middles)
-    met = (open_.join(apart.drop("main"), "bucket").where("c <> d").where(_possible("", "r_"))
+    # a pair meets in the first of its shared buckets only
+    known = sets.select("rep", bands.alias("bands"))
+    open_ = open_.join(known, "rep")
+    apart = apart.drop("main").join(known.select(F.col("rep").alias("r"), F.col("bands").alias("r_bands")), "r")
+    met = (open_.join(apart, "bucket").where("c <> d").where(_possible("", "r_"))
+           .where(F.get(F.array_intersect("bands", "r_bands"), F.lit(0)) == F.col("bucket"))
            .select(F.least("rep", "r").alias("a"), F.greatest("rep", "r").alias("b")).distinct())
     rest = cut_lineage(met.join(tried, ["a", "b"], "left_anti"), "candidates")
     more = _confirmed(_estimated(rest, sets), sets)
