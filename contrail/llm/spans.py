@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate, pairwise
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
@@ -19,45 +21,164 @@ from ..session import cut_lineage
 
 SENTENCES = 3   # a run has this many sentences at least
 WORDS = 12      # and this many words at least, so that chance does not repeat it
-LONGEST = 16    # words after which a sentence without an end is cut
-_END = re.compile(r"(?:[.!?]+(?=\s)|\n)\s*")
-_CUT = re.compile(rf"(?:\S+\s+){{{LONGEST - 1}}}\S+\s*")
+ENOUGH = 18     # words of a run of fewer sentences, or with parts of a cut sentence
+LONGEST = 16    # a sentence of more words is cut
+WINDOW = 8      # words of a long sentence among which one cut at least is found
+# scripts without spaces: two of their characters count as a word
+_BARE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf" \
+    "\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_UNSPACED = re.compile(f"[{_BARE}]")
+_WORD = re.compile(r"\S+")
+_UNIT = re.compile(rf"[{_BARE}]|[^\s{_BARE}]+")
+# the marks of other scripts end a sentence without white space too
+_END = re.compile("(?:[.!?]+(?=\\s)|[\u3002\uff01\uff1f\uff0e\uff61\u2026\u061f\u06d4\u0964\u0965\u0589\u1362"
+                  "\u1367\u104a\u104b\u17d4\u17d5\u0f0d\u0f0e]+[\u300d\u300f\u201d\u2019\uff09]*|\n)\\s*")
+_K = np.uint64(0x9E3779B97F4A7C15)
 
 
-def sentences(text: str | None) -> list[tuple[int, int]]:
-    """(start, end) of the sentences, which together make up the text. A
-    sentence ends after . ! ? and white space, at a line's end, or after
-    ``LONGEST`` words."""
-    out, at = [], 0
+def _weights(words: list[str]) -> list[int]:
+    return [1 if _UNSPACED.match(w) else 2 for w in words]
+
+
+def _weight(text: str, bare: bool) -> int:
+    """Twice the number of words."""
+    return sum(_weights(_UNIT.findall(text))) if bare else 2 * len(text.split())
+
+
+def _lasts(weights: list[int], most: int) -> list[int]:
+    """Per word, where the longest row of words of ``most`` weight from it ends."""
+    out, end, held = [], 0, 0
+    for w in weights:
+        while end < len(weights) and held + weights[end] <= most:
+            held += weights[end]
+            end += 1
+        out.append(end)
+        held -= w
+    return out
+
+
+def _cuts(text: str, long: list[tuple[int, int]], bare: bool) -> list[list[int]]:
+    """Where the long sentences of a text are cut: before the words that have
+    the one least hash, of themselves and the word before, among ``WINDOW``
+    words in a row. The same words are so cut alike wherever they stand. Where
+    hashes tie over more than ``LONGEST`` words, the last of the least ones
+    there is taken."""
+    starts, words, sizes = [], [], []
+    for a, b in long:
+        part = text[a:b]
+        own = part.split()
+        if not bare and part.startswith(" ".join(own)):
+            starts += accumulate((len(w) + 1 for w in own[:-1]), initial=a)
+        else:
+            starts += [m.start() for m in (_UNIT if bare else _WORD).finditer(text, a, b)]
+        words += _UNIT.findall(part.lower()) if bare else part.lower().split()
+        sizes.append(len(starts))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    score = h[:-1] * _K + h[1:]  # score[i] stands between words i and i + 1
+    score = (score ^ (score >> np.uint64(32))) * _K
+    places = [[] for _ in long]
+    if not bare:
+        owner = np.repeat(np.arange(len(long)), np.diff([0, *sizes]))
+        rows = np.lib.stride_tricks.sliding_window_view(score, WINDOW)
+        least = rows.argmin(axis=1)
+        one = (least == WINDOW - 1 - rows[:, ::-1].argmin(axis=1)) & (owner[WINDOW:] == owner[:-WINDOW])
+        for p in np.unique((np.arange(len(rows)) + least)[one] + 1).tolist():
+            places[owner[p]].append(p)
+    weights = _weights(words) if bare else [2] * len(words)
+    first, out = 0, []
+    for k, end in enumerate(sizes):
+        if bare:
+            found = set()
+            for i, e in enumerate(_lasts(weights[first:end], 2 * WINDOW), first):
+                if e + first >= end:
+                    break
+                row = score[i:e + first].tolist()
+                if row.count(least := min(row)) == 1:
+                    found.add(i + row.index(least) + 1)
+            places[k] = sorted(found)
+        cuts, last = [], first
+        for p in [*places[k], end]:
+            while p - last > LONGEST and sum(weights[last:p]) > 2 * LONGEST:
+                top = last + _lasts(weights[last:p], 2 * LONGEST)[0]
+                last = min(range(last + 1, top + 1), key=lambda j: (score[j - 1], -j))
+                cuts.append(last)
+            if p < end:
+                cuts.append(p)
+            last = p
+        out.append([starts[p] for p in cuts])
+        first = end
+    return out
+
+
+def _pieces(text: str | None, bare: bool) -> list[tuple[int, int, bool, bool]]:
+    """(start, end, whether part of a cut sentence, whether a sentence starts
+    there); see ``sentences``."""
     ends = [m.end() for m in _END.finditer(text or "")]
     if text and (not ends or ends[-1] < len(text)):
         ends.append(len(text))
-    for end in ends:
-        if end - at > 2 * LONGEST:  # shorter ones cannot hold that many words
-            while (m := _CUT.match(text, at, end)) and m.end() < end:
-                out.append((at, m.end()))
-                at = m.end()
-        out.append((at, end))
-        at = end
-    return out
+    whole = list(pairwise([0, *ends]))
+    # shorter ones cannot hold that many words
+    long = [(a, b) for a, b in whole
+            if b - a > 2 * LONGEST and _weight(text[a:b], bare) > 2 * LONGEST]
+    if not long:
+        return [(a, b, False, True) for a, b in whole]
+    cuts = dict(zip(long, _cuts(text, long, bare), strict=True))
+    return [(x, y, (a, b) in cuts, x == a) for a, b in whole
+            for x, y in pairwise([a, *cuts.get((a, b), ()), b])]
+
+
+def _bare(text: str | None) -> bool:
+    return bool(text) and not text.isascii() and _UNSPACED.search(text) is not None
+
+
+def sentences(text: str | None) -> list[tuple[int, int]]:
+    """(start, end) of the sentences, which together make up the text. A
+    sentence ends after . ! ? and white space, after the full stops of other
+    scripts, or at a line's end; one of more than ``LONGEST`` words is cut at
+    places that its words determine."""
+    return [(a, b) for a, b, _, _ in _pieces(text, _bare(text))]
 
 
 def runs(text: str | None) -> list[tuple[int, int, int]]:
     """(first sentence, number of sentences, 128-bit hash) of the shortest run
-    from each sentence on that has ``SENTENCES`` and ``WORDS``. Case and white
-    space are folded."""
-    words = [text[a:b].lower().split() for a, b in sentences(text)]
-    joined, sizes = [" ".join(w) for w in words], [len(w) for w in words]
-    out, end, held = [], 0, 0
-    for i in range(len(words)):
-        while end < len(words) and (end - i < SENTENCES or held < WORDS):
-            held += sizes[end]
-            end += 1
-        if end - i < SENTENCES or held < WORDS:
-            break
-        out.append((i, end - i, xxhash.xxh3_128_intdigest("\x1f".join(joined[i:end]))))
-        held -= sizes[i]
-    return out
+    from each sentence on that has ``SENTENCES`` and ``WORDS`` (``ENOUGH`` words
+    if a cut sentence is part of it), and of the shortest of fewer sentences
+    that has ``ENOUGH`` words; and of the shortest with a part of a cut sentence
+    that ends where a sentence does. Case and white space are folded.
+
+    Of a passage of 50 words that two texts share, at most 16 at either end can
+    be cut differently; the 18 between are a run in both."""
+    bare = _bare(text)
+    pieces = _pieces(text, bare)
+    if len(pieces) < 2:
+        return []
+    joined = [" ".join(text[a:b].lower().split()) for a, b, _, _ in pieces]
+    sizes = [_weight(x, True) if bare else 2 * (x.count(" ") + 1) if x else 0 for x in joined]
+    n = len(pieces)
+    at, size = np.arange(n), np.cumsum([0, *sizes])
+    parts = np.cumsum([0, *(cut for _, _, cut, _ in pieces)])
+
+    def until(words):
+        return np.searchsorted(size, size[:-1] + 2 * words)
+
+    enough = until(ENOUGH)
+    full = np.maximum(until(WORDS), at + SENTENCES)
+    held_cut = parts[np.minimum(full, n)] > parts[:-1]
+    full = np.where(held_cut, np.maximum(enough, at + SENTENCES), full)
+    fewer = (enough - at < SENTENCES) & (enough <= n)
+    # a run is left out where the shorter ones from its first two sentences cover it
+    covered = fewer & np.append(fewer[1:], False) & (full == np.append(enough[1:], n + 1))
+    found = {*zip(at[fewer].tolist(), enough[fewer].tolist(), strict=True)}
+    whole = (full <= n) & ~covered
+    found.update(zip(at[whole].tolist(), full[whole].tolist(), strict=True))
+    # runs from cut sentences on must reach the end of each sentence
+    last = np.array([e + 1 for e in range(n) if not pieces[e][2] or e + 1 == n
+                     or not pieces[e + 1][2] or pieces[e + 1][3]], np.int64)
+    first = np.searchsorted(size, size[last] - 2 * ENOUGH, side="right") - 1
+    tail = first >= 0
+    tail[tail] = parts[last[tail]] > parts[first[tail]]
+    found.update(zip(first[tail].tolist(), last[tail].tolist(), strict=True))
+    return [(i, e - i, xxhash.xxh3_128_intdigest("\x1f".join(joined[i:e]))) for i, e in sorted(found)]
 
 
 def repeated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -94,9 +215,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id",
     """One row per row of ``docs``: its id, ``n_sentences``, ``n_removed`` and
     the ``text`` without the sentences that a non-first repeated run covers.
 
-    A repeat inside one text counts as well. Texts of fewer than three
-    sentences or twelve words hold no run and stay as they are, like null and
-    empty ones (null stays null). Rows with a null id take no part. Rows equal
+    A repeat inside one text counts as well. Texts without a run (of three
+    sentences and ``WORDS``, or of ``ENOUGH`` words in two pieces or more) stay
+    as they are, like null and empty ones (null stays null). Rows with a null id take no part. Rows equal
     in id and text are one document, with the same answer each. No rows give no
     rows; other columns are not read."""
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

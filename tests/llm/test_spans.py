@@ -81,3 +81,41 @@ def test_sentences_make_up_the_text():
         parts = spans.sentences(text)
         assert "".join(text[a:b] for a, b in parts) == text
         assert all(len(text[a:b].split()) <= spans.LONGEST for a, b in parts)
+
+
+def removed_words(first, second):
+    """How many words of ``second`` runs of ``first`` cover."""
+    known = {h for _, _, h in spans.runs(first)}
+    gone = {j for i, n, h in spans.runs(second) if h in known for j in range(i, i + n)}
+    return sum(len(second[a:b].split()) for j, (a, b) in enumerate(spans.sentences(second)) if j in gone)
+
+
+def test_passages_of_50_words_are_found_at_any_offset():
+    rnd = random.Random(4)
+    words = lambda n: [f"w{rnd.randint(0, 5000)}" for _ in range(n)]
+    for trial in range(150):
+        passage = words(50)
+        for k in rnd.sample(range(50), trial % 5):  # from no sentence end to four
+            passage[k] += "."
+        texts = [" ".join(words(rnd.randint(0, 40)) + passage + words(rnd.randint(0, 40))) for _ in range(2)]
+        assert removed_words(*texts) >= spans.ENOUGH
+
+
+def test_unspaced_scripts_and_their_marks():
+    rnd = random.Random(6)
+    signs = lambda n: "".join(chr(rnd.randint(0x4E00, 0x9000)) for _ in range(n))
+    assert len(spans.sentences("你好。再见！好？ 人।")) == 4
+    for marks in (0, 3):
+        for _ in range(30):
+            passage = list(signs(100))
+            for k in rnd.sample(range(100), marks):
+                passage[k] += "。"
+            first, second = (signs(rnd.randint(0, 60)) + "".join(passage) + signs(rnd.randint(0, 60)) for _ in range(2))
+            known = {h for _, _, h in spans.runs(first)}
+            assert known & {h for _, _, h in spans.runs(second)}
+            assert "".join(second[a:b] for a, b in spans.sentences(second)) == second
+
+
+def test_short_repeats_stay():
+    text = lambda mid: "one two three four. " + mid + " five six seven eight. nine ten."
+    assert removed_words(text("a b c d e f g h i j k l m n o."), text("q r s t u v w x y z a.")) == 0
