@@ -66,7 +66,7 @@ class WordIds:
                 new.add(w)
         known |= self._encode([w for w in new if w not in known])
         for w, (stem, end) in split.items():
-            known[w] = b"".join([known.get(x) or self.young[x] for x in (stem, end)])
+            known[w] = b"".join([known[x] if x in known else self.young[x] for x in (stem, end)])
         return known
 
     def __call__(self, text: str) -> bytes:
@@ -75,7 +75,7 @@ class WordIds:
             words = piece.encode().lower().split()  # ASCII case and white space only
             learned = self._learn(missing) if (missing := set(words).difference(self.young)) else {}
             if any(len(w) > CACHE_BYTES for w in learned):
-                known = {w: learned.get(w) or self.young[w] for w in set(words)}
+                known = {w: learned[w] if w in learned else self.young[w] for w in set(words)}
                 out.extend(map(known.__getitem__, words))
             else:
                 self.young |= learned

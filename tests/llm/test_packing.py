@@ -50,6 +50,13 @@ def test_word_ids_with_a_small_cache(tokenizer, monkeypatch):
             tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("blank", ["\u00a0", "\u3000", "\u2003", "\x85"])
+def test_words_without_ids_beside_a_long_new_word(tokenizer, blank):
+    code = packing.WordIds(PATH)
+    for text in (f"see {blank} at https://example.org/{'a' * 80} now {blank}.", f"{blank} {'b' * 90} x", f"{blank} {blank}"):
+        assert np.frombuffer(code(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_slices_keep_the_text():
     rnd = random.Random(1)
     for _ in range(300):
