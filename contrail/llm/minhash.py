@@ -63,13 +63,13 @@ def set_id(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
     """(id, n, set_id, sig) per row; set_id and sig are null without words."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for text in b["t"]:
-                s = shingle_set(text)
+                s = shingle_set(text, shingle)
                 rows.append((len(s), set_id(s), minima(s).tobytes()) if len(s) else (0, None, None))
             yield pd.concat([b[["id"]], pd.DataFrame(rows, columns=["n", "set_id", "sig"],
                                                      index=b.index)], axis=1)
@@ -79,12 +79,12 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _candidates(docs: DataFrame, reps: DataFrame, asked: DataFrame, id_col: str,
-                text_col: str) -> DataFrame:
+                text_col: str, shingle: int) -> DataFrame:
     """(key, rep, n, sig, shingles) of the classes in question, their full sets
     being made anew; ``key`` names a row."""
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [shingle_set(t) for t in b["t"]]
+            found = [shingle_set(t, shingle) for t in b["t"]]
             yield pd.DataFrame({"rep": b["rep"], "set_id": [set_id(s) for s in found],
                                 "shingles": [s.view(np.int64) for s in found]})
 
@@ -165,17 +165,18 @@ def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
                                              F.col("component").alias("v")).union(links))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle: int = SHINGLE) -> DataFrame:
     """One row per row of ``docs``: its id, ``n_shingles``, ``component_id``
     (the least id that it reaches by links, itself included) and ``kept`` (it
     has that id itself).
 
     Documents are linked where 100 * intersection >= 80 * union of their sets
-    of 4-word shingles. Texts without words (null, empty, blank) are linked with
+    of ``shingle``-word shingles. Texts without words (null, empty, blank) are linked with
     nothing. Rows with a null id take no part: their component is null and they
     are kept. Repeated rows share their id and so their answer. No rows give no
     rows; other columns of ``docs`` are not read."""
-    rows = cut_lineage(signatures(docs, id_col, text_col), "signatures")
+    rows = cut_lineage(signatures(docs, id_col, text_col, shingle), "signatures")
     reps = cut_lineage(rows.where("n > 0 and id is not null").groupBy("set_id").agg(
         F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig")),
         "classes")
@@ -185,7 +186,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     banded = reps.select("rep", F.explode(bands).alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("top"))
     members = cut_lineage(banded.join(shared.where("low <> top").select("bucket"), "bucket"), "buckets")
-    sets = _candidates(docs, reps, members.select("rep").distinct(), id_col, text_col)
+    sets = _candidates(docs, reps, members.select("rep").distinct(), id_col, text_col,
+                       shingle)
 
     sized = members.join(sets.select("key", "rep", "n"), "rep")
     size = sized.groupBy("bucket").agg(F.count("*").alias("k"), F.min("n").alias("least"))

@@ -32,7 +32,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=minhash.SHINGLE)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Share of a text's grams that its best language must hold: below it the text
 #: is in none of the languages.
 MIN_SCORE = 0.1
+#: Words of a shingle in the near-duplicate stage.
+SHINGLE = 5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group: the one with the least id."""
-    gone = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    gone = minhash.near_duplicates(docs, shingle=SHINGLE).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 

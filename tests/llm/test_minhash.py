@@ -122,3 +122,25 @@ def test_connected_components(spark):
     want = components({x for link in links for x in link}, links)
     assert {k: got.get(k, k) for k in want} == want
     assert connected_components(frame.limit(0)).count() == 0
+
+
+def test_shingle_sizes_of_the_query_and_the_pipeline(spark, tmp_path):
+    """Over 0.8 at four words and under it at five: op5 links, the stage does not."""
+    import corpus_pipeline
+    from contrail.llm import queries
+
+    base = [f"w{i}" for i in range(40)]
+    near = [*base[:20], "other", *base[21:]]
+
+    def like(a, b, size):
+        x, y = (set(minhash.shingle_set(" ".join(t), size).tolist()) for t in (a, b))
+        return len(x & y) / len(x | y)
+    assert like(base, near, 4) >= 0.8 > like(base, near, 5)
+    docs = [(1, " ".join(base)), (2, " ".join(near))]
+    rows = [(i, t, "en", "s", len(t)) for i, t in docs]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op5_near_duplicates(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.kept) for r in got) == [(1, True), (2, False)]
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, frame, "").collect()) == [1, 2]
+    assert minhash.near_duplicates(frame, shingle=5).where("kept").count() == 2
