@@ -22,11 +22,12 @@ from .common import broadcast_if_small
 from .graph import connected_components
 
 SHINGLE = 4
-BANDS, ROWS = 30, 5  # a pair of similarity 0.8 is missed once in 150,000
+BANDS, ROWS = 30, 5  # a pair of similarity 0.8 shares no band once in 150,000
 PERCENT = 80
 FEW = 16  # members of a bucket, or sets with a shingle, that are paired directly
 #: Share of equal minima below which a candidate is dropped unread: 4.6 standard
-#: deviations under the threshold.
+#: deviations under the threshold. With the bands, a pair of similarity 0.8 is
+#: missed about once in 64,700.
 ESTIMATE = 0.65
 _K = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
