@@ -20,6 +20,7 @@ from ..session import cut_lineage
 from .common import held_out, text_slices
 
 MIN_SHARE = 0.01  # a language contains a gram that this share of its texts has
+FEW_TEXTS = 10  # a language of fewer texts contains every gram of theirs, others what two texts have
 HASHES = 3
 UNKNOWN = "und"
 _NON_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
@@ -115,7 +116,8 @@ def learn(docs: DataFrame) -> Filter:
     counts = cut_lineage(gram_counts(docs.where(F.col("lang").isNotNull())), "grams")
     texts = counts.where("gram = -1").select("lang", F.col("df").alias("texts"))
     kept = (counts.where("gram <> -1").join(F.broadcast(texts), "lang")  # a row per language
-            .where(F.col("df") >= F.greatest(F.lit(2), F.ceil(F.col("texts") * MIN_SHARE)))
+            .where(F.col("df") >= F.greatest(F.when(F.col("texts") < FEW_TEXTS, 1).otherwise(2),
+                                             F.ceil(F.col("texts") * MIN_SHARE)))
             .select("lang", "gram"))
     sizes = {r["lang"]: r["n"] for r in
              texts.join(kept.groupBy("lang").agg(F.count("*").alias("n")), "lang", "left")

@@ -83,3 +83,13 @@ def test_held_out_accuracy_on_documents(spark):
     rows = op2_language_id(spark, sf).where("held_out").join(truth, "doc_id").collect()
     assert len(rows) > 200
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.99 * len(rows)
+
+
+def test_languages_with_one_and_three_learned_texts(spark):
+    few = [("xx", "kwizo pluvrag zenthi"), *(("yy", t) for t in ("bolmak tirfen", "gursho vadlep", "nimquo hesjat"))]
+    rows = [*docs(), *((500 + i, text, lang) for i, (lang, text) in enumerate(few))]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    for lang, text in few:
+        got, score = model.decide(text)
+        assert got == lang and score > 0.9
+    assert all(model.decide(text)[0] == lang for _, text, lang in docs())
