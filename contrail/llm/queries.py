@@ -5,12 +5,16 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import langid, minhash, mixing, packing, pii, quality, search, spans, toxicity, vectors
+from . import (alignment, langid, minhash, mixing, packing, pii, quality, search, spans, suffixes,
+               toxicity, vectors, whitening)
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,9 +59,27 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.suffix_dedup(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER),
+        public_tokenizers.path(PIECE_TOKENIZER))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_language_id, op3_source_mixing, op4_quality, op5_near_duplicates,
-    op6_substring_dedup, op7_personal_data, op8_toxicity, op9_near_vectors, op10_top_k)}
+    op6_substring_dedup, op7_personal_data, op8_toxicity, op9_near_vectors, op10_top_k,
+    op11_embedding_whitening, op12_suffix_dedup, op13_tokenizer_alignment)}
 
 _USABLE = """embedding IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0"""
