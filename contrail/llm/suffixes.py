@@ -151,14 +151,15 @@ def _runs(owner: np.ndarray, start: np.ndarray, stop: np.ndarray):
 
 
 def frequent_landmarks(texts: DataFrame, length: int = LENGTH) -> np.ndarray:
-    """Landmarks that make up at least one in ``FREQUENT`` of all, and perhaps
-    some with half of that: at most 2 * ``FREQUENT`` hashes. A batch leaves out
-    those with less than half the share in it."""
+    """Landmarks that make up at least half of one in ``FREQUENT`` of all: at
+    most 2 * ``FREQUENT`` hashes. A batch leaves out those with less than that
+    share in it, or a single place: they are counted too low. Which landmarks are
+    frequent changes how suffixes are dealt, not what is found."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h, _, text, _, _ = _found(batch.column("t").to_pylist(), None, length, False)
             every, n = np.unique(h, return_counts=True)
-            some = n * 2 * FREQUENT >= len(h)
+            some = (n > 1) & (n * 2 * FREQUENT >= len(h))
             yield pa.RecordBatch.from_pydict({
                 "h": pa.array(np.append(every[some].view(np.int64), 0)),
                 "n": pa.array(np.append(n[some], 0)),
