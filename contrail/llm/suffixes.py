@@ -224,41 +224,55 @@ def _words(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return w.astype(np.uint64), left
 
 
-def _sorted_directly(places: np.ndarray, w: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """``places`` in the order of their suffixes, eight symbols at a time; those
-    that are alike up to their end marks stay in the order of places."""
+def _sorted_directly(places: np.ndarray, w: np.ndarray, left: np.ndarray,
+                     depth: int | None) -> np.ndarray:
+    """``places`` in the order of their suffixes, eight symbols at a time, by
+    their first ``depth`` symbols at least; those that are alike so far or up to
+    their end marks stay in the order of places."""
     order = places[np.argsort(w[places], kind="stable")]
     group = np.cumsum(np.append(0, w[order[1:]] != w[order[:-1]])) if len(order) else order
-    open_, depth = np.arange(len(order)), 0
-    while True:
+    open_, at = np.arange(len(order)), 0
+    while depth is None or at + 8 < depth:
         size = np.bincount(group, minlength=1)
-        go = (size[group] > 1) & (left[order[open_] + depth] >= 8)
-        open_, group, depth = open_[go], group[go], depth + 8
+        go = (size[group] > 1) & (left[order[open_] + at] >= 8)
+        open_, group, at = open_[go], group[go], at + 8
         if not len(open_):
-            return order
-        mine = order[open_]
-        key = w[mine + depth]
-        by = np.lexsort((key, group))
-        order[open_], key = mine[by], key[by]
+            break
+        key = w[order[open_] + at]
+        first = np.flatnonzero(np.append(True, np.diff(group) != 0))
+        size = np.diff(np.append(first, len(group)))
+        # groups that go on alike need no sorting
+        mixed = np.repeat(np.logical_or.reduceat(key != np.repeat(key[first], size), first), size)
+        part = np.flatnonzero(mixed)
+        by = part[np.lexsort((key[part], group[part]))]
+        order[open_[part]], key[part] = order[open_[by]], key[by]
         group = np.cumsum(np.append(0, (np.diff(group) != 0) | (key[1:] != key[:-1])))
+    return order
 
 
-def suffix_array(s: np.ndarray) -> np.ndarray:
-    """The suffixes of ``s`` (uint8, 0 an end mark, the last symbol one) in
-    order, without those at marks. Marks are less than all else, the earlier
-    less than the later.
+def suffix_array(s: np.ndarray, least: int = 1, depth: int | None = None) -> np.ndarray:
+    """The suffixes of ``s`` (uint8, 0 an end mark, the last symbol one) that
+    have ``least`` symbols before the mark, in order; with ``depth`` in the order
+    of their first ``depth`` symbols at least. Marks are less than all else, the
+    earlier less than the later.
 
     Two stages: suffixes smaller than their successor are sorted directly. The
     others are induced: scanning the suffixes in order, bucket by bucket of the
     first symbol, the predecessor of each goes to the next free place of its own
-    bucket if it is larger."""
+    bucket if it is larger. Of the shorter suffixes those take part that a longer
+    one is induced from."""
     n = len(s)
     up = np.sign(np.diff(s.astype(np.int16)))
     decided = np.append(np.where(up != 0, np.arange(n - 1), n - 1), n - 1)
     decided = np.minimum.accumulate(decided[::-1])[::-1]
     direct = np.append(up > 0, True)[decided] & (s > 0)
     w, left = _words(s)
-    direct = _sorted_directly(np.flatnonzero(direct), w, left)
+    if least > 1:
+        wanted = left >= least
+        source = np.minimum.accumulate(np.where(direct | (s == 0), np.arange(n), n - 1)[::-1])[::-1]
+        wanted[source[wanted]] = True
+        direct &= wanted
+    direct = _sorted_directly(np.flatnonzero(direct), w, left, depth)
     symbols = np.unique(s)
     bounds = np.searchsorted(s[direct], symbols), np.searchsorted(s[direct], symbols, side="right")
     induced: dict[int, list[np.ndarray]] = {int(c): [] for c in symbols}
@@ -280,7 +294,8 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
             before = before[k:]
         if c:
             out.append(bucket)
-    return np.concatenate(out) if out else np.zeros(0, np.int64)
+    out = np.concatenate(out) if out else np.zeros(0, np.int64)
+    return out[left[out] >= least]
 
 
 def common_prefixes(order: np.ndarray, s: np.ndarray, most: int) -> np.ndarray:
@@ -304,7 +319,7 @@ def repeats(texts: list[bytes], place: np.ndarray, length: int = LENGTH) -> np.n
     that stand at an earlier place too; ``place`` is that of each text's first
     byte, and places go on byte by byte."""
     s = np.frombuffer(b"\xff".join(texts) + b"\xff", np.uint8) + np.uint8(1)  # UTF-8 has no 0xff: marks
-    order = suffix_array(s)
+    order = suffix_array(s, length, length)
     alike = common_prefixes(order, s, length) >= length
     start = np.cumsum([0, *(len(t) + 1 for t in texts)])
     own = np.searchsorted(start, order, side="right") - 1

@@ -30,9 +30,13 @@ def test_suffix_array_equals_sorting(parts, times):
     s = np.array([c for p in parts for c in (*(p * times), 0)], np.uint8)
     order = suffixes.suffix_array(s)
     marks = np.flatnonzero(s == 0)
-    assert order.tolist() == sorted(
-        np.flatnonzero(s).tolist(),
-        key=lambda i: ([*suffix(s, i), 0], marks[np.searchsorted(marks, i)]))
+    want = sorted(np.flatnonzero(s).tolist(),
+                  key=lambda i: ([*suffix(s, i), 0], marks[np.searchsorted(marks, i)]))
+    assert order.tolist() == want
+    for least in (2, 9):
+        assert suffixes.suffix_array(s, least).tolist() == [i for i in want if len(suffix(s, i)) >= least]
+    shallow = suffixes.suffix_array(s, 20, 20)
+    assert [suffix(s, i)[:20] for i in shallow] == [suffix(s, i)[:20] for i in want if len(suffix(s, i)) >= 20]
 
 
 @settings(max_examples=100, deadline=None)
