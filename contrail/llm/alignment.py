@@ -23,10 +23,14 @@ from tokenizers import Tokenizer
 
 from ..session import cut_lineage
 
-AT_ONCE = 1 << 20     # characters of the texts that are aligned together
+AT_ONCE = 1 << 22     # characters of the texts that are aligned together
+CHUNK = 1 << 16       # bytes of the words that are tokenized in one string
 HEAD_PAIRS = 1 << 21  # id pairs, the most frequent ones, that are broadcast
 _OWNER = 40           # bits of an id pair's code
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
+# Bytes that begin a character which is surely neither white space nor a mark
+_BEGINS = np.zeros(256, bool)
+_BEGINS[[*range(0x21, 0x7F), *range(0xC3, 0xCC), *range(0xCE, 0xE1), *range(0xE4, 0xF5)]] = True
 
 
 def byte_level_alphabet() -> dict[str, int]:
@@ -74,22 +78,16 @@ class PieceTokenizer:
 
 @dataclass
 class Aligned:
-    """Texts aligned together: per text its measures and groups, and its
-    distinct linked pairs as ``codes`` (A id * size of B + B id, ascending) with
-    their ``occurrences``, from ``bounds[i]`` to ``bounds[i + 1]``."""
+    """Texts aligned together: per text its measures and groups, and in order the
+    codes of its links (A id * size of B + B id), from ``bounds[i]`` to
+    ``bounds[i + 1]``."""
 
-    measures: dict[str, np.ndarray]
+    measures: np.ndarray  # (texts, MEASURES)
     groups: list[str]
     codes: np.ndarray
-    occurrences: np.ndarray
     bounds: np.ndarray
 
 
-def _whole(text: str, ids: list[list[int]], entries: tuple[list[bytes], list[bytes]]) -> bool:
-    raw = (" " + text).encode()
-    return all(b"".join(map(e.__getitem__, i)) == raw for i, e in zip(ids, entries, strict=True))
-
-
 def _order(group_a: np.ndarray, group_b: np.ndarray, n_groups: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the tokens when each group's A tokens come before its B tokens."""
     in_a, in_b = np.bincount(group_a, minlength=n_groups), np.bincount(group_b, minlength=n_groups)
@@ -97,8 +95,18 @@ def _order(group_a: np.ndarray, group_b: np.ndarray, n_groups: int) -> tuple[np.
             np.arange(len(group_b)) + np.cumsum(in_a)[group_b])
 
 
+def _upto(sizes: np.ndarray) -> np.ndarray:
+    return np.append(0, np.cumsum(sizes))
+
+
+def _taken(bounds: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Indices of everything between the bounds of each of ``rows``, in order."""
+    size = np.diff(bounds)[rows]
+    return np.arange(size.sum()) + np.repeat(bounds[rows] - (np.cumsum(size) - size), size)
+
+
 class Aligner:
-    """Tokenizes and aligns; made once in a task."""
+    """Tokenizes whole strings and aligns them."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
         self.a, self.b = ByteTokenizer(path_a), PieceTokenizer(path_b)
@@ -106,32 +114,59 @@ class Aligner:
         self.sizes = [np.array([len(x) for x in e]) for e in self.entries]
         n_a, n_b = map(len, self.entries)
         # an id as text, with what may follow it
-        self.words = [f"{i}{end}" for i in range(n_a) for end in ",|"] \
+        self.written = [f"{i}{end}" for i in range(n_a) for end in ",|"] \
             + [f"{i}{end}" for i in range(n_b) for end in (",", ";", "")]
 
     def __call__(self, texts: list[str]) -> Aligned:
         """``texts`` are neither null nor empty; one whose tokens' bytes are not a
         space and the text has no tokens."""
         ids = list(zip(self.a(texts), self.b(texts), strict=True))
-        ids = [x if _whole(t, x, self.entries) else ([], []) for t, x in zip(texts, ids, strict=True)]
-        n_a, n_b = (np.array([len(x[s]) for x in ids], np.int64) for s in (0, 1))
+        ids = [x if all(self._joined(i, e) == (" " + t).encode() for i, e in zip(x, self.entries, strict=True))
+               else ([], []) for t, x in zip(texts, ids, strict=True)]
         a, b = (np.fromiter((i for x in ids for i in x[s]), np.int64) for s in (0, 1))
+        n_a = np.array([len(x[0]) for x in ids], np.int64)
+        return self.between(a, b, np.append(0, np.cumsum(self.sizes[0][a]))[np.cumsum(n_a)])
+
+    @staticmethod
+    def _joined(ids: list[int], entries: list[bytes]) -> bytes:
+        return b"".join(map(entries.__getitem__, ids))
+
+    def words(self, words: list[bytes]) -> Aligned:
+        """The same of words (as ``cut_words`` finds them, their space included).
+        They are tokenized many in a string, where each is treated as by itself;
+        strings that are not given back, or in which a token crosses words, are
+        done again word by word."""
+        ends = np.cumsum([len(w) for w in words])
+        # behind a space a word would begin elsewhere
+        last = [w[-1:] == b" " for w in words]
+        edges = [0]
+        for i, end in enumerate(ends.tolist()):
+            if i + 1 == len(words) or last[i] or end - (ends[edges[-1] - 1] if edges[-1] else 0) >= CHUNK:
+                edges.append(i + 1)
+        parts = [b"".join(words[x:y]) for x, y in zip(edges[:-1], edges[1:], strict=True)]
+        texts = [p[1:].decode() for p in parts]
+        a, b = self.a(texts), self.b(texts)
+        if all(self._joined(i, e) == p for ids, e in zip((a, b), self.entries, strict=True)
+               for i, p in zip(ids, parts, strict=True)):
+            a, b = (np.fromiter((i for x in ids for i in x), np.int64) for ids in (a, b))
+            if all(np.isin(ends, np.cumsum(size[ids])).all() for ids, size in zip((a, b), self.sizes, strict=True)):
+                return self.between(a, b, ends)
+        return self([w[1:].decode() for w in words])
+
+    def between(self, a: np.ndarray, b: np.ndarray, last: np.ndarray) -> Aligned:
+        """Aligns ids of texts that end at the bytes ``last``, as tokens of both do."""
         end_a, end_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
+        is_a, is_b = np.zeros((2, int(last[-1] if len(last) else 0) + 1), bool)
+        is_a[end_a], is_b[end_b] = True, True
         # each stretch between neighbouring ends is the overlap of one pair
-        ends = np.union1d(end_a, end_b)
-        at_a, at_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
-        both = ends[(end_a[at_a] == ends) & (end_b[at_b] == ends)]
-        last = np.concatenate([[0], end_a])[np.cumsum(n_a)]  # where each text ends
-        owner, n = np.searchsorted(last, ends), len(texts)
-        n_groups = np.bincount(np.searchsorted(last, both), minlength=n)
-        pair = a[at_a] * len(self.entries[1]) + b[at_b]
-        keys, occurrences = np.unique((owner << _OWNER) | pair, return_counts=True)
-        return Aligned(
-            {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": np.bincount(owner, minlength=n)},
-            self._groups(a, b, np.searchsorted(both, end_a), np.searchsorted(both, end_b),
-                         np.concatenate([[0], np.cumsum(n_a + n_b)]), len(both)),
-            keys & ((1 << _OWNER) - 1), occurrences,
-            np.searchsorted(keys >> _OWNER, np.arange(n + 1)))
+        ends, both = np.flatnonzero(is_a | is_b), np.flatnonzero(is_a & is_b)
+        before_a, before_b = (np.cumsum(x) - x for x in (is_a, is_b))
+        joint = np.cumsum(is_a & is_b) - (is_a & is_b)
+        measures = np.stack([np.diff(np.searchsorted(x, last, side="right"), prepend=0)
+                             for x in (end_a, end_b, both, ends)], axis=1)
+        n_both = measures[:, 0] + measures[:, 1]
+        return Aligned(measures, self._groups(a, b, joint[end_a], joint[end_b], _upto(n_both), len(both)),
+                       a[before_a[ends]] * len(self.entries[1]) + b[before_b[ends]], _upto(measures[:, 3]))
 
     def _groups(self, a, b, group_a, group_b, bounds, n_groups) -> list[str]:
         place_a, place_b = _order(group_a, group_b, n_groups)
@@ -140,19 +175,92 @@ class Aligner:
         end_b = np.append(np.diff(group_b) > 0, True)[:len(b)].astype(np.int64)
         end_b[np.isin(place_b, bounds - 1)] = 2
         words[place_b] = 2 * len(self.entries[0]) + 3 * b + end_b
-        get, words = self.words.__getitem__, words.tolist()
+        get, words = self.written.__getitem__, words.tolist()
         return ["".join(map(get, words[x:y])) for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def _parts(texts: list[str]) -> Iterator[tuple[int, int]]:
+def cut_words(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where words begin in texts that begin at ``starts``: at a single space
+    before a character that is no white space. Neither tokenizer joins what
+    stands on both sides of such a place: A splits there, and no piece of B has
+    a space behind another character."""
+    begins = np.zeros(len(data), bool)
+    begins[1:-1] = (data[1:-1] == 0x20) & (data[:-2] != 0x20) & _BEGINS[data[2:]]
+    begins[starts] = True
+    return np.flatnonzero(begins)
+
+
+class WordAligner:
+    """Aligns texts word by word. Both tokenizers treat a word alike wherever it
+    stands, and words repeat far more than they differ: Arrow numbers the
+    distinct words of the texts, each is tokenized and aligned once, and a text
+    is put together from its words. Made once in a task; it keeps no texts."""
+
+    def __init__(self, path_a: str, path_b: str) -> None:
+        self.align = Aligner(path_a, path_b)
+        pieces = (b.lstrip(b" ") for b in self.align.entries[1])
+        self.by_word = not any(b" " in p for p in pieces)
+
+    def __call__(self, texts: list[str]) -> Aligned:
+        if not self.by_word:
+            return self.align(texts)
+        raw, n = [b" " + t.encode() for t in texts], len(texts)
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        starts = _upto(np.array([len(r) for r in raw]))[:-1]
+        cuts = cut_words(data, starts)
+        coded = pa.Array.from_buffers(pa.binary(), len(cuts), [
+            None, pa.py_buffer(np.append(cuts, len(data)).astype(np.int32)), pa.py_buffer(data)]).dictionary_encode()
+        found = self.align.words(coded.dictionary.to_pylist())
+        word = coded.indices.to_numpy()
+        first = np.searchsorted(cuts, starts)
+        owner = np.repeat(np.arange(n), np.diff(np.append(first, len(cuts))))
+        measures = found.measures[word]
+        # a word that its tokens do not give back: the text decides as a whole
+        odd = np.unique(owner[measures[:, 0] == 0])
+        sums = np.add.reduceat(measures, first, axis=0) if n else measures
+        bounds = np.append(first, len(cuts)).tolist()
+        strings = list(map(found.groups.__getitem__, word.tolist()))
+        groups = [";".join(strings[x:y]) for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+        codes = found.codes[_taken(found.bounds, word)]
+        if not len(odd):
+            return Aligned(sums, groups, codes, _upto(sums[:, 3]))
+        owner = np.repeat(np.arange(n), sums[:, 3])
+        whole = self.align([texts[i] for i in odd])
+        sums[odd] = whole.measures
+        for i, g in zip(odd.tolist(), whole.groups, strict=True):
+            groups[i] = g
+        kept = ~np.isin(owner, odd)
+        owner = np.append(owner[kept], np.repeat(odd, whole.measures[:, 3]))
+        by = np.argsort(owner, kind="stable")
+        return Aligned(sums, groups, np.append(codes[kept], whole.codes)[by], _upto(sums[:, 3]))
+
+
+def _counted(found: Aligned) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct codes of each text, ascending, their occurrences, and bounds."""
+    owner = np.repeat(np.arange(len(found.groups)), np.diff(found.bounds))
+    keys = np.sort((owner << _OWNER) | found.codes)
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+    times, keys = np.diff(np.append(first, len(keys))), keys[first]
+    return keys & ((1 << _OWNER) - 1), times, np.searchsorted(keys >> _OWNER, np.arange(len(found.groups) + 1))
+
+
+def _parts(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Texts of about ``AT_ONCE`` together."""
     lo, held = 0, 0
-    for i, t in enumerate(texts):
-        if i > lo and held + len(t) > AT_ONCE:
+    for i, n in enumerate(sizes):
+        if i > lo and held + n > AT_ONCE:
             yield lo, i
             lo, held = i, 0
-        held += len(t)
-    if lo < len(texts):
-        yield lo, len(texts)
+        held += n
+    if lo < len(sizes):
+        yield lo, len(sizes)
+
+
+def _blobs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The values between each two bounds as binary."""
+    offsets = (bounds * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1,
+                                 [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())])
 
 
 def aligned_texts(docs: DataFrame, path_a: str, path_b: str, text_col: str = "text",
@@ -163,22 +271,22 @@ def aligned_texts(docs: DataFrame, path_a: str, path_b: str, text_col: str = "te
     linked pairs: differences of ascending codes and occurrences, as
     little-endian 64- and 32-bit integers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        align = Aligner(path_a, path_b)
+        align = WordAligner(path_a, path_b)
         for batch in batches:
             texts = batch.column("t").to_pylist()
-            for lo, hi in _parts(texts):
+            for lo, hi in _parts(list(map(len, texts))):
                 found = align(texts[lo:hi])
+                codes, times, bounds = _counted(found)
+                step = np.diff(codes, prepend=0)
+                step[bounds[:-1][bounds[:-1] < len(codes)]] = codes[bounds[:-1][bounds[:-1] < len(codes)]]
                 rows = {c: batch.column(c).slice(lo, hi - lo) for c in ("key", "weight")}
-                rows |= {c: pa.array(found.measures[c]) for c in MEASURES}
+                rows |= {c: pa.array(np.ascontiguousarray(found.measures[:, j])) for j, c in enumerate(MEASURES)}
                 rows["groups_sha256"] = pa.array(
                     [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in found.groups])
                 if with_groups:
                     rows["groups"] = pa.array(found.groups)
-                edges = list(zip(found.bounds[:-1], found.bounds[1:], strict=True))
-                count = found.occurrences.astype("<i4")
-                rows["codes"] = pa.array([np.diff(found.codes[x:y], prepend=0).astype("<i8").tobytes()
-                                          for x, y in edges], pa.binary())
-                rows["occurrences"] = pa.array([count[x:y].tobytes() for x, y in edges], pa.binary())
+                rows["codes"] = _blobs(step.astype("<i8"), bounds)
+                rows["occurrences"] = _blobs(times.astype("<i4"), bounds)
                 yield pa.RecordBatch.from_pydict(rows)
 
     texts = (docs.select(F.col(text_col).alias("t")).where("t <> ''")

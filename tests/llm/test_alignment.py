@@ -9,6 +9,8 @@ from collections import Counter
 import public_tokenizers
 import pytest
 import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from contrail.llm import alignment
@@ -110,6 +112,33 @@ def test_null_ids_and_empty_tables(spark):
 
 
 def test_batches_are_cut_by_size():
+    n = alignment.AT_ONCE
     assert list(alignment._parts([])) == []
-    big = "x" * alignment.AT_ONCE
-    assert list(alignment._parts(["a", big, "b", "c"])) == [(0, 1), (1, 2), (2, 4)]
+    assert list(alignment._parts([1, n, 1, 1])) == [(0, 1), (1, 2), (2, 4)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(
+    [*"aB.é日▁1\u0301\u00a0\u3000\u2028\t\n'", " ", "  ", " the", " cat's", " ünb", "<s>", "<|endoftext|>", "\x00",
+     "\U0001F600", " 12", "..."]), min_size=1, max_size=14).map("".join), min_size=1, max_size=4))
+def test_words_put_together_equal_whole_texts(aligners, texts):
+    whole, by_word = aligners
+    want, got = whole(texts), by_word(texts)
+    assert got.measures.tolist() == want.measures.tolist() and got.groups == want.groups
+    assert got.codes.tolist() == want.codes.tolist() and got.bounds.tolist() == want.bounds.tolist()
+
+
+@pytest.fixture(scope="module")
+def aligners():
+    assert alignment.WordAligner(A, B).by_word
+    return alignment.Aligner(A, B), alignment.WordAligner(A, B)
+
+
+def test_words_of_many_strings(aligners, monkeypatch):
+    monkeypatch.setattr(alignment, "CHUNK", 40)
+    rng = random.Random(2)
+    for _ in range(30):
+        texts = [" ".join(rng.choice([str(rng.randint(0, 400)), "word ", "été", "x\n"]) for _ in range(40))
+                 for _ in range(3)]
+        want, got = aligners[0](texts), aligners[1](texts)
+        assert got.groups == want.groups and got.codes.tolist() == want.codes.tolist()
