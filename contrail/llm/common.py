@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -63,6 +64,36 @@ def prefix_offsets(totals: DataFrame, key: str, value: str, out: str,
             .select(key, (F.col("_in") + F.col("_base")).alias(out)))
 
 
+def document_ranks(ids: np.ndarray, th: np.ndarray) -> np.ndarray:
+    """Rank of each document by id and text hash; equal rows are one document."""
+    rank, by = np.empty(len(ids), np.int64), np.lexsort((th, ids))
+    rank[by] = np.cumsum(np.append(0, (np.diff(ids[by]) != 0) | (np.diff(th[by]) != 0))[:len(ids)])
+    return rank
+
+
+def joined_spans(owner: np.ndarray, start: np.ndarray, stop: np.ndarray):
+    """Overlapping or touching spans joined: (owner, start, stop), ascending."""
+    if not len(owner):
+        return owner, start, stop
+    by = np.lexsort((start, owner))
+    owner, start, stop = owner[by], start[by], stop[by]
+    reach = np.maximum.accumulate((owner << 32) + stop)
+    new = np.append(True, (owner[1:] << 32) + start[1:] > reach[:-1])
+    at = np.flatnonzero(new)
+    return owner[at], start[at], (reach[np.append(at[1:], len(owner)) - 1]) - (owner[at] << 32)
+
+
+def first_of_batch(key1: np.ndarray, key2: np.ndarray, place: np.ndarray):
+    """(order, new, again) of occurrences in a batch: sorted by key and place, the
+    first of each key, and those at later places, which repeat it for certain.
+    Others at the first place are the same occurrence in an equal row."""
+    order = np.lexsort((place, key2, key1))
+    key1, key2, place = key1[order], key2[order], place[order]
+    new = np.append(True, (key1[1:] != key1[:-1]) | (key2[1:] != key2[:-1]))[:len(order)]
+    first = np.flatnonzero(new)
+    return order, new, place > np.repeat(place[first], np.diff(np.append(first, len(order))))
+
+
 def renamed(df: DataFrame) -> DataFrame:
     """The same columns under identities of their own, for a cogroup of two
     frames that come from one."""

@@ -8,16 +8,18 @@ first occurrence of a run stays.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate, pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from .common import document_ranks, first_of_batch, joined_spans
 
 SENTENCES = 3   # a run has this many sentences at least
 WORDS = 12      # and this many words at least, so that chance does not repeat it
@@ -85,6 +87,7 @@ def _cuts(text: str, long: list[tuple[int, int]], bare: bool) -> list[list[int]]
         for p in np.unique((np.arange(len(rows)) + least)[one] + 1).tolist():
             places[owner[p]].append(p)
     weights = _weights(words) if bare else [2] * len(words)
+    upto = list(accumulate(weights, initial=0))
     first, out = 0, []
     for k, end in enumerate(sizes):
         if bare:
@@ -98,8 +101,9 @@ def _cuts(text: str, long: list[tuple[int, int]], bare: bool) -> list[list[int]]
             places[k] = sorted(found)
         cuts, last = [], first
         for p in [*places[k], end]:
-            while p - last > LONGEST and sum(weights[last:p]) > 2 * LONGEST:
-                top = last + _lasts(weights[last:p], 2 * LONGEST)[0]
+            while p - last > LONGEST and upto[p] - upto[last] > 2 * LONGEST:
+                # where the longest row of words of that weight ends
+                top = bisect_right(upto, upto[last] + 2 * LONGEST, last, p) - 1
                 last = min(range(last + 1, top + 1), key=lambda j: (score[j - 1], -j))
                 cuts.append(last)
             if p < end:
@@ -139,8 +143,8 @@ def sentences(text: str | None) -> list[tuple[int, int]]:
     return [(a, b) for a, b, _, _ in _pieces(text, _bare(text))]
 
 
-def runs(text: str | None) -> list[tuple[int, int, int]]:
-    """(first sentence, number of sentences, 128-bit hash) of the shortest run
+def runs(text: str | None) -> tuple[list[tuple[int, int]], list[bytes]]:
+    """(first sentence, sentence after the last) and 128-bit hash of the shortest run
     from each sentence on that has ``SENTENCES`` and ``WORDS`` (``ENOUGH`` words
     if a cut sentence is part of it), and of the shortest of fewer sentences
     that has ``ENOUGH`` words; and of the shortest with a part of a cut sentence
@@ -151,7 +155,7 @@ def runs(text: str | None) -> list[tuple[int, int, int]]:
     bare = _bare(text)
     pieces = _pieces(text, bare)
     if len(pieces) < 2:
-        return []
+        return [], []
     joined = [" ".join(text[a:b].lower().split()) for a, b, _, _ in pieces]
     sizes = [_weight(x, True) if bare else 2 * (x.count(" ") + 1) if x else 0 for x in joined]
     n = len(pieces)
@@ -178,36 +182,42 @@ def runs(text: str | None) -> list[tuple[int, int, int]]:
     tail = first >= 0
     tail[tail] = parts[last[tail]] > parts[first[tail]]
     found.update(zip(first[tail].tolist(), last[tail].tolist(), strict=True))
-    return [(i, e - i, xxhash.xxh3_128_intdigest("\x1f".join(joined[i:e]))) for i, e in sorted(found)]
+    found = sorted(found)
+    return found, [xxhash.xxh3_128_digest("\x1f".join(joined[i:e])) for i, e in found]
 
 
-def repeated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, th, runs): per document the (first sentence, length) of every run
-    whose first occurrence, by id, text hash and place, is elsewhere."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        low = (1 << 64) - 1
+def repeated(docs: DataFrame) -> DataFrame:
+    """(id, th, at, n): the runs of sentences whose first occurrence, by id, text
+    hash and place, is elsewhere.
+
+    Of equal runs in a batch only the first is shuffled; the others are repeats
+    for certain and come joined, with a null h2. One window over the hashes then
+    finds the first place of all."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for key, th, text in zip(b["id"], b["th"], b["t"], strict=True):
-                for i, n, h in runs(text):
-                    a, c = h >> 64, h & low
-                    rows.append((key, th, i, n, a - ((a >> 63) << 64), c - ((c >> 63) << 64)))
-                if len(rows) > 50_000:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows = []
-            yield pd.DataFrame(rows, columns=names)
-
-    names = ["id", "th", "i", "n", "h1", "h2"]
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.hash(text_col).alias("th"),
-                        F.col(text_col).alias("t")).where("id is not null and t is not null")
-    spans = cut_lineage(texts.mapInPandas(
-        run, "id long, th int, i int, n int, h1 long, h2 long"), "spans")
-    place = F.struct("id", "th", "i")
-    first = (spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("k"))
-             .where("k > 1").select("h1", "h2", "first"))
-    again = spans.join(first, ["h1", "h2"]).where(place != F.col("first"))
-    # a set: it is bounded by the document's own sentences however often rows repeat
-    return again.groupBy("id", "th").agg(F.collect_set(F.struct("i", "n")).alias("runs"))
+            ids, th = (b.column(c).to_numpy() for c in ("id", "th"))
+            found = [runs(t) for t in b.column("t").to_pylist()]
+            text = np.repeat(np.arange(len(ids)), [len(x) for x, _ in found])
+            ends = np.array([x for rows, _ in found for x in rows], np.int64).reshape(-1, 2)
+            h = np.frombuffer(b"".join(x for _, rows in found for x in rows), "<i8").reshape(-1, 2)
+            by, new, again = first_of_batch(h[:, 0], h[:, 1], (document_ranks(ids, th)[text] << 32) + ends[:, 0])
+            text, ends, h = text[by], ends[by], h[by]
+            own, start, stop = joined_spans(text[again], ends[again, 0], ends[again, 1])
+            rows = np.append(text[new], own)
+            yield pa.RecordBatch.from_pydict({
+                "h1": pa.array(np.append(h[new, 0], (own * 40503 + start) * 2654435761)),
+                "h2": pa.array(np.append(h[new, 1], own),
+                               mask=np.append(np.zeros(new.sum(), bool), np.ones(len(own), bool))),
+                "id": pa.array(ids[rows]), "th": pa.array(th[rows]),
+                "at": pa.array(np.append(ends[new, 0], start).astype(np.int32)),
+                "n": pa.array(np.append(ends[new, 1] - ends[new, 0], stop - start).astype(np.int32))})
+
+    spans = docs.where("id is not null and t is not null").mapInArrow(
+        run, "h1 long, h2 long, id long, th int, at int, n int")
+    place = F.struct("id", "th", "at")
+    first = F.min(place).over(Window.partitionBy("h1", "h2"))
+    return (spans.repartition("h1", "h2").withColumn("first", first)
+            .where(F.col("h2").isNull() | (F.col("first") != place)).select("id", "th", "at", "n"))
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id",
@@ -225,7 +235,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id",
             rows = []
             for text, found in zip(b["t"], b["runs"], strict=True):
                 parts = sentences(text)
-                gone = {j for x in found for j in range(x["i"], x["i"] + x["n"])} \
+                gone = {j for x in found for j in range(x["at"], x["at"] + x["n"])} \
                     if found is not None else set()
                 if gone:
                     text = "".join(text[s:e] for j, (s, e) in enumerate(parts) if j not in gone)
@@ -235,6 +245,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id",
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.hash(text_col).alias("th"),
                         F.col(text_col).alias("t"))
-    out = texts.join(repeated(docs, id_col, text_col), ["id", "th"], "left").select("id", "t", "runs")
+    # a set: it is bounded by the document's own sentences however often rows repeat
+    found = repeated(texts).groupBy("id", "th").agg(F.collect_set(F.struct("at", "n")).alias("runs"))
+    out = texts.join(found, ["id", "th"], "left").select("id", "t", "runs")
     return out.mapInPandas(cut, "id long, n_sentences long, n_removed long, text string") \
         .withColumnRenamed("id", id_col)

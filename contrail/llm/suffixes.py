@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .common import document_ranks, first_of_batch, joined_spans
 
 LENGTH = 100          # bytes of a string that counts as a repeat
 GRAM = 16             # bytes of a landmark
@@ -138,18 +139,6 @@ def _found(texts: list[bytes], frequent: Frequent | None, length: int, with_hash
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _runs(owner: np.ndarray, start: np.ndarray, stop: np.ndarray):
-    """Overlapping or touching spans joined: (owner, start, stop), ascending."""
-    if not len(owner):
-        return owner, start, stop
-    by = np.lexsort((start, owner))
-    owner, start, stop = owner[by], start[by], stop[by]
-    reach = np.maximum.accumulate((owner << 32) + stop)
-    new = np.append(True, (owner[1:] << 32) + start[1:] > reach[:-1])
-    at = np.flatnonzero(new)
-    return owner[at], start[at], (reach[np.append(at[1:], len(owner)) - 1]) - (owner[at] << 32)
-
-
 def frequent_landmarks(texts: DataFrame, length: int = LENGTH) -> np.ndarray:
     """Landmarks that make up at least half of one in ``FREQUENT`` of all: at
     most 2 * ``FREQUENT`` hashes. A batch leaves out those with less than that
@@ -173,13 +162,6 @@ def frequent_landmarks(texts: DataFrame, length: int = LENGTH) -> np.ndarray:
     return rows.column("h").to_numpy().view(np.uint64)
 
 
-def _ranks(ids: np.ndarray, th: np.ndarray) -> np.ndarray:
-    """Rank of each document by id and text hash; equal rows are one document."""
-    rank, by = np.empty(len(ids), np.int64), np.lexsort((th, ids))
-    rank[by] = np.cumsum(np.append(0, (np.diff(ids[by]) != 0) | (np.diff(th[by]) != 0))[:len(ids)])
-    return rank
-
-
 def _segments(texts: DataFrame, frequent: np.ndarray, length: int) -> DataFrame:
     """(h, g, id, th, at, n) of the segments. Of equal segments in a batch only
     the first goes on; the others are repeats for certain and come joined, with
@@ -191,14 +173,9 @@ def _segments(texts: DataFrame, frequent: np.ndarray, length: int) -> DataFrame:
         for batch in batches:
             ids, th = (batch.column(c).to_numpy() for c in ("id", "th"))
             h, g, text, at, n = _found(batch.column("t").to_pylist(), rare, length, True)
-            own_rank = _ranks(ids, th)
-            place = (own_rank[text] << 32) + at
-            by = np.lexsort((place, g, h))
-            h, g, text, at, n, place = (x[by] for x in (h, g, text, at, n, place))
-            new = np.append(True, (h[1:] != h[:-1]) | (g[1:] != g[:-1]))[:len(h)]
-            first = np.flatnonzero(new)
-            again = place > np.repeat(place[first], np.diff(np.append(first, len(h))))
-            own, start, stop = _runs(text[again], at[again], at[again] + n[again])
+            by, new, again = first_of_batch(h, g, (document_ranks(ids, th)[text] << 32) + at)
+            h, g, text, at, n = (x[by] for x in (h, g, text, at, n))
+            own, start, stop = joined_spans(text[again], at[again], at[again] + n[again])
             k = len(own)
             yield pa.RecordBatch.from_pydict({
                 "h": pa.array(np.append(h[new].view(np.int64), (own * 40503 + start) * 2654435761)),
@@ -332,9 +309,9 @@ def repeats(texts: list[bytes], place: np.ndarray, length: int = LENGTH) -> np.n
 
 def _sort_bucket(rows: pd.DataFrame) -> pd.DataFrame:
     ids, th, at = (rows[c].to_numpy() for c in ("id", "th", "at"))
-    found = repeats(rows["segment"].tolist(), (_ranks(ids, th) << 32) + at)
+    found = repeats(rows["segment"].tolist(), (document_ranks(ids, th) << 32) + at)
     own, start = found[:, 0], at[found[:, 0]] + found[:, 1]
-    own, start, stop = _runs(own, start, start + LENGTH)
+    own, start, stop = joined_spans(own, start, start + LENGTH)
     return pd.DataFrame({"id": ids[own], "th": th[own], "at": start, "n": stop - start})
 
 
@@ -421,7 +398,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 if found.is_valid:
                     at, n = (found.values.field(c).to_numpy() for c in ("at", "n"))
                     at = at.astype(np.int64)
-                    _, start, stop = _runs(np.zeros(len(at), np.int64), at, at + n)
+                    _, start, stop = joined_spans(np.zeros(len(at), np.int64), at, at + n)
                     gone = list(zip(start.tolist(), stop.tolist(), strict=True))
                     edges = [0, *(x for s in gone for x in s), len(text)]
                     text = b"".join([text[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True)])
