@@ -11,81 +11,109 @@ from __future__ import annotations
 import os
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..session import cut_lineage
-from .common import prefix_offsets, text_slices
+from .common import prefix_offsets
 
 SEQUENCE = 4096
-CACHE_WORDS = 600_000
-CACHE_BYTES = 64  # longer words are encoded anew each time
-_ENDS = b".,!?;:"  # punctuation that a tokenizer parts from a letter before it
+CACHE_BYTES = 24 << 20  # of words and ids that a task keeps, with what Python adds to them
+LONG_WORD = 64          # bytes; longer words are encoded anew each time
+AT_ONCE = 8 << 20       # bytes of texts that are split into words together
+_ENTRY = 200            # bytes that Python needs for a kept word
+_ENDS = ".,!?;:"        # punctuation that a tokenizer parts from a letter before it
+
+
+@lru_cache(maxsize=1)
+def _tokenizer(path: str) -> Tokenizer:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True  # their strings are ordinary text
+    return tokenizer
 
 
 class WordIds:
     """Ids of texts by a tokenizer that drops white space, ignores case and
-    splits letters from punctuation. Words repeat far more than they differ, so
-    the ids of each word are kept, in two generations of ``CACHE_WORDS`` words."""
+    splits letters from punctuation. Words repeat far more than they differ:
+    Arrow splits texts and numbers their distinct words, which are encoded once,
+    and the ids of all words are taken by number. Distinct words are kept for the
+    next texts, up to ``CACHE_BYTES``."""
 
     def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.tokenizer = _tokenizer(path)
+        self.known: dict[str, bytes] = {}
+        self.room = CACHE_BYTES
 
-    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def _encode(self, words: list[str]) -> dict[str, bytes]:
         """Plain letters need neither normalizer nor splitter: they go to the
         tokenizer's model at once."""
         merge, out, rest = self.tokenizer.model.tokenize, {}, []
         for w in words:
-            text = w.decode()
-            if text.isascii() and text.isalpha():
-                out[w] = array("I", [x.id for x in merge(text)]).tobytes()
+            if w.isascii() and w.isalpha():
+                out[w] = array("I", [x.id for x in merge(w)]).tobytes()
             else:
-                rest.append((w, text))
-        found = self.tokenizer.encode_batch_fast([x for _, x in rest], add_special_tokens=False)
-        out.update((w, array("I", e.ids).tobytes()) for (w, _), e in zip(rest, found, strict=True))
+                rest.append(w)
+        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        out.update((w, array("I", e.ids).tobytes()) for w, e in zip(rest, found, strict=True))
         return out
 
-    def _learn(self, missing: set[bytes]) -> dict[bytes, bytes]:
-        """The ids of words that the young generation lacks."""
-        known, split, new = {}, {}, set()
-        for w in missing:
-            if (ids := self.old.get(w)) is not None:
-                known[w] = ids
-            elif (stem := w.rstrip(_ENDS)) != w and stem and stem[-1:].isalpha():
+    def words(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words."""
+        new, split = set(), {}
+        for w in set(words).difference(self.known):
+            stem = w.rstrip(_ENDS)
+            if stem != w and stem and stem[-1].isascii() and stem[-1].isalpha():
                 split[w] = stem, w[len(stem):]
-                new.update(x for x in split[w] if x not in self.young)
+                new.update(x for x in split[w] if x not in self.known)
             else:
                 new.add(w)
-        known |= self._encode([w for w in new if w not in known])
-        for w, (stem, end) in split.items():
-            known[w] = b"".join([known[x] if x in known else self.young[x] for x in (stem, end)])
-        return known
+        found = self._encode(list(new))
+        get = lambda x: found[x] if x in found else self.known[x]
+        found |= {w: get(stem) + get(end) for w, (stem, end) in split.items()}
+        out = [get(w) for w in words]
+        for w, ids in found.items():
+            if len(w) <= LONG_WORD:
+                self.known[w] = ids
+                self.room -= len(w) + len(ids) + _ENTRY
+        if self.room < 0:
+            self.known, self.room = {}, CACHE_BYTES
+        return out
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's end."""
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
+        coded = split.flatten().dictionary_encode()
+        if not len(coded):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        ids = self.words(coded.dictionary.to_pylist())
+        own = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        place = coded.indices.to_numpy()
+        flat, start, size = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(own) - own, own[place]
+        upto = np.cumsum(size)
+        at = np.arange(upto[-1]) + np.repeat(start[place] - (upto - size), size)
+        return flat[at], np.append(0, upto)[ends]
 
     def __call__(self, text: str) -> bytes:
-        out = []
-        for piece in text_slices(text):
-            words = piece.encode().lower().split()  # ASCII case and white space only
-            learned = self._learn(missing) if (missing := set(words).difference(self.young)) else {}
-            if any(len(w) > CACHE_BYTES for w in learned):
-                known = {w: learned[w] if w in learned else self.young[w] for w in set(words)}
-                out.extend(map(known.__getitem__, words))
-            else:
-                self.young |= learned
-                out.extend(map(self.young.__getitem__, words))
-            if len(self.young) > CACHE_WORDS:
-                self.old, self.young = self.young, {}
-        return b"".join(out)
+        return self.batch(pa.array([text]))[0].tobytes()
 
 
-_CODERS: dict[str, WordIds] = {}
+def _parts(size: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Rows of about ``AT_ONCE`` bytes together."""
+    lo, upto = 0, np.cumsum(size)
+    while lo < len(size):
+        held = upto[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(upto, held + AT_ONCE, side="right")))
+        yield lo, hi
+        lo = hi
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id",
@@ -93,21 +121,26 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "d
     """One row per row of ``docs``: its id, ``n`` ids as little-endian unsigned
     32-bit ``ids`` (the end id last; a null or empty text has that id alone),
     and where they start in the stream of partition ``part``."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        code = _CODERS.get(tokenizer_path)
-        if code is None:
-            code = _CODERS[tokenizer_path] = WordIds(tokenizer_path)
-        end = int(end_id).to_bytes(4, "little")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = WordIds(tokenizer_path)
+        end = np.array([end_id], "<u4")
         part, at = TaskContext.get().partitionId(), 0
         for b in batches:
-            ids = [(code(t) if t else b"") + end for t in b["t"]]
-            n = pd.Series([len(x) // 4 for x in ids], dtype="int64")
-            yield pd.DataFrame({"id": b["id"], "part": part, "in_part": n.cumsum() - n + at,
-                                "n": n, "ids": ids})
-            at += int(n.sum())
+            texts = b.column("t").fill_null("")
+            for lo, hi in _parts(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)):
+                ids, upto = code.batch(texts.slice(lo, hi - lo))
+                ids = np.insert(ids.astype("<u4", copy=False), upto, end)  # behind each text
+                ends = upto + np.arange(1, len(upto) + 1)
+                n = np.diff(ends, prepend=0)
+                raw = pa.Array.from_buffers(pa.binary(), len(n), [
+                    None, pa.py_buffer((np.append(0, ends) * 4).astype(np.int32)), pa.py_buffer(ids.tobytes())])
+                yield pa.RecordBatch.from_pydict({
+                    "id": b.column("id").slice(lo, hi - lo), "part": pa.array(np.full(len(n), part, np.int32)),
+                    "in_part": pa.array(ends - n + at), "n": pa.array(n), "ids": raw})
+                at += int(ends[-1])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInPandas(
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(
         run, f"id {kind}, part int, in_part long, n long, ids binary")
 
 

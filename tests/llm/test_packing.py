@@ -40,8 +40,8 @@ def test_word_ids_equal_the_tokenizer(coder, tokenizer, parts):
 
 
 def test_word_ids_with_a_small_cache(tokenizer, monkeypatch):
-    monkeypatch.setattr(packing, "CACHE_WORDS", 5)
-    monkeypatch.setattr(packing, "CACHE_BYTES", 4)
+    monkeypatch.setattr(packing, "CACHE_BYTES", 900)
+    monkeypatch.setattr(packing, "LONG_WORD", 4)
     code, rnd = packing.WordIds(PATH), random.Random(3)
     for _ in range(60):
         text = " ".join(rnd.choice(["the", "them.", "a", "straße,", "x" * 30, "no", "b."])
@@ -57,6 +57,16 @@ def test_words_without_ids_beside_a_long_new_word(tokenizer, blank):
         assert np.frombuffer(code(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_batches_are_cut_by_size_and_equal_single_texts(tokenizer, monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(packing, "AT_ONCE", 10)
+    assert list(packing._parts(np.array([3, 4, 3, 1, 50, 0, 2]))) == [(0, 3), (3, 4), (4, 5), (5, 7)]
+    texts = ["", "The the", " ", "a\x0bb\x0cc\x1cd", "İ. É. ß!", "", "x" * 99]
+    ids, ends = packing.WordIds(PATH).batch(pa.array(texts))
+    for t, lo, hi in zip(texts, [0, *ends], ends):
+        assert ids[lo:hi].tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
 def test_slices_keep_the_text():
     rnd = random.Random(1)
     for _ in range(300):
