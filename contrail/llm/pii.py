@@ -9,6 +9,7 @@ numbers). Its spans never replace or overlap a pattern's.
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import re
 from collections.abc import Iterator
@@ -60,7 +61,8 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     out = [(a, b, "email") for a, b in _emails(text)]
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+            parts = [p.lstrip("0") for p in m[0].split(".")]  # int() refuses very long runs
+            if all(len(p) <= 3 and int(p or "0") <= 255 for p in parts):
                 out.append((*m.span(), "ip"))
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
@@ -127,6 +129,8 @@ passport no. [identity:AB######] ~ ~ ~
 ~ ~ ###,### ~ ~ ~ #,###
 """.strip().split("\n")
 VARIANTS = 12
+KEPT_WORDS = 50_000  # words whose scores a task keeps, about 25 MB
+LONG_WORD = 64       # characters; longer words are scored anew each time
 _MARK = re.compile(r"\[(contact|identity):((?:[^\[\]]|\[\w+\])*)\]")
 
 
@@ -171,7 +175,7 @@ _WORDS = frozenset(["at", "dot", "com", "org", "net", "(at)", "(dot)", "[at]", "
 def features(word: str) -> tuple[str, ...]:
     """The word's shape, coarse shape and, of a few words, the word itself."""
     bare = word.strip(".,;:!?")
-    shape = "".join("x" if c.isalpha() and not c.isascii() else c for c in bare[:40]).translate(_FOLD)
+    shape = "".join("x" if c.isalpha() and not c.isascii() else c for c in bare).translate(_FOLD)
     fine = _LONG.sub(r"\1+", _RUN.sub("x", shape))
     low = bare.lower()
     return (f"s={fine}", f"c={''.join(dict.fromkeys(fine))}", f"w={low if low in _WORDS else ''}",
@@ -256,11 +260,18 @@ class Field:
         if found is None:
             found = np.stack([self.weights[[self.index.get(o + f, len(self.index))
                                             for f in features(w)]].sum(axis=0) for o in "-0+"])
-            if len(self.cache) > 200_000:
-                self.cache.clear()
-            self.cache[w] = found
+            if len(w) <= LONG_WORD:
+                if len(self.cache) >= KEPT_WORDS:
+                    self.cache.clear()
+                self.cache[w] = found
         return found
 
+    def for_task(self) -> Field:
+        """The same field with a store of words of its own, which goes with the task."""
+        field = copy.copy(self)
+        field.cache = {}
+        return field
+
     def decode(self, lines: list[list[str]]) -> list[np.ndarray]:
         """The best tags of each line by Viterbi, lines of like length together."""
         out: list[np.ndarray] = [np.empty(0, int)] * len(lines)
@@ -378,10 +389,11 @@ def find(docs: DataFrame, text_col: str = "text", with_masked: bool = False) ->
     @F.pandas_udf("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
                   "spans string, masked string")
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = field.value.for_task()
         for batch in texts:
             rows = []
             for text, (base, spans) in zip(
-                    batch, all_spans([t or "" for t in batch], field.value), strict=True):
+                    batch, all_spans([t or "" for t in batch], own), strict=True):
                 kinds = [k for _, _, k in base]
                 rows.append((*[kinds.count(k) for k in BASE],
                              hashlib.sha256(written(base).encode()).hexdigest(), written(spans),

@@ -124,3 +124,12 @@ def test_masked():
     assert pii.masked(text, pii.base_spans(text)) == "mail <EMAIL> or <IP> now"
     assert pii.masked("abc", []) == "abc"
     assert pii.masked("+1 4111111111111111", [(0, 19, "phone"), (3, 19, "card")]) == "<PHONE>"
+
+
+def test_runs_of_zeros_and_long_tokens():
+    zeros = "0" * 5000
+    assert pii.base_spans(f"x {zeros}.1.1.1 y") == [(2, 2 + 5000 + 6, "ip")]
+    assert pii.base_spans(f"{zeros}1.2.3.256 1.{zeros}255.3.4") == [(5010, 5010 + 5009, "ip")]
+    # the whole token counts, not its first characters
+    assert pii.features("q" * 45 + "415-555-2671") != pii.features("q" * 45)
+    assert pii.features("q" * 90 + "7")[3] == "d=1"
