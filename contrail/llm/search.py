@@ -92,10 +92,9 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     Scores beyond a long are cut to its range. No rows give no rows; other
     columns are not read."""
     v = F.col(vec_col).cast("array<double>")
-    whole = F.transform(v, lambda x: F.floor(x * SCALE).cast("double"))
-    # floor() is a long, so larger components keep their own double value
-    whole = F.when(F.exists(v, lambda x: F.abs(x) >= 2.0 ** 52),
-                   F.transform(v, lambda x: x * SCALE)).otherwise(whole)
+    # floor() is a long; a larger component is a whole number as it is
+    whole = F.transform(v, lambda x: F.when(F.abs(x) >= 2.0 ** 52, x * SCALE)
+                        .otherwise(F.floor(x * SCALE).cast("double")))
     rows = (vectors.where(F.col(id_col).isNotNull() & usable(v) & (F.size(v) > 0))
             .select(F.col(id_col).cast("long").alias("id"), whole.alias("v")).where(usable(F.col("v")))
             .groupBy("id", "v").agg(F.count("*").alias("copies")).withColumn("dim", F.size("v")))

@@ -143,3 +143,9 @@ def test_bounds_hold():
         fq, fx = search.segment_statistics(q, s), search.segment_statistics(x, s)
         assert (fq @ fx.T >= q @ x.T - 1e-6).all()
         assert np.allclose(np.linalg.norm(fx, axis=1), np.linalg.norm(x, axis=1))
+
+
+def test_each_component_is_floored_beside_a_huge_one(spark):
+    rows = [(0, [0.0, 1.0]), (1, [2.0 ** 54, -0.3]), (2, [1.0, -0.3])]
+    got = search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=50).collect()
+    assert {(r["vec_id"], r["score"]) for r in got} == {(1, -77 * 256), (2, -77 * 256)}
