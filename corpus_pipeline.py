@@ -34,24 +34,35 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group: the one with the least id."""
-    gone = minhash.near_duplicates(docs, shingle=SHINGLE).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Keep one row of each group of near duplicates: that with the least id (a
+    null id comes last, ties go by row number). Every row is a document of its
+    own, whether its id is null or listed before. Texts without words are in no
+    group; an empty table stays empty."""
+    rows = cut_lineage(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "numbered")
+    found = minhash.near_duplicates(rows, id_col="_row", shingle=SHINGLE).select("_row", "component_id")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "_row")
+    first = (found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id")
+             .agg(F.min(place).alias("first")).select("first._row"))
+    return rows.join(first, "_row", "left_semi").select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Put each span's kind in its place; n_chars follows the text."""
+    """Put each span's kind in its place; n_chars follows the text. Every row
+    stays, whatever its id; null texts stay null, empty ones empty."""
     found = pii.find(docs, with_masked=True).withColumn("text", F.col("pii.masked"))
     return found.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat the documents of rare sources until the weights are met; every
-    document stays at least once."""
+    """Repeat the documents of rare sources until the weights are met; every row
+    stays at least once. A null source is one of its own; texts without words
+    come along with every whole pass; an empty table stays empty."""
     return mixing.mix(docs).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all rows in sequences. Null and empty texts are their end
+    id alone, repeated rows are packed each; an empty table has no pieces."""
     return packing.pack(docs, public_tokenizers.path(TOKENIZER), packing.SEQUENCE, END_ID)
 
 
