@@ -7,11 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranges import _pairs, binned_range_join, left_join
-
-# Default bin width for validity timelines (30 days): timelines are few and
-# long, legs are many and short.
-TIMELINE_BIN_SECONDS = 30 * 24 * 3600
+from .asof import BUCKET_SECONDS, asof_lookup
+from .ranges import _pairs, left_join
 
 
 def dated_lookup(legs: DataFrame, dated: DataFrame, undated: DataFrame, *, code: str,
@@ -51,7 +48,7 @@ def dated_lookup(legs: DataFrame, dated: DataFrame, undated: DataFrame, *, code:
 def timeline_lookup(legs: DataFrame, timeline: DataFrame, *,
                     keys: Sequence[str | tuple[str, str]], at: str, begin: str, end: str,
                     cols: Mapping[str, str], coalesce_into: Mapping[str, str] | None = None,
-                    bin_seconds: int = TIMELINE_BIN_SECONDS) -> DataFrame:
+                    bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Point-in-time (SCD-2) look-up: ``legs`` left join ``timeline`` on equal
     keys and ``begin <= at <= end`` (closed both ends; overlapping timeline
     rows fan out, a NULL ``at`` matches nothing).
@@ -61,12 +58,16 @@ def timeline_lookup(legs: DataFrame, timeline: DataFrame, *,
     value fills its NULLs, and the output column is dropped afterwards.
     """
     pairs = _pairs(keys)
-    tl = timeline.select(*[F.col(b).alias(f"_t_k{n}") for n, (_, b) in enumerate(pairs)],
+    ks = [f"_t_k{n}" for n in range(len(pairs))]
+    tl = timeline.select(*[F.col(b).alias(k) for k, (_, b) in zip(ks, pairs)],
                          F.col(begin).alias("_t_lo"), F.col(end).alias("_t_hi"),
                          *[F.col(src).alias(out) for out, src in cols.items()])
-    joined = binned_range_join(legs, tl, [(a, f"_t_k{n}") for n, (a, _) in enumerate(pairs)],
-                               at, "_t_lo", "_t_hi", bin_seconds, how="left")
-    joined = joined.drop("_t_lo", "_t_hi", *[f"_t_k{n}" for n in range(len(pairs))])
+    # a match depends on the keys and the time alone: distinct ones are looked up
+    points = legs.select(*[F.col(a).alias(k) for k, (a, _) in zip(ks, pairs)], F.col(at).alias("_t_at"),
+                         F.col(at).alias("_t_own"))
+    found = asof_lookup(points.dropna().distinct(), tl, ks, "_t_at", "_t_lo", "_t_hi", bucket_seconds)
+    joined = left_join(legs, found.drop("_t_at", "_t_lo", "_t_hi"),
+                       [*[(a, k) for k, (a, _) in zip(ks, pairs)], (at, "_t_own")]).drop("_t_own", *ks)
     if coalesce_into:
         joined = joined.withColumns({leg_col: F.coalesce(F.col(leg_col), F.col(out))
                                      for leg_col, out in coalesce_into.items()})

@@ -13,25 +13,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timecols import common_time_type, epoch_seconds, shift
-from .ranges import _pairs, binned_range_join, left_join, null_salt
+from ..functions.timecols import common_time_type, epoch_seconds, in_one_type, shift
+from .ranges import _pairs, binned_range_join, left_join, measure, null_salt
 
 _LO, _HI, _AT, _PT = "_cr_lo", "_cr_hi", "_cr_at", "_cr_pt"
 
-# Default bin width for flight-length intervals (6 hours).
-FLIGHT_BIN_SECONDS = 6 * 3600
+_SALT = "_cr_one"
 
 
-def one_per_id(df: DataFrame, id_col: str, order: Sequence[str]) -> DataFrame:
+def one_per_id(df: DataFrame, id_col: str, order: Sequence[str],
+               salt: str | None = None) -> DataFrame:
     """One row of every non-NULL id: the first by ``order`` (NULLs last), ties
     by a hash of the whole row, so that the choice does not depend on the
-    plan. Rows with a NULL id all stay."""
-    spread = df.withColumns({"_cr_one": null_salt(df, [id_col]), "_cr_hash": F.expr("xxhash64(*)")})
-    w = Window.partitionBy(id_col, "_cr_one").orderBy(
+    plan. Rows with a NULL id all stay. The rows come out dealt by the id and a
+    salt (0, and a hash of the row where the id is NULL); as the column ``salt``
+    it lets a join on both find them in place."""
+    spread = df.withColumns({_SALT: null_salt(df, [id_col]), "_cr_hash": F.expr("xxhash64(*)")})
+    w = Window.partitionBy(id_col, _SALT).orderBy(
         *[F.col(c).asc_nulls_last() for c in order], "_cr_hash")
-    return (spread.withColumn("_cr_rn", F.row_number().over(w))
-            .where(F.col(id_col).isNull() | (F.col("_cr_rn") == 1))
-            .drop("_cr_one", "_cr_hash", "_cr_rn"))
+    out = (spread.withColumn("_cr_rn", F.row_number().over(w))
+           .where(F.col(id_col).isNull() | (F.col("_cr_rn") == 1)).drop("_cr_hash", "_cr_rn"))
+    return out.withColumnRenamed(_SALT, salt) if salt else out.drop(_SALT)
 
 
 def interval_match(legs: DataFrame, recs: DataFrame, *, leg_id: str,
@@ -40,7 +42,7 @@ def interval_match(legs: DataFrame, recs: DataFrame, *, leg_id: str,
                    chosen: str = "rec_id", ids_out: str = "rec_ids",
                    count_out: str | None = "rec_count",
                    maxima: Mapping[str, str] | None = None,
-                   bin_seconds: int = FLIGHT_BIN_SECONDS) -> DataFrame:
+                   bin_seconds: int | None = None) -> DataFrame:
     """Attach to every leg the records whose ``rec_ts`` lies in
     ``[start - before, end]`` with equal keys (keys are ``(leg_col, rec_col)``
     pairs or shared names).
@@ -52,27 +54,32 @@ def interval_match(legs: DataFrame, recs: DataFrame, *, leg_id: str,
     legs with a NULL id stay as they are and get no matches.
 
     Plan: only the partner side is aggregated (one partial + final hash
-    aggregate on the leg id), and joined back to the legs on the id.
+    aggregate on the leg id), and joined back to the legs where the choice of
+    one row for each id has put them: the legs are shuffled once.
     """
     maxima = dict(maxima or {})
     pairs = _pairs(keys)
-    legs = one_per_id(legs, leg_id, [start, end])
+    ends = legs.select(shift(start, f"-{before}").alias(_LO), F.col(end).alias(_HI))
+    ranges = measure(*in_one_type((recs, [rec_ts]), (ends, [_LO, _HI])), rec_ts, _LO, _HI, bin_seconds)
+    legs = one_per_id(legs, leg_id, [start, end], salt="_cr_salt")
     # interval side: the legs, narrowed to what the join needs
-    iv = legs.select(F.col(leg_id).alias("_cr_leg"),
+    iv = legs.where(F.col(leg_id).isNotNull()).select(
+                     F.col(leg_id).alias("_cr_leg"), F.col("_cr_salt").alias("_cr_lsalt"),
                      *[F.col(a).alias(f"_cr_k{n}") for n, (a, _) in enumerate(pairs)],
                      shift(start, f"-{before}").alias(_LO), F.col(end).alias(_HI))
     rec_cols = {rec_id, *maxima.values()}
     pts = recs.select(*[F.col(b).alias(f"_cr_k{n}") for n, (_, b) in enumerate(pairs)],
                       F.col(rec_ts).alias(_PT), *[F.col(c) for c in sorted(rec_cols)])
     matched = binned_range_join(pts, iv, [f"_cr_k{n}" for n in range(len(pairs))],
-                                _PT, _LO, _HI, bin_seconds)
+                                _PT, _LO, _HI, ranges=ranges)
     id_type = recs.schema[rec_id].dataType
-    agg = (matched.groupBy("_cr_leg")
+    agg = (matched.groupBy("_cr_leg", "_cr_lsalt")
            .agg(F.max(rec_id).alias(chosen),
                 *[F.max(c).alias(o) for o, c in maxima.items()],
                 F.array_sort(F.collect_list(rec_id)).alias(ids_out))
            )
-    out = left_join(legs, agg, [(leg_id, "_cr_leg")]).drop("_cr_leg")
+    out = legs.join(agg, (F.col(leg_id) == F.col("_cr_leg")) & (F.col("_cr_salt") == F.col("_cr_lsalt")),
+                    "left").drop("_cr_leg", "_cr_salt", "_cr_lsalt")
     out = out.withColumn(ids_out, F.coalesce(F.col(ids_out),
                                              F.array().cast(T.ArrayType(id_type))))
     if count_out:
@@ -114,7 +121,7 @@ def append_unmatched(matched: DataFrame, unmatched: DataFrame, *, rec_id: str,
 def nearest_match(left: DataFrame, obs: DataFrame, *, row_key: Sequence[str], id_col: str,
                   keys: Sequence[str | tuple[str, str]], lo: str, hi: str, at: str,
                   obs_ts: str, tiebreak: str, obs_cols: Sequence[str],
-                  bin_seconds: int = FLIGHT_BIN_SECONDS) -> DataFrame:
+                  bin_seconds: int | None = None) -> DataFrame:
     """For each left row, the observation (equal keys, ``obs_ts`` in
     ``[lo, hi]``) nearest to ``at``.
 

@@ -81,9 +81,11 @@ def observation_gaps(packed: DataFrame, *, airport: str = "airport_str",
 
 def nearest_observation_table(legs: DataFrame, gaps: DataFrame, *, airport: str, at: str,
                               out: str, pad_hours: int = 5,
-                              bin_seconds: int = GAP_BIN_SECONDS) -> DataFrame:
+                              bin_seconds: int = GAP_BIN_SECONDS,
+                              max_gap: int | None = None) -> DataFrame:
     """Distinct ``(airport, at)`` points of ``legs`` with ``out`` = id of the
-    nearest reading (points without a reachable reading are absent)."""
+    nearest reading (points without a reachable reading, or whose nearest one is
+    more than ``max_gap`` seconds away, are absent)."""
     pad = f"INTERVAL {pad_hours} HOURS"
     pts = (legs.select(F.col(airport).alias("_ap"), F.col(at).alias("_at"))
            .where(F.col("_ap").isNotNull() & F.col("_at").isNotNull()).distinct()
@@ -103,19 +105,23 @@ def nearest_observation_table(legs: DataFrame, gaps: DataFrame, *, airport: str,
                            F.struct(F.col("g._n_id").alias("id"),
                                     (F.col("g._n_s") - F.col("p._s")).alias("d")))).alias("_c"))
     cands = cands.where(F.col("_c.id").isNotNull() & F.col("_c.d").isNotNull())
+    if max_gap is not None:
+        cands = cands.where(F.abs("_c.d") <= max_gap)
     order = F.struct(F.abs("_c.d"), F.signum("_c.d"), F.col("_c.id"))
     return (cands.groupBy("_ap", "_at").agg(F.min_by("_c.id", order).alias(out))
             .withColumnRenamed("_ap", airport).withColumnRenamed("_at", at))
 
 
 def nearest_observation(legs: DataFrame, gaps: DataFrame, *, airport: str, at: str, out: str,
-                        pad_hours: int = 5, bin_seconds: int = GAP_BIN_SECONDS) -> DataFrame:
+                        pad_hours: int = 5, bin_seconds: int = GAP_BIN_SECONDS,
+                        max_gap: int | None = None) -> DataFrame:
     """Adds ``out`` = id of the reading nearest to ``legs[at]`` at
     ``legs[airport]`` (NULL when the airport/time is NULL or no reading is
     reachable). ``gaps`` comes from :func:`observation_gaps` with the same
-    ``pad_hours`` and ``bin_seconds``."""
+    ``pad_hours`` and ``bin_seconds``. A reading more than ``max_gap`` seconds
+    away gives NULL; without ``max_gap`` any reachable reading will do."""
     best = nearest_observation_table(legs, gaps, airport=airport, at=at, out=out,
-                                     pad_hours=pad_hours, bin_seconds=bin_seconds)
+                                     pad_hours=pad_hours, bin_seconds=bin_seconds, max_gap=max_gap)
     best = best.withColumnsRenamed({airport: "_w_ap", at: "_w_at"})
     joined = left_join(legs, best, [(airport, "_w_ap"), (at, "_w_at")])
     return joined.drop("_w_ap", "_w_at")

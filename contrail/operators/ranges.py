@@ -1,28 +1,29 @@
-"""Point-in-interval joins as equi-joins on time bins.
+"""Point-in-interval joins as equi-joins on time ranges that fit the data.
 
 Every range join in the stitching job has the shape ``keys equal AND
 lo <= point <= hi``. Planned as written, Spark hashes on the keys only and
 tests the range per candidate pair, so one hot key (an aircraft, an engine,
-an airport) turns into an all-pairs loop inside one task. Here the interval
-side is exploded into the fixed-width time bins it overlaps and the point
-side gets the single bin it falls into; the bin becomes one more equi-key.
-
-* an interval is put into bins of one width only: the narrowest of a few (each
-  64 times the one before) at which it overlaps 65 bins at most, however far
-  away its end is. A point has one bin of each width;
-* so every matching (point, interval) pair is produced exactly once -- no
-  dedupe step;
-* work per (key, bin) is bounded by the data density per bin width, not by
-  the size of the key, and a hot key is spread over many shuffle partitions;
+an airport) turns into an all-pairs loop inside one task. Here time is cut into
+ranges of one width, and the range becomes one more equi-key: an interval goes
+to each range that it overlaps, a point to its own.
+
+* one aggregate over both sides (``measure``) learns how long the intervals are
+  and which time the points span: nine in ten of the intervals are no longer
+  than the width, and times far off count as the edge of what the points span;
+* a point is in exactly one range, so it is shipped once, and every matching
+  pair is produced exactly once -- no dedupe step;
+* the intervals longer than 64 ranges, where there are any, are a side list
+  that meets the points of its own keys in ranges of a 64th of the whole span;
+* work per (key, range) is bounded by the data density, not by the size of the
+  key, and a hot key is spread over many shuffle partitions;
 * with ``how="left"`` the point side is preserved exactly as a plain left
   join would preserve it.
-
-Pick ``bin_seconds`` near the typical interval length.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +32,8 @@ from ..functions.timecols import col_of, epoch_seconds, in_one_type
 
 BIN = "_cr_bin"
 
-STEP = 64                       # from one bin width to the next
-ALL_SECONDS = 10_000 * 31_556_952  # the years that a timestamp can have
+STEP = 64      # ranges of an interval at most, and one or two more where it begins and ends
+SHARE = 0.9    # of the intervals that are no longer than a range
 
 _NS_L, _NS_R = "_cr_nsl", "_cr_nsr"
 
@@ -74,51 +75,84 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]]
     return l.join(r, on=cond, how="left").drop(_NS_L, _NS_R)
 
 
-def _seconds(ts: Column | str, width: int) -> Column:
-    """Bin number of a timestamp (monotone in ``ts``; NULL stays NULL). Whole
-    epoch seconds suffice: ``lo <= p <= hi`` implies the same of the bins."""
-    return F.floor(epoch_seconds(ts) / F.lit(width)).cast("long")
-
-
-def widths(bin_seconds: int) -> list[int]:
-    """Bin widths of the levels, each ``STEP`` times the one before; at the last
-    one, ``STEP`` bins span all years that a timestamp can have."""
-    out = [bin_seconds]
-    while out[-1] * STEP < ALL_SECONDS:
-        out.append(out[-1] * STEP)
-    return out
-
-
-def point_bins(ts: Column | str, bin_seconds: int) -> Column:
-    """The point's bin at every level: an array of (level, bin)."""
-    return F.array(*[F.struct(F.lit(n).alias("l"), _seconds(ts, w).alias("b"))
-                     for n, w in enumerate(widths(bin_seconds))])
-
-
-def interval_bins(lo: Column | str, hi: Column | str, bin_seconds: int) -> Column:
-    """The bins that ``[lo, hi]`` overlaps, at the first level where they are
-    ``STEP`` + 1 at most; NULL (no rows) when either end is NULL or the interval
-    is empty."""
-    def at_level(n: int, a: Column, b: Column) -> Column:
-        return F.transform(F.sequence(a, b), lambda x: F.struct(F.lit(n).alias("l"), x.alias("b")))
-
-    out = None
-    for n, w in reversed(list(enumerate(widths(bin_seconds)))):
-        a, b = _seconds(lo, w), _seconds(hi, w)
-        bins = at_level(n, a, b)
-        fits = (a <= b) if out is None else (a <= b) & (b - a <= STEP)
-        out = F.when(fits, bins) if out is None else F.when(fits, bins).otherwise(out)
-    return out
+@dataclass(frozen=True)
+class Ranges:
+    """Widths in seconds, and the first and last second of the points."""
+
+    width: int
+    wide: int        # of the side list's ranges
+    has_long: bool   # whether there are intervals of more than ``STEP`` ranges
+    first: int       # nearly all points lie from here
+    last: int        # to here; times beyond count as these
+
+
+def measure(points: DataFrame, intervals: DataFrame, point_ts: str, lo: str, hi: str,
+            bin_seconds: int | None = None) -> Ranges:
+    """The ranges for a join of these frames, from one aggregate over both: the
+    intervals counted by the power of two of their length, and the seconds
+    between which all but two in a thousand points lie. ``bin_seconds`` sets the width. A superset of the rows that
+    are joined will do."""
+    none = F.lit(None).cast("long")
+    of_points = points.select(epoch_seconds(point_ts).alias("t"), none.alias("p"))
+    seconds = epoch_seconds(hi) - epoch_seconds(lo) + 1
+    of_intervals = intervals.where(seconds > 0).select(
+        none.alias("t"), F.length(F.bin(seconds)).cast("long").alias("p"))
+    found = of_points.unionByName(of_intervals).groupBy("p").agg(
+        F.count("*").alias("n"), F.percentile_approx("t", [0.001, 0.999]).alias("span")).collect()
+    counts = {r["p"]: r["n"] for r in found if r["p"] is not None}
+    spans = [r["span"] for r in found if r["p"] is None and r["span"]]
+    first, last = spans[0] if spans else (0, 0)
+    wide = max(1, -(-(last - first + 1) // STEP))
+    width = bin_seconds
+    if width is None:
+        usual = sorted((p, n) for p, n in counts.items() if 1 << p <= wide)
+        held, every, width = 0, sum(n for _, n in usual), wide
+        for p, n in usual:
+            held += n
+            if held >= SHARE * every:
+                width = 1 << p
+                break
+    # a length is less than 2 ** p, and no more than the points' span counts
+    longest = min(max(counts, default=0), (last - first + 1).bit_length())
+    return Ranges(width, max(width, wide), 1 << longest > STEP * width * 2, first, last)
+
+
+def _range(ts: Column | str, r: Ranges, width: int) -> Column:
+    """Number of the range. It never falls as ``ts`` grows, so that
+    ``lo <= p <= hi`` implies the same of the ranges; whole seconds suffice."""
+    seconds = F.least(F.greatest(epoch_seconds(ts), F.lit(r.first)), F.lit(r.last))
+    return F.floor(seconds / F.lit(width)).cast("long")
+
+
+def is_long(lo: Column | str, hi: Column | str, r: Ranges) -> Column:
+    """Whether the interval overlaps more than ``STEP`` + 1 ranges."""
+    return _range(hi, r, r.width) - _range(lo, r, r.width) > STEP
+
+
+def interval_bins(lo: Column | str, hi: Column | str, r: Ranges, width: int) -> Column:
+    """The ranges of ``width`` that ``[lo, hi]`` overlaps; NULL (no rows) when
+    either end is NULL or the interval is empty."""
+    return F.when(col_of(lo) <= col_of(hi), F.sequence(_range(lo, r, width), _range(hi, r, width)))
 
 
 def _pairs(keys: Sequence[str | tuple[str, str]]) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else (k[0], k[1]) for k in keys]
 
 
+def _meet(points: DataFrame, intervals: DataFrame, pairs: Sequence[tuple[str, str]], point_ts: str,
+          lo: str, hi: str, r: Ranges, width: int, hi_inclusive: bool) -> DataFrame:
+    p = points.withColumn(BIN, _range(point_ts, r, width))
+    i = intervals.withColumn("_cr_ibin", F.explode(interval_bins(lo, hi, r, width)))
+    t = F.col(point_ts)
+    cond = [F.col(a) == F.col(b) for a, b in pairs] + [F.col(BIN) == F.col("_cr_ibin")]
+    cond += [t >= F.col(lo), t <= F.col(hi) if hi_inclusive else t < F.col(hi)]
+    return p.join(i, on=cond).drop(BIN, "_cr_ibin")
+
+
 def binned_range_join(points: DataFrame, intervals: DataFrame,
                       keys: Sequence[str | tuple[str, str]], point_ts: str,
-                      lo: str, hi: str, bin_seconds: int, how: str = "inner",
-                      hi_inclusive: bool = True) -> DataFrame:
+                      lo: str, hi: str, bin_seconds: int | None = None, how: str = "inner",
+                      hi_inclusive: bool = True, ranges: Ranges | None = None) -> DataFrame:
     """``points`` joined to ``intervals`` on equal keys and
     ``lo <= point_ts <= hi`` (``< hi`` when ``hi_inclusive`` is False).
 
@@ -127,11 +161,15 @@ def binned_range_join(points: DataFrame, intervals: DataFrame,
     must not share column names. Key columns of ``intervals`` that have a
     different name than on ``points`` are kept; same-named ones appear once.
     The time columns come out in their common type (``how="left"``: the
-    point's as it was).
+    point's as it was). ``ranges`` are what ``measure`` found; without them the
+    frames are measured here (one aggregate).
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     pairs = _pairs(keys)
+    if ranges is None:
+        ranges = measure(*in_one_type((points, [point_ts]), (intervals, [lo, hi])), point_ts, lo, hi,
+                         bin_seconds)
     if how == "left":
         # a match depends on the keys and the time alone: resolve these once,
         # as a narrow frame, and join back
@@ -141,7 +179,7 @@ def binned_range_join(points: DataFrame, intervals: DataFrame,
         narrow = narrow.dropna().distinct()
         kept = {b for a, b in pairs if a == b}
         found = binned_range_join(narrow, intervals, [(k, b) for k, (_, b) in zip(pk, pairs)], pt,
-                                  lo, hi, bin_seconds, hi_inclusive=hi_inclusive)
+                                  lo, hi, hi_inclusive=hi_inclusive, ranges=ranges)
         found = found.drop(pt, *kept)
         joined = left_join(points, found, [*[(a, k) for (a, _), k in zip(pairs, pk)],
                                            (point_ts, "_cr_p0")])
@@ -149,16 +187,20 @@ def binned_range_join(points: DataFrame, intervals: DataFrame,
     points, intervals = in_one_type((points, [point_ts]), (intervals, [lo, hi]))
     same = {b for a, b in pairs if a == b}
     ik = {b: (f"_cr_ik{n}" if b in same else b) for n, (_, b) in enumerate(pairs)}
-    p = points.withColumn(BIN, F.explode(point_bins(point_ts, bin_seconds)))
-    i = (intervals.withColumnsRenamed({b: k for b, k in ik.items() if b != k})
-         .withColumn("_cr_ibin", F.explode(interval_bins(lo, hi, bin_seconds))))
-    cond = [F.col(a) == F.col(ik[b]) for a, b in pairs]
-    cond += [F.col(f"{BIN}.l") == F.col("_cr_ibin.l"), F.col(f"{BIN}.b") == F.col("_cr_ibin.b")]
-    pt = F.col(point_ts)
-    cond.append(pt >= F.col(lo))
-    cond.append(pt <= F.col(hi) if hi_inclusive else pt < F.col(hi))
-    return p.join(i, on=cond).drop(BIN, "_cr_ibin", *[k for b, k in ik.items() if b != k])
-
-
-__all__ = ["BIN", "binned_range_join", "interval_bins", "left_join", "null_salt", "point_bins",
-           "widths"]
+    intervals = intervals.withColumnsRenamed({b: k for b, k in ik.items() if b != k})
+    on = [(a, ik[b]) for a, b in pairs]
+    gone = [k for b, k in ik.items() if b != k]
+    if not ranges.has_long:
+        return _meet(points, intervals, on, point_ts, lo, hi, ranges, ranges.width, hi_inclusive).drop(*gone)
+    long = F.coalesce(is_long(lo, hi, ranges), F.lit(False))
+    usual = _meet(points, intervals.where(~long), on, point_ts, lo, hi, ranges, ranges.width, hi_inclusive)
+    side = intervals.where(long)
+    named = [f"_cr_sk{n}" for n in range(len(on))]
+    held = side.select(*[F.col(b).alias(k) for (_, b), k in zip(on, named)]).distinct()
+    concerned = points.join(held, [F.col(a) == F.col(k) for (a, _), k in zip(on, named)], "left_semi")
+    rest = _meet(concerned, side, on, point_ts, lo, hi, ranges, ranges.wide, hi_inclusive)
+    return usual.unionByName(rest).drop(*gone)
+
+
+__all__ = ["BIN", "Ranges", "binned_range_join", "interval_bins", "is_long", "left_join", "measure",
+           "null_salt"]

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from ..functions.timecols import epoch_seconds
+from ..session import cut_lineage
 from .ranges import binned_range_join, left_join
 
 # Default bucket for the per-aircraft previous-row look-up (1 day).
 LAG_BUCKET_SECONDS = 24 * 3600
-PARENT_BIN_SECONDS = 6 * 3600
 _MIN_LONG = -(2**63)
 
 
@@ -86,7 +86,7 @@ def group_siblings(marked: DataFrame, *, tail: str, at: str, start: str, end: st
                    id_col: str, order: Sequence[str], is_parent: str = "is_parent",
                    parent_key: str = "parent_datetime", ids_out: str = "sibling_ids",
                    include_parents: bool = True,
-                   bin_seconds: int = PARENT_BIN_SECONDS) -> DataFrame:
+                   bin_seconds: int | None = None) -> DataFrame:
     """Attach every child to the parent interval of its aircraft that its
     ``start`` falls in (closed; a child in two parents appears twice, a child
     in none gets a NULL key), key the parents by their own ``at``, and add
@@ -96,7 +96,11 @@ def group_siblings(marked: DataFrame, *, tail: str, at: str, start: str, end: st
     ``include_parents=False`` keeps only the child rows (the literal result
     of the original job, which rebuilt its parent set from the children).
     The union is a set union (duplicate rows collapse), as in the original.
+
+    The marked rows are read for the parents and for the children; they are
+    written to a stage table first, so that the marking runs once.
     """
+    marked = cut_lineage(marked, "marked")
     parents = marked.filter(F.col(is_parent))
     children = marked.filter(~F.col(is_parent))
     piv = parents.select(F.col(tail).alias("_cr_ptail"), F.col(start).alias("_cr_plo"),

@@ -365,11 +365,48 @@ UNION ALL SELECT NULL, key, start_ts, NULL, 0 FROM repeated WHERE leg_id IS NULL
 }
 
 
-def _end_to_end(where: str = "") -> str:
+def _end_to_end(where: str = "", **kw) -> str:
     from .common_flight import OUTPUT_COLUMNS
     from .oracle_e2e import end_to_end_sql
-    return end_to_end_sql(OUTPUT_COLUMNS, where)
+    return end_to_end_sql(OUTPUT_COLUMNS, where, **kw)
 
 
 SQL["q28"] = SQL["q29"] = _end_to_end()
 SQL["q30"] = _end_to_end("CAST(strftime(best_datetime, '%Y%m') AS INTEGER) >= 202406")
+SQL["q33"] = _end_to_end(created="""CASE WHEN CAST(strftime(best_datetime, '%Y%m') AS INTEGER) >= 202406
+          THEN TIMESTAMP '2024-03-01 00:00:00' ELSE TIMESTAMP '2024-02-01 00:00:00' END""")
+SQL["q34"] = SQL["q26"]
+SQL["q35"] = _with("legs", "wx", extra="""rd AS (
+  SELECT airport_str, metar_year_month, split_part(r, '@', 1) AS id,
+         TRY_CAST(split_part(r, '@', 2) AS TIMESTAMP) AS rts
+  FROM (SELECT airport_str, metar_year_month, unnest(metar_arr) AS r FROM wx)),
+""" + _nearest_wx("dep", "dep", "start_ts")) + f"""SELECT l.leg_id,
+  CASE WHEN abs({_secs('rd.rts')} - {_secs('l.start_ts')}) <= 1800 THEN a.id END AS metar_id_depart
+FROM legs l LEFT JOIN wx_dep a ON l.leg_id = a.leg_id LEFT JOIN rd ON rd.id = a.id"""
+
+_FLAGGED = """flagged AS (
+  SELECT n_eng AS no_of_engines, CAST(strftime(start_ts, '%Y%m') AS INTEGER) AS best_yearmonth,
+         esn_1, esn_2, esn_3, esn_4 FROM legs),
+sets AS (
+  SELECT no_of_engines, best_yearmonth,
+         CAST(GROUPING(no_of_engines, best_yearmonth) AS BIGINT) AS level, count(*) AS n_rows,
+         count(*) - count(esn_1) AS n1, count(*) - count(esn_2) AS n2,
+         count(*) - count(esn_3) AS n3, count(*) - count(esn_4) AS n4
+  FROM flagged
+  GROUP BY GROUPING SETS ((no_of_engines, best_yearmonth), (no_of_engines), (best_yearmonth), ()))"""
+SQL["q36"] = _with("all_legs", extra=_FLAGGED) + " UNION ALL ".join(
+    f"SELECT 'missing_esn_{k}' AS flag, no_of_engines, best_yearmonth, level, n_rows, n{k} AS n_set FROM sets"
+    for k in range(1, 5))
+
+_COMPARED = ["tail", "pos", "start_ts", "dep", "esn_1"]
+SQL["q37"] = _with("all_legs", extra="""other AS (
+  SELECT leg_id, tail, pos, CASE WHEN leg_id % 11 = 0 THEN start_ts + INTERVAL 1 MINUTE ELSE start_ts END
+           AS start_ts, dep, CASE WHEN leg_id % 7 = 0 THEN NULL ELSE esn_1 END AS esn_1
+  FROM legs WHERE leg_id % 13 <> 0),
+met AS (
+  SELECT """ + ", ".join(f"l.{c} IS NOT DISTINCT FROM o.{c} AS e_{c}" for c in _COMPARED) + """
+  FROM legs l JOIN other o ON l.leg_id = o.leg_id)""") + """SELECT '(rows)' AS "column", count(*) AS n_equal,
+  CAST(NULL AS BIGINT) AS n_differ, (SELECT count(*) FROM legs WHERE leg_id % 13 = 0) AS n_left,
+  (SELECT count(*) FROM other WHERE leg_id % 17 = 0) AS n_right FROM met
+""" + "".join(f"UNION ALL SELECT '{c}', count(*) FILTER (e_{c}), count(*) FILTER (NOT e_{c}), NULL, NULL FROM met\n"
+              for c in _COMPARED)

@@ -19,14 +19,18 @@ from ..functions import (composite_id, engine_fit_string, month_key_int, normali
                          position_label, present_flag, quality_flags, report_nkey, shift)
 from ..functions.timecols import ts_type_of
 from ..operators.ranges import left_join
-from ..session import scratch_path
-from ..sources import adapter, roles, sink
+from ..session import cut_lineage, scratch_path
+from ..sources import adapter, roles, sink, versions
 from ..sources.tables import Tables
-from .common_flight import build_common_flight, build_trailing, publish_full
+from . import report_staging
+from .common_flight import (OUTPUT_COLUMNS, build_common_flight, build_trailing, publish_full,
+                            publish_versioned, refresh_versioned)
 
 AS_OF = dt.date(2001, 8, 1)
 CREATED_AT = dt.datetime(2024, 2, 1, 0, 0, 0)
 TRAILING_AS_OF = dt.date(2025, 6, 20)
+REFRESHED_AT = dt.datetime(2024, 3, 1, 0, 0, 0)
+MAX_GAP = 1800  # seconds
 LEG_ORDER = ["start_ts", "pos", "leg_id"]
 
 
@@ -43,7 +47,7 @@ def matched_legs(t: Tables) -> DataFrame:
 
 
 def with_unmatched(t: Tables) -> DataFrame:
-    m = matched_legs(t)
+    m = cut_lineage(matched_legs(t), "matched")  # read twice
     un = op.unmatched_records(roles.recs(t), m, rec_keys=["rec_id", "key"], ids_col="rec_ids",
                               matched_keys=["key"])
     return op.append_unmatched(m, un, rec_id="rec_id", chosen="rec_id", ids_col="rec_ids",
@@ -58,7 +62,7 @@ def with_rec_detail(t: Tables) -> DataFrame:
 
 
 def fa_candidates(t: Tables) -> DataFrame:
-    rows = with_rec_detail(t)
+    rows = cut_lineage(with_rec_detail(t), "recordings")  # the nearest match reads them several times
     return (rows.withColumns({
         "_lo": F.coalesce(F.col("start_ts"), shift("rec_ts", "-25 minutes")),
         "_hi": F.coalesce(F.col("end_ts"), shift("rec_ts", "25 minutes")),
@@ -272,20 +276,19 @@ def q24(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q25(spark: SparkSession, sf: str) -> DataFrame:
-    """Full write, trailing refresh (one month emptied), catalog read-back."""
+    """Full publish, trailing refresh at one stroke (one month emptied), read
+    back by name."""
     o = Tables(spark, sf).orders.select(
         "o_orderkey", "o_totalprice",
         month_key_int("o_orderdate").alias("best_yearmonth"))
     cutoff = sink.cutoff_month(AS_OF)
     path = scratch_path(spark, "q25")
-    sink.write_full(o.select("o_orderkey", "o_totalprice", "best_yearmonth"), path,
-                    "best_yearmonth")
+    name = "contrail_q25_" + path.rsplit("-", 1)[-1]
+    versions.publish(o, name, path, "best_yearmonth")
     fresh = (o.where(F.col("best_yearmonth") > cutoff)
              .select("o_orderkey", (F.col("o_totalprice") * 2).alias("o_totalprice"),
                      "best_yearmonth"))
-    sink.refresh_trailing(spark, fresh, path, "best_yearmonth", cutoff)
-    name = "contrail_q25_" + path.rsplit("-", 1)[-1]
-    sink.register_table(spark, name, path, fresh, "best_yearmonth")
+    versions.refresh(fresh, name, path, "best_yearmonth", cutoff)
     return spark.table(name).select("o_orderkey", "o_totalprice",
                                     F.col("best_yearmonth").cast("int").alias("best_yearmonth"))
 
@@ -353,8 +356,65 @@ def q32(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("leg_id", "key", "start_ts", "obs_id")
 
 
+def q33(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole build published, then its trailing twelve months built anew at
+    a later time and published over it, read back by name."""
+    t = Tables(spark, sf)
+    inputs = adapter.common_flight_inputs(t)
+    path = scratch_path(spark, "q33")
+    name = "contrail_q33_" + path.rsplit("-", 1)[-1]
+    publish_versioned(_hash_stable(build_common_flight(inputs, adapter.FAMILY, CREATED_AT)), path, name)
+    recent = build_trailing(inputs, adapter.FAMILY, REFRESHED_AT, as_of=TRAILING_AS_OF)
+    refresh_versioned(_hash_stable(recent), path, name, TRAILING_AS_OF)
+    return spark.table(name).select(*OUTPUT_COLUMNS)
+
+
+def q34(spark: SparkSession, sf: str) -> DataFrame:
+    """The roster staged as one unpartitioned table, written twice (the second
+    overwrites), read back from the catalog."""
+    roster = report_staging.build_roster(_roster_sources(Tables(spark, sf), roles.ROSTER_FAMILIES))
+    path = scratch_path(spark, "q34")
+    name = "contrail_q34_" + path.rsplit("-", 1)[-1]
+    report_staging.publish_roster(roster.where(F.col("engine_family") == "genx"), path, name)
+    report_staging.publish_roster(roster, path, name)
+    return spark.table(name).select(*roster.columns)
+
+
+def q35(spark: SparkSession, sf: str) -> DataFrame:
+    """Nearest weather reading no more than half an hour away."""
+    t = Tables(spark, sf)
+    legs = roles.legs(t)
+    gaps = op.observation_gaps(roles.wx(t), ts_type=ts_type_of(legs, "start_ts"))
+    out = op.nearest_observation(legs, gaps, airport="dep", at="start_ts", out="metar_id_depart",
+                                 max_gap=MAX_GAP)
+    return out.select("leg_id", "metar_id_depart")
+
+
+def q36(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality flags profiled by number of engines and month, each alone and over all."""
+    legs = roles.legs(Tables(spark, sf), None)
+    flags = {f"missing_esn_{k}": f"esn_{k}" for k in range(1, 5)}
+    flagged = quality_flags(legs, flags).select(F.col("n_eng").alias("no_of_engines"),
+                                                month_key_int("start_ts").alias("best_yearmonth"), *flags)
+    return op.flag_profile(flagged, list(flags), ["no_of_engines", "best_yearmonth"])
+
+
+def q37(spark: SparkSession, sf: str) -> DataFrame:
+    """Two builds of the flights compared: the second lacks every thirteenth,
+    lists every seventeenth twice and moves the start of every eleventh."""
+    t = Tables(spark, sf)
+    cols = ["leg_id", "tail", "pos", "start_ts", "dep", "esn_1"]
+    legs = roles.legs(t, None).select(*cols)
+    e = F.col("leg_id")
+    other = legs.where(e % 13 != 0).withColumns({
+        "start_ts": F.when(e % 11 == 0, shift("start_ts", "1 minute")).otherwise(F.col("start_ts")),
+        "esn_1": F.when(e % 7 == 0, F.lit(None)).otherwise(F.col("esn_1"))})
+    return op.reconcile(legs, other.unionByName(other.where(e % 17 == 0)), ["leg_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f"q{n:02d}": fn for n, fn in enumerate(
         [q01, q02, q03, q04, q05, q06, q07, q08, q09, q10, q11, q12, q13, q14, q15, q16, q17,
-         q18, q19, q20, q21, q22, q23, q24, q25, q26, q27, q28, q29, q30, q31, q32], start=1)
+         q18, q19, q20, q21, q22, q23, q24, q25, q26, q27, q28, q29, q30, q31, q32, q33, q34, q35, q36,
+         q37], start=1)
 }

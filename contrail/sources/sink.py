@@ -46,13 +46,17 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def months_at(spark: SparkSession, path: str, month: str) -> set[int]:
-    """The months that have a directory at ``path``: a listing, no rows are read."""
+def folders_at(spark: SparkSession, path: str) -> list[str]:
+    """Names of the directories at ``path``; none where it does not exist."""
     fs, root = _fs(spark, path)
     if not fs.exists(root):
-        return set()
-    names = [x.getPath().getName() for x in fs.listStatus(root) if x.isDirectory()]
-    values = [n.partition("=")[2] for n in names if n.startswith(f"{month}=")]
+        return []
+    return [x.getPath().getName() for x in fs.listStatus(root) if x.isDirectory()]
+
+
+def months_at(spark: SparkSession, path: str, month: str) -> set[int]:
+    """The months that have a directory at ``path``: a listing, no rows are read."""
+    values = [n.partition("=")[2] for n in folders_at(spark, path) if n.startswith(f"{month}=")]
     return {int(v) for v in values if v.isdigit()}
 
 

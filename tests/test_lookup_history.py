@@ -52,7 +52,7 @@ def test_timeline_lookup_closed_bounds_and_coalesce(spark):
     ])
     out = op.timeline_lookup(legs, tl, keys=[("k", "tk")], at="at", begin="b", end="e",
                              cols={"_m": "m"}, coalesce_into={"model": "_m"},
-                             bin_seconds=86400)
+                             bucket_seconds=86400)
     got = sorted((r.leg_id, r.model) for r in out.collect())
     assert got == [(1, "m1"), (1, "m2"), (2, "keep"), (3, None), (4, None)]
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import pytest
 from conftest import frame
 
 from contrail import operators as op
@@ -91,3 +92,35 @@ def test_dated_lookup_equals_split_union_form(spark):
                 u6, u5, u4, ua = (u[1], u[2], u[3], u[4]) if u else (None,) * 4
                 want.append((lid, da if da is not None else ua, d6 or u6, d5 or u5, d4 or u4))
     assert got == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("kind", ["chained", "overlapping", "mixed"])
+def test_asof_lookup_equals_the_plain_join(spark, kind):
+    """Periods that touch, leave gaps, overlap, are empty, repeated or open; a
+    hot key; points at the very ends, NULL and far away."""
+    rnd = random.Random(kind)
+    base = dt.datetime(2024, 1, 1)
+    hour = lambda n: base + dt.timedelta(hours=n)
+    periods, n = [], 0
+    for k in (1, 2, 3, None):
+        at = 0
+        for _ in range(150 if k == 1 else 12):
+            size, gap = rnd.choice([1, 5, 400]), rnd.choice([0, 0, 7])
+            if kind == "overlapping" or (kind == "mixed" and k == 2):
+                at -= rnd.choice([0, 3])
+            periods.append((k, hour(at), hour(at + size), n))
+            at, n = at + size + gap, n + 1
+        periods += [(k, hour(at + 1), hour(at), -1), (k, None, hour(1), -2), (k, hour(1), None, -3),
+                    (k, hour(at + 9), dt.datetime(9999, 1, 1), -4)]
+    if kind != "chained":
+        periods += [periods[3], (3, hour(0), hour(0), -5), (3, hour(0), hour(90), -6)]
+    ends = [t for p in periods for t in p[1:3] if t]
+    points = [(i, rnd.choice([1, 1, 1, 2, 3, 4, None]),
+               rnd.choice([rnd.choice(ends), hour(rnd.randint(-50, 9000)), None])) for i in range(700)]
+    p = frame(spark, "i int, k int, at timestamp_ntz", points)
+    v = frame(spark, "k int, lo timestamp_ntz, hi timestamp_ntz, n int", periods)
+    got = sorted((r.i, r.n) for r in op.asof_lookup(p, v, ["k"], "at", "lo", "hi",
+                                                    bucket_seconds=100 * 3600).collect())
+    want = sorted((i, n) for i, k, at in points for k2, lo, hi, n in periods
+                  if None not in (k, at, lo, hi) and k == k2 and lo <= at <= hi)
+    assert got == want and want

@@ -11,7 +11,7 @@ from conftest import frame, ts
 from pyspark.sql import functions as F
 
 from contrail import operators as op
-from contrail.operators.ranges import binned_range_join, interval_bins, left_join
+from contrail.operators.ranges import binned_range_join, interval_bins, is_long, left_join, measure
 from contrail.sources import sink
 
 LEGS = "leg_id long, key long, start_ts timestamp_ntz, end_ts timestamp_ntz"
@@ -56,15 +56,36 @@ def test_keyed_rows_fanned_out_become_one_with_the_best_candidate(spark):
     assert got == sorted([(1, 6, 100), (2, 8, None), (3, None, None)], key=repr)
 
 
-def test_far_future_ends_take_a_few_dozen_bins(spark):
+def test_far_future_ends_take_a_few_dozen_ranges(spark):
     far = frame(spark, "lo timestamp_ntz, hi timestamp_ntz", [
         (ts("2024-01-01 00:00:00"), ts("9999-12-31 23:59:59")),
         (ts("0001-01-01 00:00:00"), ts("9999-12-31 23:59:59")),
-        (ts("2024-01-01 00:00:00"), ts("2024-01-01 02:00:00")),
+        *[(ts("2024-01-01 00:00:00"), ts("2024-01-01 02:00:00"))] * 20,
         (ts("2024-01-02 00:00:00"), ts("2024-01-01 02:00:00")), (None, ts("2024-01-01 02:00:00"))])
-    for width, most in ((6 * 3600, 65), (30 * 86400, 65), (3600, 65)):
-        n = [r.n for r in far.select(F.size(interval_bins("lo", "hi", width)).alias("n")).collect()]
-        assert max(n[:2]) <= most and n[2] in (1, 2, 3) and n[3] in (1, None) and n[4] is None
+    minutes = [ts("2024-01-01 00:00:00") + dt.timedelta(minutes=7 * i) for i in range(60_000)]
+    points = frame(spark, "t timestamp_ntz", [(t,) for t in [*minutes, ts("9999-01-01 00:00:00")]])
+    r = measure(points, far, "t", "lo", "hi")
+    # nine in ten intervals are no longer than a range; one far point changes nothing
+    assert r.width == 8192 and r.has_long and r.last < 1_800_000_000
+    rows = far.select(F.size(interval_bins("lo", "hi", r, r.width)).alias("n"), is_long("lo", "hi", r).alias("long"),
+                      F.size(interval_bins("lo", "hi", r, r.wide)).alias("w")).collect()
+    assert [x.long for x in rows[:3]] == [True, True, False]
+    assert max(x.w for x in rows[:2]) <= 66 and {x.n for x in rows[2:22]} <= {1, 2}
+    assert rows[22].n in (None, -1) and rows[23].n in (None, -1)
+    assert not measure(points, far.where("false"), "t", "lo", "hi").has_long
+    assert measure(points.where("false"), far, "t", "lo", "hi").last == 0
+
+
+def test_points_are_shipped_once(spark):
+    """No row of the point side is multiplied before the join."""
+    pts = frame(spark, "k long, t timestamp_ntz", [(1, ts("2024-01-01 00:00:00") + dt.timedelta(hours=h))
+                                                   for h in range(500)])
+    ivs = frame(spark, "k long, lo timestamp_ntz, hi timestamp_ntz", [
+        (1, ts("2024-01-01 00:00:00") + dt.timedelta(hours=h), ts("2024-01-01 03:00:00") + dt.timedelta(hours=h))
+        for h in range(0, 500, 4)])
+    plan = binned_range_join(pts, ivs, ["k"], "t", "lo", "hi")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1
+    assert "Generate explode" not in plan[plan.index("_cr_bin#"):plan.index("Generate explode")]
 
 
 def test_range_join_equals_the_plain_join_with_long_intervals_and_a_hot_key(spark):
