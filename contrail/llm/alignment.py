@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..session import cut_lineage
+from .common import byte_level_alphabet, give_back, text_parts
 
 AT_ONCE = 1 << 22     # characters of the texts that are aligned together
 CHUNK = 1 << 16       # bytes of the words that are tokenized in one string
@@ -33,14 +34,6 @@ _BEGINS = np.zeros(256, bool)
 _BEGINS[[*range(0x21, 0x7F), *range(0xC3, 0xCC), *range(0xCE, 0xE1), *range(0xE4, 0xF5)]] = True
 
 
-def byte_level_alphabet() -> dict[str, int]:
-    """Character to byte of byte-level vocabularies: printable Latin-1 stands for
-    itself, the other bytes are numbered from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
-
-
 class ByteTokenizer:
     """Side A: a byte-level vocabulary; ``entries`` are its ids' bytes."""
 
@@ -244,18 +237,6 @@ def _counted(found: Aligned) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys & ((1 << _OWNER) - 1), times, np.searchsorted(keys >> _OWNER, np.arange(len(found.groups) + 1))
 
 
-def _parts(sizes: list[int]) -> Iterator[tuple[int, int]]:
-    """Texts of about ``AT_ONCE`` together."""
-    lo, held = 0, 0
-    for i, n in enumerate(sizes):
-        if i > lo and held + n > AT_ONCE:
-            yield lo, i
-            lo, held = i, 0
-        held += n
-    if lo < len(sizes):
-        yield lo, len(sizes)
-
-
 def _blobs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """The values between each two bounds as binary."""
     offsets = (bounds * values.itemsize).astype(np.int32)
@@ -274,7 +255,7 @@ def aligned_texts(docs: DataFrame, path_a: str, path_b: str, text_col: str = "te
         align = WordAligner(path_a, path_b)
         for batch in batches:
             texts = batch.column("t").to_pylist()
-            for lo, hi in _parts(list(map(len, texts))):
+            for lo, hi in text_parts(list(map(len, texts)), AT_ONCE):
                 found = align(texts[lo:hi])
                 codes, times, bounds = _counted(found)
                 step = np.diff(codes, prepend=0)
@@ -288,6 +269,7 @@ def aligned_texts(docs: DataFrame, path_a: str, path_b: str, text_col: str = "te
                 rows["codes"] = _blobs(step.astype("<i8"), bounds)
                 rows["occurrences"] = _blobs(times.astype("<i4"), bounds)
                 yield pa.RecordBatch.from_pydict(rows)
+        give_back()
 
     texts = (docs.select(F.col(text_col).alias("t")).where("t <> ''")
              .groupBy("t").agg(F.count("*").alias("weight"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +48,36 @@ def text_slices(text: str, size: int = 1 << 18) -> Iterator[str]:
         at = cut + 1
 
 
+def byte_level_alphabet() -> dict[str, int]:
+    """Character to byte of byte-level vocabularies: printable Latin-1 stands for
+    itself, the other bytes are numbered from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
+
+
+def text_parts(sizes: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
+    """(from, to) of rows whose texts have about ``most`` characters together; a
+    longer text is alone."""
+    lo, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > lo and held + n > most:
+            yield lo, i
+            lo, held = i, 0
+        held += n
+    if lo < len(sizes):
+        yield lo, len(sizes)
+
+
+def give_back() -> None:
+    """Hand the memory that this Python worker no longer uses back to the system:
+    workers wait for the next stage, and what they hold counts there."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim:
+        trim(0)
+
+
 def prefix_offsets(totals: DataFrame, key: str, value: str, out: str,
                    fan: int = 1024) -> DataFrame:
     """Exclusive prefix sums of ``value`` in the order of the integer ``key``

@@ -22,14 +22,23 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..session import cut_lineage
-from .common import prefix_offsets
+from .common import byte_level_alphabet, give_back, prefix_offsets, text_parts
 
 SEQUENCE = 4096
-CACHE_BYTES = 24 << 20  # of words and ids that a task keeps, with what Python adds to them
-LONG_WORD = 64          # bytes; longer words are encoded anew each time
-AT_ONCE = 8 << 20       # bytes of texts that are split into words together
-_ENTRY = 200            # bytes that Python needs for a kept word
-_ENDS = ".,!?;:"        # punctuation that a tokenizer parts from a letter before it
+AT_ONCE = 4 << 20  # characters of texts that are split into words together
+KEPT = 100_000     # parts of words whose ids a task keeps, about 20 MB
+LONG_PART = 64     # characters; ids of longer parts are not kept
+# Kinds of bytes: 1 letters, 2 digits, 3 punctuation; 0 for all that plain rules do
+# not cover (other scripts, controls, what begins a contraction or a special token)
+_KIND = np.zeros(256, np.int8)
+_KIND[0x21:0x7F] = 3
+_KIND[0x30:0x3A] = 2
+_KIND[0x61:0x7B] = 1
+_KIND[[0x27, 0x3C]] = 0
+_KIND[0x80:0xC0] = 1            # letters from U+00C0 to U+017F: what follows the first byte
+_KIND[[0xC3, 0xC4, 0xC5]] = 1   # and the first byte
+# No letters there, and one whose lower case is two characters
+_NO_LETTERS = (0xC397, 0xC3B7, 0xC4B0)
 
 
 @lru_cache(maxsize=1)
@@ -40,52 +49,89 @@ def _tokenizer(path: str) -> Tokenizer:
     return tokenizer
 
 
+def _taken(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Indices first, first + 1, ... of each run of ``size``, one after the other."""
+    return np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
+
+
 class WordIds:
-    """Ids of texts by a tokenizer that drops white space, ignores case and
-    splits letters from punctuation. Words repeat far more than they differ:
-    Arrow splits texts and numbers their distinct words, which are encoded once,
-    and the ids of all words are taken by number. Distinct words are kept for the
-    next texts, up to ``CACHE_BYTES``."""
+    """Ids of texts by a tokenizer that drops white space, ignores case and splits
+    letters, single digits and punctuation from each other. Words repeat far more
+    than they differ, and their parts more still: Arrow splits texts and numbers
+    the distinct words, then these words' distinct parts. Parts go to the
+    tokenizer's model, and the ids of all words are taken by number. Words that
+    plain rules do not cover are encoded one by one, and so are all words of a
+    tokenizer that does otherwise with a few probes. Made once in a task."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _tokenizer(path)
-        self.known: dict[str, bytes] = {}
-        self.room = CACHE_BYTES
-
-    def _encode(self, words: list[str]) -> dict[str, bytes]:
-        """Plain letters need neither normalizer nor splitter: they go to the
-        tokenizer's model at once."""
-        merge, out, rest = self.tokenizer.model.tokenize, {}, []
-        for w in words:
-            if w.isascii() and w.isalpha():
-                out[w] = array("I", [x.id for x in merge(w)]).tobytes()
-            else:
-                rest.append(w)
-        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        out.update((w, array("I", e.ids).tobytes()) for w, e in zip(rest, found, strict=True))
+        self.known: dict[bytes, bytes] = {}
+        self.alphabet = {b: c for c, b in byte_level_alphabet().items()}
+        self.by_part = True
+        probes = pa.array(["the", "them.", "12,3a", "c3p0...!?1", "étés,x", "(a-b)", "$9"])
+        plain = self.words(probes)[0].tolist()
+        self.by_part = plain == np.concatenate(self._encode(probes.to_pylist())).tolist()
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in found]
+
+    def _part_ids(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of distinct parts, from the model: of normalizer and splitter they
+        need lower case and the byte-level alphabet."""
+        merge, out = self.tokenizer.model.tokenize, []
+        if len(self.known) > KEPT:
+            self.known = {}
+        for part in parts:
+            ids = self.known.get(part)
+            if ids is None:
+                text = part.decode().lower()
+                if not text.isascii():
+                    text = "".join(map(self.alphabet.__getitem__, text.encode()))
+                ids = array("I", [x.id for x in merge(text)]).tobytes()
+                if len(part) <= LONG_PART:
+                    self.known[part] = ids
+            out.append(ids)
         return out
 
-    def words(self, words: list[str]) -> list[bytes]:
-        """The ids of distinct words."""
-        new, split = set(), {}
-        for w in set(words).difference(self.known):
-            stem = w.rstrip(_ENDS)
-            if stem != w and stem and stem[-1].isascii() and stem[-1].isalpha():
-                split[w] = stem, w[len(stem):]
-                new.update(x for x in split[w] if x not in self.known)
-            else:
-                new.add(w)
-        found = self._encode(list(new))
-        get = lambda x: found[x] if x in found else self.known[x]
-        found |= {w: get(stem) + get(end) for w, (stem, end) in split.items()}
-        out = [get(w) for w in words]
-        for w, ids in found.items():
-            if len(w) <= LONG_WORD:
-                self.known[w] = ids
-                self.room -= len(w) + len(ids) + _ENTRY
-        if self.room < 0:
-            self.known, self.room = {}, CACHE_BYTES
-        return out
+    def _by_part(self, data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each word) of plain words that lie in ``data``
+        one after the other."""
+        kind = _KIND[data]
+        starts = (kind == 2) | np.append(True, kind[1:] != kind[:-1])
+        starts[first] = True
+        at = np.flatnonzero(starts)
+        coded = pa.Array.from_buffers(pa.binary(), len(at), [
+            None, pa.py_buffer(np.append(at, len(data)).astype(np.int32)), pa.py_buffer(data)]).dictionary_encode()
+        ids = self._part_ids(coded.dictionary.to_pylist())
+        own = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        part = coded.indices.to_numpy()
+        flat = np.frombuffer(b"".join(ids), np.uint32)[_taken((np.cumsum(own) - own)[part], own[part])]
+        return flat, np.add.reduceat(own[part], np.searchsorted(at, first))
+
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first, number) of the ids of distinct words."""
+        raw = words.cast(pa.large_binary())
+        offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
+        data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)
+        size = np.diff(offsets)
+        odd = _KIND[data] == 0
+        pair = (data[:-1].astype(np.int32) << 8) | data[1:]
+        odd[:-1] |= np.isin(pair, _NO_LETTERS)
+        strange = np.append(0, np.cumsum(odd))
+        plain = (size > 0) & (strange[offsets[1:]] == strange[offsets[:-1]]) & self.by_part
+        number, ids = np.zeros(len(words), np.int64), []
+        if plain.any():
+            own = size[plain]
+            found, number[plain] = self._by_part(data[_taken(offsets[:-1][plain], own)], np.cumsum(own) - own)
+            ids.append(found)
+        rest = np.flatnonzero(~plain & (size > 0))
+        single = self._encode(words.take(pa.array(rest)).to_pylist())
+        number[rest] = [len(x) for x in single]
+        order = np.append(np.flatnonzero(plain), rest)
+        first = np.zeros(len(words), np.int64)
+        first[order] = np.cumsum(number[order]) - number[order]
+        return np.concatenate([*ids, *single, np.zeros(0, np.uint32)]), first, number
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and where each text's end."""
@@ -94,26 +140,13 @@ class WordIds:
         coded = split.flatten().dictionary_encode()
         if not len(coded):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        ids = self.words(coded.dictionary.to_pylist())
-        own = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, first, number = self.words(coded.dictionary)
         place = coded.indices.to_numpy()
-        flat, start, size = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(own) - own, own[place]
-        upto = np.cumsum(size)
-        at = np.arange(upto[-1]) + np.repeat(start[place] - (upto - size), size)
-        return flat[at], np.append(0, upto)[ends]
+        size = number[place]
+        return flat[_taken(first[place], size)], np.append(0, np.cumsum(size))[ends]
 
     def __call__(self, text: str) -> bytes:
-        return self.batch(pa.array([text]))[0].tobytes()
-
-
-def _parts(size: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Rows of about ``AT_ONCE`` bytes together."""
-    lo, upto = 0, np.cumsum(size)
-    while lo < len(size):
-        held = upto[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(upto, held + AT_ONCE, side="right")))
-        yield lo, hi
-        lo = hi
+        return self.batch(pa.array([text]))[0].astype("<u4").tobytes()
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id",
@@ -127,7 +160,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "d
         part, at = TaskContext.get().partitionId(), 0
         for b in batches:
             texts = b.column("t").fill_null("")
-            for lo, hi in _parts(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)):
+            for lo, hi in text_parts(pc.binary_length(texts).to_pylist(), AT_ONCE):
                 ids, upto = code.batch(texts.slice(lo, hi - lo))
                 ids = np.insert(ids.astype("<u4", copy=False), upto, end)  # behind each text
                 ends = upto + np.arange(1, len(upto) + 1)
@@ -138,6 +171,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "d
                     "id": b.column("id").slice(lo, hi - lo), "part": pa.array(np.full(len(n), part, np.int32)),
                     "in_part": pa.array(ends - n + at), "n": pa.array(n), "ids": raw})
                 at += int(ends[-1])
+        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(

@@ -14,6 +14,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from contrail.llm import alignment
+from contrail.llm.common import text_parts
 from tests.conftest import frame
 
 A, B = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -112,9 +113,8 @@ def test_null_ids_and_empty_tables(spark):
 
 
 def test_batches_are_cut_by_size():
-    n = alignment.AT_ONCE
-    assert list(alignment._parts([])) == []
-    assert list(alignment._parts([1, n, 1, 1])) == [(0, 1), (1, 2), (2, 4)]
+    assert list(text_parts([], 10)) == []
+    assert list(text_parts([1, 10, 1, 1, 8, 2, 30], 10)) == [(0, 1), (1, 2), (2, 5), (5, 6), (6, 7)]
 
 
 @settings(max_examples=300, deadline=None)

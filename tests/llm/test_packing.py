@@ -39,17 +39,38 @@ def test_word_ids_equal_the_tokenizer(coder, tokenizer, parts):
     assert got == tokenizer.encode(text, add_special_tokens=False).ids
 
 
-def test_word_ids_with_a_small_cache(tokenizer, monkeypatch):
-    monkeypatch.setattr(packing, "CACHE_BYTES", 900)
-    monkeypatch.setattr(packing, "LONG_WORD", 4)
+def test_word_ids_with_a_small_store(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "KEPT", 5)
+    monkeypatch.setattr(packing, "LONG_PART", 3)
     code, rnd = packing.WordIds(PATH), random.Random(3)
     for _ in range(60):
-        text = " ".join(rnd.choice(["the", "them.", "a", "straße,", "x" * 30, "no", "b."])
+        text = " ".join(rnd.choice(["the", "them.", "a", "straße,", "x" * 30, "no", "b.", "don't", "<|endoftext|>",
+                                    "12,3a", "--", "\x00", "a<b", "c3p0...!?1", "e\u0301."])
                         for _ in range(rnd.randint(0, 30)))
         assert np.frombuffer(code(text), "<u4").tolist() == \
             tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_every_latin_letter_beside_others(coder, tokenizer):
+    for c in map(chr, range(0x20, 0x250)):
+        text = f"{c} a{c} {c}a 1{c}. a{c}a, {c}{c}"
+        assert np.frombuffer(coder(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_other_tokenizers_encode_word_by_word(tokenizer):
+    other = packing.WordIds(public_tokenizers.path("byte_bpe_50k.json"))
+    assert not other.by_part and packing.WordIds(PATH).by_part
+    assert np.frombuffer(other("don't 12."), "<u4").tolist() == [
+        i for w in ("don't", "12.") for i in other.tokenizer.encode(w, add_special_tokens=False).ids]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.one_of(st.characters(min_codepoint=0x20, max_codepoint=0x7E),
+                         st.characters(min_codepoint=0xA1, max_codepoint=0x24F)), max_size=40))
+def test_latin_text_equals_the_tokenizer(coder, tokenizer, text):
+    assert np.frombuffer(coder(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("blank", ["\u00a0", "\u3000", "\u2003", "\x85"])
 def test_words_without_ids_beside_a_long_new_word(tokenizer, blank):
     code = packing.WordIds(PATH)
@@ -57,10 +78,8 @@ def test_words_without_ids_beside_a_long_new_word(tokenizer, blank):
         assert np.frombuffer(code(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
-def test_batches_are_cut_by_size_and_equal_single_texts(tokenizer, monkeypatch):
+def test_batches_equal_single_texts(tokenizer):
     import pyarrow as pa
-    monkeypatch.setattr(packing, "AT_ONCE", 10)
-    assert list(packing._parts(np.array([3, 4, 3, 1, 50, 0, 2]))) == [(0, 3), (3, 4), (4, 5), (5, 7)]
     texts = ["", "The the", " ", "a\x0bb\x0cc\x1cd", "İ. É. ß!", "", "x" * 99]
     ids, ends = packing.WordIds(PATH).batch(pa.array(texts))
     for t, lo, hi in zip(texts, [0, *ends], ends):
