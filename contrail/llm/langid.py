@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import held_out, text_slices
+from .common import give_back, held_out, text_slices
 
 MIN_SHARE = 0.01  # a language contains a gram that this share of its texts has
 FEW_TEXTS = 10  # a language of fewer texts contains every gram of theirs, others what two texts have
@@ -68,6 +68,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
         for lang, parts in seen.items():
             keys, n = total(parts)
             yield pd.DataFrame({"lang": lang, "gram": keys, "df": n})
+        give_back()
 
     return (docs.select("lang", "text").mapInPandas(run, "lang string, gram long, df long")
             .groupBy("lang", "gram").agg(F.sum("df").alias("df")))
@@ -149,9 +150,10 @@ def identify(docs: DataFrame, model: Filter) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
-    def decide(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.decide(t) for t in texts],
-                            columns=["lang_pred", "score"])
+    def decide(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame([shared.value.decide(t) for t in texts], columns=["lang_pred", "score"])
+        give_back()
 
     out = docs.drop("lang_pred", "score").withColumn("_lid", decide(F.col("text")))
     return out.select(*[c for c in out.columns if c != "_lid"], "_lid.lang_pred", "_lid.score")

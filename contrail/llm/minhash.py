@@ -18,12 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import broadcast_if_small
+from .common import broadcast_if_small, give_back, text_parts
 from .graph import connected_components
 
 SHINGLE = 4
 BANDS, ROWS = 30, 5  # a pair of similarity 0.8 shares no band once in 150,000
 PERCENT = 80
+AT_ONCE = 1 << 22  # characters of texts whose sets are held together
 FEW = 16  # members of a bucket, or sets with a shingle, that are paired directly
 #: Share of equal minima below which a candidate is dropped unread: 4.6 standard
 #: deviations under the threshold. With the bands, a pair of similarity 0.8 is
@@ -74,6 +75,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHING
                 rows.append((len(s), set_id(s), minima(s).tobytes()) if len(s) else (0, None, None))
             yield pd.concat([b[["id"]], pd.DataFrame(rows, columns=["n", "set_id", "sig"],
                                                      index=b.index)], axis=1)
+        give_back()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")) \
         .mapInPandas(run, "id long, n long, set_id binary, sig binary")
@@ -85,9 +87,11 @@ def _candidates(docs: DataFrame, reps: DataFrame, asked: DataFrame, id_col: str,
     being made anew; ``key`` names a row."""
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [shingle_set(t, shingle) for t in b["t"]]
-            yield pd.DataFrame({"rep": b["rep"], "set_id": [set_id(s) for s in found],
-                                "shingles": [s.view(np.int64) for s in found]})
+            for lo, hi in text_parts([len(t or "") for t in b["t"]], AT_ONCE):
+                found = [shingle_set(t, shingle) for t in b["t"].iloc[lo:hi]]
+                yield pd.DataFrame({"rep": b["rep"].iloc[lo:hi].to_numpy(), "set_id": [set_id(s) for s in found],
+                                    "shingles": [s.view(np.int64) for s in found]})
+        give_back()
 
     asked = broadcast_if_small(cut_lineage(asked, "asked"))
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("t"))

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import give_back, text_parts
+
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("contact", "identity")
 KINDS = BASE + ADDED
@@ -130,6 +132,7 @@ passport no. [identity:AB######] ~ ~ ~
 """.strip().split("\n")
 VARIANTS = 12
 KEPT_WORDS = 50_000  # words whose scores a task keeps, about 25 MB
+AT_ONCE = 1 << 20    # characters of texts that are decoded together
 LONG_WORD = 64       # characters; longer words are scored anew each time
 _MARK = re.compile(r"\[(contact|identity):((?:[^\[\]]|\[\w+\])*)\]")
 
@@ -391,16 +394,18 @@ def find(docs: DataFrame, text_col: str = "text", with_masked: bool = False) ->
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = field.value.for_task()
         for batch in texts:
-            rows = []
-            for text, (base, spans) in zip(
-                    batch, all_spans([t or "" for t in batch], own), strict=True):
-                kinds = [k for _, _, k in base]
-                rows.append((*[kinds.count(k) for k in BASE],
-                             hashlib.sha256(written(base).encode()).hexdigest(), written(spans),
-                             masked(text, spans) if with_masked and text is not None else text
-                             if with_masked else None))
+            rows, batch = [], batch.tolist()
+            for lo, hi in text_parts([len(t or "") for t in batch], AT_ONCE):
+                part = batch[lo:hi]
+                for text, (base, spans) in zip(part, all_spans([t or "" for t in part], own), strict=True):
+                    kinds = [k for _, _, k in base]
+                    rows.append((*[kinds.count(k) for k in BASE],
+                                 hashlib.sha256(written(base).encode()).hexdigest(), written(spans),
+                                 masked(text, spans) if with_masked and text is not None else text
+                                 if with_masked else None))
             yield pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256",
                                               "spans", "masked"])
+        give_back()
 
     return docs.drop("pii").withColumn("pii", run(F.col(text_col)))
 
