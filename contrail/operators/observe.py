@@ -19,10 +19,12 @@ resolved once and joined back to the legs.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timecols import epoch_seconds, month_key
+from ..functions.timecols import common_time_type, epoch_seconds, month_key
 from .ranges import left_join
 from .siblings import previous_values
 
@@ -79,16 +81,11 @@ def observation_gaps(packed: DataFrame, *, airport: str = "airport_str",
                                                      F.floor((F.col("_hi") - 1) / b).cast("long"))))
 
 
-def nearest_observation_table(legs: DataFrame, gaps: DataFrame, *, airport: str, at: str,
-                              out: str, pad_hours: int = 5,
-                              bin_seconds: int = GAP_BIN_SECONDS,
-                              max_gap: int | None = None) -> DataFrame:
-    """Distinct ``(airport, at)`` points of ``legs`` with ``out`` = id of the
-    nearest reading (points without a reachable reading, or whose nearest one is
-    more than ``max_gap`` seconds away, are absent)."""
+def _nearest(points: DataFrame, gaps: DataFrame, out: str, pad_hours: int, bin_seconds: int,
+             max_gap: int | None) -> DataFrame:
+    """Distinct points (_ap, _at) with ``out`` = id of the nearest reading."""
     pad = f"INTERVAL {pad_hours} HOURS"
-    pts = (legs.select(F.col(airport).alias("_ap"), F.col(at).alias("_at"))
-           .where(F.col("_ap").isNotNull() & F.col("_at").isNotNull()).distinct()
+    pts = (points.where(F.col("_ap").isNotNull() & F.col("_at").isNotNull()).distinct()
            .withColumn("_s", epoch_seconds("_at"))
            .withColumn("_ym", F.explode(F.array_distinct(F.array(
                month_key(F.col("_at") - F.expr(pad)), month_key(F.col("_at") + F.expr(pad))))))
@@ -108,20 +105,43 @@ def nearest_observation_table(legs: DataFrame, gaps: DataFrame, *, airport: str,
     if max_gap is not None:
         cands = cands.where(F.abs("_c.d") <= max_gap)
     order = F.struct(F.abs("_c.d"), F.signum("_c.d"), F.col("_c.id"))
-    return (cands.groupBy("_ap", "_at").agg(F.min_by("_c.id", order).alias(out))
-            .withColumnRenamed("_ap", airport).withColumnRenamed("_at", at))
+    return (cands.groupBy("_ap", "_at").agg(F.min_by("_c.id", order).alias(out)))
 
 
-def nearest_observation(legs: DataFrame, gaps: DataFrame, *, airport: str, at: str, out: str,
-                        pad_hours: int = 5, bin_seconds: int = GAP_BIN_SECONDS,
-                        max_gap: int | None = None) -> DataFrame:
-    """Adds ``out`` = id of the reading nearest to ``legs[at]`` at
-    ``legs[airport]`` (NULL when the airport/time is NULL or no reading is
+def nearest_observation_table(legs: DataFrame, gaps: DataFrame, *, airport: str, at: str,
+                              out: str, pad_hours: int = 5,
+                              bin_seconds: int = GAP_BIN_SECONDS,
+                              max_gap: int | None = None) -> DataFrame:
+    """Distinct ``(airport, at)`` points of ``legs`` with ``out`` = id of the
+    nearest reading (points without a reachable reading, or whose nearest one is
+    more than ``max_gap`` seconds away, are absent)."""
+    points = legs.select(F.col(airport).alias("_ap"), F.col(at).alias("_at"))
+    return _nearest(points, gaps, out, pad_hours, bin_seconds, max_gap).withColumnsRenamed(
+        {"_ap": airport, "_at": at})
+
+
+def nearest_observations(legs: DataFrame, gaps: DataFrame, ends: Mapping[str, tuple[str, str]],
+                         pad_hours: int = 5, bin_seconds: int = GAP_BIN_SECONDS,
+                         max_gap: int | None = None) -> DataFrame:
+    """Adds for each ``out: (airport column, time column)`` of ``ends`` the id of
+    the nearest reading (NULL when the airport/time is NULL or no reading is
     reachable). ``gaps`` comes from :func:`observation_gaps` with the same
     ``pad_hours`` and ``bin_seconds``. A reading more than ``max_gap`` seconds
-    away gives NULL; without ``max_gap`` any reachable reading will do."""
-    best = nearest_observation_table(legs, gaps, airport=airport, at=at, out=out,
-                                     pad_hours=pad_hours, bin_seconds=bin_seconds, max_gap=max_gap)
-    best = best.withColumnsRenamed({airport: "_w_ap", at: "_w_at"})
-    joined = left_join(legs, best, [(airport, "_w_ap"), (at, "_w_at")])
-    return joined.drop("_w_ap", "_w_at")
+    away gives NULL; without ``max_gap`` any reachable reading will do. The
+    points of all ends are looked up together: the gaps are read once."""
+    kind = common_time_type(*[legs.schema[at].dataType for _, at in ends.values()])
+    points = [legs.select(F.col(a).alias("_ap"), F.col(at).cast(kind).alias("_at")) for a, at in ends.values()]
+    both = points[0]
+    for p in points[1:]:
+        both = both.unionByName(p)
+    best = _nearest(both, gaps, "_id", pad_hours, bin_seconds, max_gap)
+    for out, (a, at) in ends.items():
+        found = best.withColumnsRenamed({"_ap": "_w_ap", "_at": "_w_at", "_id": out})
+        legs = left_join(legs, found, [(a, "_w_ap"), (at, "_w_at")]).drop("_w_ap", "_w_at")
+    return legs
+
+
+def nearest_observation(legs: DataFrame, gaps: DataFrame, *, airport: str, at: str, out: str,
+                        **how) -> DataFrame:
+    """``nearest_observations`` of one end."""
+    return nearest_observations(legs, gaps, {out: (airport, at)}, **how)

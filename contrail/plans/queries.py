@@ -162,9 +162,8 @@ def q10(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     legs = roles.legs(t)
     gaps = op.observation_gaps(roles.wx(t), ts_type=ts_type_of(legs, "start_ts"))
-    out = op.nearest_observation(legs, gaps, airport="dep", at="start_ts", out="metar_id_depart")
-    out = op.nearest_observation(out, gaps, airport="arr", at="end_ts",
-                                 out="metar_id_destination")
+    out = op.nearest_observations(legs, gaps, {"metar_id_depart": ("dep", "start_ts"),
+                                               "metar_id_destination": ("arr", "end_ts")})
     return out.select("leg_id", "metar_id_depart", "metar_id_destination")
 
 

@@ -49,12 +49,11 @@ def _spec(month: str, value: int | None) -> str:
 
 
 def locations(spark: SparkSession, table: str, month: str) -> dict[int | None, str]:
-    """Month to folder of a definition's partitions."""
-    out = {}
-    for m in _months([r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()], month):
-        about = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {_spec(month, m)}")
-        out[m] = about.where("col_name = 'Location'").collect()[0]["data_type"]
-    return out
+    """Month to folder of a definition's partitions that hold files: one listing,
+    as any scan of the table makes it."""
+    folders = {f.rpartition("/")[0] for f in spark.table(table).inputFiles()}
+    named = {f.rpartition("/")[2]: f for f in folders}
+    return {m: named[n] for m, n in _months(list(named), month).items()}
 
 
 def write(df: DataFrame, path: str, month: str) -> str:
@@ -82,14 +81,14 @@ def switch(spark: SparkSession, name: str, table: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
 
 
-def sweep(spark: SparkSession, name: str, path: str, month: str) -> None:
+def sweep(spark: SparkSession, name: str, path: str, places: dict[int | None, str]) -> None:
     """Step 4: definitions and folders that the view does not use go. Readers
     that began before the switch must have ended."""
     used = current(spark, name)
     for table in _definitions(spark, name):
-        if used is None or table.rpartition(".")[2] != used.rpartition(".")[2].strip("`"):
+        if table.rpartition(".")[2] != used.rpartition(".")[2].strip("`"):
             spark.sql(f"DROP TABLE IF EXISTS {table}")
-    kept = {p.rstrip("/").rpartition("/")[::2] for p in locations(spark, used, month).values()} if used else set()
+    kept = {p.rstrip("/").rpartition("/")[::2] for p in places.values()}
     held = {top.rpartition("/")[2]: {leaf for t, leaf in kept if t == top} for top, _ in kept}
     for folder in sink.folders_at(spark, path):
         if not folder.startswith(_PREFIX):
@@ -123,7 +122,7 @@ def _replace(df: DataFrame, name: str, path: str, month: str, stays) -> list[int
     old = locations(spark, used, month) if used else {}
     folder = write(df, path, month)
     new = {m: f"{folder}/{n}" for m, n in _months(sink.folders_at(spark, folder), month).items()}
-    table = define(spark, name, df, path, month, {m: p for m, p in old.items() if stays(m)} | new)
-    switch(spark, name, table)
-    sweep(spark, name, path, month)
+    places = {m: p for m, p in old.items() if stays(m)} | new
+    switch(spark, name, define(spark, name, df, path, month, places))
+    sweep(spark, name, path, places)
     return sorted(m for m in old if not stays(m) and m not in new and m is not None)
