@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,10 +25,17 @@ RECOMMENDED_CONF = {
 def shared_dir(spark: SparkSession) -> str:
     """The storage that every executor and the driver see: the cluster's
     checkpoint folder (``spark.checkpoint.dir`` or the context's), else the
-    session's warehouse. Never a machine-local temporary folder."""
-    return (spark.sparkContext.getCheckpointDir()
-            or spark.conf.get("spark.checkpoint.dir", None)
-            or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    session's warehouse. Never a machine-local folder: on a cluster a warehouse
+    on the driver's own disk is refused."""
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    p, fs = _hadoop_path(spark, path)
+    if fs.getUri().getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share: "
+                           f"{path} is on the driver's own disk")
+    return path
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -41,7 +51,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     p, fs = _hadoop_path(spark, home)
     fs.mkdirs(p)
     fs.deleteOnExit(p)
-    return f"{home}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{home}/{name}-{uuid.uuid4().hex[:12]}"
+    for made in getattr(_OPEN, "scopes", [])[-1:]:
+        made.append(path)
+    return path
+
+
+_OPEN = threading.local()
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Scratch paths that are made inside go at the end: for a step whose result
+    is written to a path made before, so that nothing reads its stages any more."""
+    scopes = _OPEN.scopes = getattr(_OPEN, "scopes", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for path in scopes.pop():
+            drop_path(spark, path)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

@@ -152,3 +152,57 @@ def test_unknown_engine_family_is_rejected(spark):
     inp = adapter.common_flight_inputs(Tables(spark, "/root/testdata/sf0.001"))
     with pytest.raises(ValueError, match="not a valid engine family"):
         build_common_flight(inp, "XYZ", dt.datetime(2024, 2, 1))
+
+
+def test_temporary_stages_go_and_results_stay(spark):
+    from contrail.session import cut_lineage, temporary
+    kept = scratch_path(spark, "test-kept")
+    with temporary(spark):
+        inner = scratch_path(spark, "test-inner")
+        with temporary(spark):
+            deep = cut_lineage(spark.range(9), "test-deep")
+            spark.range(3).write.parquet(inner)
+        out = cut_lineage(deep.sparkSession.read.parquet(inner), path=kept)
+    home = os.path.dirname(kept).removeprefix("file:")
+    left = {x.rsplit("-", 1)[0] for x in os.listdir(home)}
+    assert "test-kept" in left and not left & {"test-inner", "test-deep"}
+    assert out.count() == 3
+
+
+def test_a_warehouse_on_the_drivers_disk_is_refused_on_a_cluster():
+    import pytest
+    from contrail import session
+
+    class Conf(dict):
+        def get(self, key, default="file:/some/warehouse"):
+            return dict.get(self, key, default)
+
+    class Scheme:
+        def getScheme(self):
+            return "file"
+
+    class Fs:
+        def getUri(self):
+            return Scheme()
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    real = session._hadoop_path
+    session._hadoop_path = lambda spark, path: (None, Fs())
+    try:
+        Session.conf = Conf({"spark.checkpoint.dir": None})
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.shared_dir(Session())
+        Context.master = "local[4]"
+        assert session.shared_dir(Session()) == "file:/some/warehouse"
+        Context.master, Session.conf = "yarn", Conf({"spark.checkpoint.dir": "hdfs://a/b/"})
+        assert session.shared_dir(Session()) == "hdfs://a/b"
+    finally:
+        session._hadoop_path = real

@@ -182,3 +182,31 @@ def test_publish_full_then_trailing(spark):
     assert publish_trailing(recent.where("false"), path, as_of=dt.date(2024, 12, 1)) == months
     local = path[len("file:"):] if path.startswith("file:") else path
     assert not [d for d in os.listdir(local) if d.startswith(MONTH + "=")]
+
+
+def test_a_trailing_build_reads_what_its_rows_depend_on(spark):
+    inp = adapter.common_flight_inputs(Tables(spark, SF))
+    pruned, since = cf.since_month(inp, "GENX", 202410)
+    assert since is not None
+    for name in ("phm", "ffd", "fa", "metar", "env", "denorm"):
+        assert 0 < pruned[name].count() < inp[name].count(), name
+    assert all(pruned[name] is inp[name] for name in ("airports", "fdm", "phm_rmd", "aircraft_type"))
+    created = dt.datetime(2024, 2, 1)
+    for month in (202410, 202502):
+        whole = cf.build_common_flight(inp, "GENX", created).where(F.col(cf.MONTH) >= month)
+        recent = cf.build_common_flight(inp, "GENX", created, from_month=month)
+        assert recent.exceptAll(whole).count() == whole.exceptAll(recent).count() == 0
+
+
+def test_ids_on_both_sides_of_the_bound_switch_pruning_off(spark):
+    """The earliest listing of a flight counts, however old it is."""
+    inp = adapter.common_flight_inputs(Tables(spark, SF))
+    late = inp["phm"].where((F.col("engine_family") == "GENX") & (F.col("best_datetime") >= "2024-12-01"))
+    twice = late.limit(5).withColumns({c: F.col(c) - F.expr("INTERVAL 300 DAYS") for c in (
+        "best_datetime", "flight_start_time", "flight_end_time")})
+    inp["phm"] = inp["phm"].unionByName(cut_lineage(twice))
+    assert cf.since_month(inp, "GENX", 202412) == (inp, None)
+    created = dt.datetime(2024, 2, 1)
+    whole = cf.build_common_flight(inp, "GENX", created).where(F.col(cf.MONTH) >= 202412)
+    recent = cf.build_common_flight(inp, "GENX", created, from_month=202412)
+    assert recent.exceptAll(whole).count() == whole.exceptAll(recent).count() == 0
