@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from contrail.llm import langid, minhash, mixing, packing, pii
 from contrail.llm.common import held_out
 from contrail.llm.queries import END_ID, TOKENIZER
-from contrail.session import cut_lineage
+from contrail.session import cut_lineage, drop_path, scratch_path, temporary
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Share of a text's grams that its best language must hold: below it the text
@@ -75,8 +75,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``. What a stage writes for itself goes when its
+    result is written, and that when the next one is."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = cut_lineage(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with temporary(spark):
+            docs = cut_lineage(stage(spark, docs, sf_dir), path=path)
+        if last:
+            drop_path(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
