@@ -92,20 +92,23 @@ def mix(docs: DataFrame, tokens: Column | None = None, total: int | None = None,
         target_entropy: float | None = None, max_repeat: float = MAX_REPEAT, seed: int = 7,
         id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
     """``docs`` mixed: every row as often as its source's weight asks, with
-    ``mix_copy`` (from 0), ``mix_weight`` of its source and ``mix_tokens``.
+    ``mix_copy`` (from 0), ``mix_weight`` of its source, ``mix_tokens`` and
+    ``mix_order``, its place in the mixture: pass, place and number of its block
+    in that pass's permutation, place in the block. ``ordered`` puts the rows
+    there.
 
     A source's last, partial pass takes blocks in a random order while they
     fit, and of the block in which the budget ends the rows that fit in hash
     order: the pass is short of its budget by less than one text. Rows of a null
     source are a source of their own; texts without tokens come along with
     every whole pass; rows with equal id and tokens share their place. No rows
-    give no rows. Columns of ``docs`` named mix_copy, mix_weight or mix_tokens
-    are replaced.
+    give no rows. Columns of ``docs`` named mix_copy, mix_weight, mix_tokens or
+    mix_order are replaced.
 
     The driver holds one row per source: its weight and where its last pass
     ends. Deciding about a row then needs no shuffle of texts."""
     spark = docs.sparkSession
-    docs = docs.drop("mix_copy", "mix_weight", "mix_tokens")
+    docs = docs.drop("mix_copy", "mix_weight", "mix_tokens", "mix_order")
     kind = docs.schema[source_col].dataType.simpleString()
     id_kind = docs.schema[id_col].dataType.simpleString()
     measured = docs.withColumn("mix_tokens", words() if tokens is None else tokens.cast("long"))
@@ -155,6 +158,15 @@ def mix(docs: DataFrame, tokens: Column | None = None, total: int | None = None,
     extra = (place < F.col("end")) | ((F.col("block") == F.col("end.b"))
                                       & (row_place <= F.col("cut")))
     n = F.col("passes") + F.when(F.coalesce(extra, F.lit(False)), 1).otherwise(0)
-    return (out.withColumn("n", n.cast("int")).where("n > 0")
-            .withColumn("mix_copy", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-            .select("row.*", "mix_copy", "mix_weight", "mix_tokens"))
+    out = out.withColumn("n", n.cast("int")).where("n > 0").withColumn(
+        "mix_copy", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    # the last, partial pass is the pass number ``passes``: the same permutation
+    own = F.struct(F.col("mix_copy").alias("pass"), _hash(seed + 1, F.col("mix_copy").cast("long"), "block")
+                   .alias("block_place"), F.col("block"), _hash(seed + 2, "id", "t").alias("row_place"))
+    return out.select("row.*", "mix_copy", "mix_weight", "mix_tokens", own.alias("mix_order"))
+
+
+def ordered(mixed: DataFrame) -> DataFrame:
+    """The rows of ``mix`` in the order of the mixture, over partitions by range:
+    pass by pass, in each pass the blocks of all sources in a random order."""
+    return mixed.repartitionByRange("mix_order").sortWithinPartitions("mix_order")

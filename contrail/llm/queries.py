@@ -28,7 +28,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "source", "mix_copy", "mix_weight", "mix_tokens")
+    return mixed.select("doc_id", "source", "mix_copy", "mix_weight", "mix_tokens",
+                        F.col("mix_order.block_place").alias("mix_block_place"),
+                        F.col("mix_order.block").alias("mix_block"),
+                        F.col("mix_order.row_place").alias("mix_row_place"))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from contrail.llm import mixing
@@ -41,7 +42,7 @@ def mixed(spark, data, **kw):
         {"mix_copy": F.lit("x"), "passes": F.lit(1), "block": F.lit(2), "key": F.lit(3), "s": F.lit(4)})
     out = mixing.mix(frame, **kw)
     assert out.columns == ["doc_id", "text", "source", "passes", "block", "key", "s", "mix_copy",
-                           "mix_weight", "mix_tokens"]
+                           "mix_weight", "mix_tokens", "mix_order"]
     return out.collect()
 
 
@@ -84,3 +85,47 @@ def test_odd_rows(spark):
     assert mixed(spark, []) == []
     none = mixed(spark, [(1, "", "a"), (2, None, None)])
     assert [(r.mix_copy, r.mix_weight) for r in none] == [(0, 0.0)] * 2
+
+
+def spark_hash(seed: int, *longs: int) -> int:
+    """xxhash64 of an int literal and longs, as Spark chains them."""
+    h = xxhash.xxh64_intdigest(seed.to_bytes(4, "little"), 42)
+    for x in longs:
+        h = xxhash.xxh64_intdigest((x % (1 << 64)).to_bytes(8, "little"), h)
+    return h - ((h >> 63) << 64)
+
+
+@pytest.mark.parametrize("total", [None, 1500, 9000])
+def test_rows_and_order_equal_the_plain_version(spark, monkeypatch, total):
+    """Passes, block permutations and the cut of the last pass, row by row."""
+    monkeypatch.setattr(mixing, "BLOCK_TOKENS", 200)
+    data, seed = rows(), 7
+    size = Counter()
+    for _, text, s in data:
+        size[s] += len(text.split())
+    names = sorted(size, key=lambda s: (s is not None, s or ""))
+    a = mixing.solve([size[s] for s in names], 0.99, 5)
+    want = []
+    for s, b in zip(names, mixing.budgets([size[s] for s in names], a, total)):
+        own = [(i, len(t.split())) for i, t, x in data if x == s]
+        passes, rest = divmod(b, size[s])
+        blocks = -(-size[s] // 200)
+        block = {i: spark_hash(seed, i) % blocks for i, _ in own}
+        for k in range(passes + 1):
+            left = rest
+            for h, n in sorted((spark_hash(seed + 1, k, n), n) for n in set(block.values())):
+                inside = sorted((spark_hash(seed + 2, i, t), i, t) for i, t in own if block[i] == n)
+                whole = k < passes or sum(t for *_, t in inside) <= left
+                held = 0
+                for place, i, t in inside:
+                    held += t
+                    if whole or held <= left:
+                        want.append(((k, h, n, place), i))
+                left = left - sum(t for *_, t in inside) if whole else -1
+                if k == passes and left < 0:
+                    break
+    got = mixed(spark, data, total=total, target_entropy=0.99, max_repeat=5)
+    assert sorted((tuple(r.mix_order), r.doc_id) for r in got) == sorted(want)
+    frame = spark.createDataFrame(data, "doc_id long, text string, source string")
+    in_order = mixing.ordered(mixing.mix(frame, total=total, target_entropy=0.99, max_repeat=5)).collect()
+    assert [tuple(r.mix_order) for r in in_order] == sorted(o for o, _ in want)
