@@ -29,6 +29,7 @@ SPAN = 5              # letters that a subsequence spans at most
 TOXIC = 0.5
 CACHE = 400_000
 _SPELLED = regex.compile(r"(?<!\S)(?:\p{L}[\s.\-_*]{1,2}){3,}\p{L}(?!\p{L})")
+_GAPS = frozenset(" \t\n\r\x0b\x0c.-_*")
 _INNER = regex.compile(r"[^\p{L}]+")
 _SENTENCE = regex.compile(r"[.!?]+\s+|\n+")
 _OFFSETS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
@@ -40,6 +41,28 @@ def units(text: str) -> list[str]:
     return [w if w.isalpha() else _INNER.sub("", w) for w in text.split()]
 
 
+def unit_slices(text: str) -> Iterator[str]:
+    """Slices of a whole text. Letters spelled apart at the end of one go on into
+    the next, so that no spelled word is cut."""
+    kept = ""
+    for piece in text_slices(text):
+        piece, at = kept + piece, len(kept) + len(piece)
+        while True:  # back over single letters and one or two marks behind each
+            gap = at
+            while gap > 0 and at - gap < 2 and piece[gap - 1] in _GAPS:
+                gap -= 1
+            if gap == at or gap == 0 or not piece[gap - 1].isalpha() or \
+                    (gap > 1 and piece[gap - 2] not in _GAPS):
+                break
+            at = gap - 1
+        while 0 < at < len(piece) and not piece[at - 1].isspace():
+            at += 1  # a spelled word begins behind white space
+        yield piece[:at]
+        kept = piece[at:]
+    if kept:
+        yield kept
+
+
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word index, subsequence, weight) of all three-letter subsequences within
     ``SPAN`` letters, the word's borders counting as letters."""
@@ -140,7 +163,7 @@ class Detector:
         """The worst unit, the sum of the positive units' values and the number
         of units, over a whole text; no units: a worst of -2."""
         worst, hits, n = -2.0, 0.0, 0
-        for piece in text_slices(text or ""):
+        for piece in unit_slices(text or ""):
             if words := [w for w in units(piece) if len(w) > 1]:
                 f = np.clip(self(words), -2, 2)
                 worst, hits, n = max(worst, f.max()), hits + f[f > 0].sum(), n + len(words)
@@ -167,7 +190,7 @@ def labelled_units(docs: DataFrame, marks: DataFrame) -> tuple[list[str], list[s
         total = [0, 0]
         for b in batches:
             for sentence, toxic in zip(b["sentence"], b["toxic"], strict=True):
-                seen[toxic].update({w for w in units(sentence) if 2 < len(w) <= 40})
+                seen[toxic].update({w for w in units(sentence) if len(w) > 1})
                 total[toxic] += 1
             if len(seen[0]) + len(seen[1]) > 1_000_000:
                 yield counts(seen)

@@ -159,3 +159,30 @@ def test_held_out_accuracy_on_labels(spark):
     got = accuracy(spark, op8_toxicity, "toxic")
     toxic = got[got[:, 0] == 1]
     assert np.mean(toxic[:, 1]) >= 0.8 and np.mean(got[got[:, 0] == 0][:, 1]) <= 0.01
+
+
+def test_spelled_words_are_whole_over_slices(monkeypatch):
+    import random
+
+    from contrail.llm.common import text_slices
+    monkeypatch.setattr(toxicity, "text_slices", lambda text: text_slices(text, 20))
+    rng = random.Random(1)
+    for _ in range(2000):
+        text = "".join(rng.choice(["a ", "b ", "c.", "word ", "-", "x", "\n", " ", "d - ", "e_"])
+                       for _ in range(rng.randint(0, 60)))
+        slices = list(toxicity.unit_slices(text))
+        assert "".join(slices) == text
+        assert [w for x in slices for w in toxicity.units(x) if w] == [w for w in toxicity.units(text) if w]
+    text = "w " * 8 + "b l o r g f a c e" + " w" * 30
+    assert "blorgface" in " ".join(w for x in toxicity.unit_slices("word " * 3 + text[16:])
+                                   for w in toxicity.units(x))
+
+
+def test_two_letter_insults_are_learned(spark):
+    name = lambda n: "".join(chr(97 + int(c)) for c in str(100 + n))
+    docs = [(i, f"good here and {name(i % 37)} " + ("zq" if i % 4 == 0 else name(i % 11)) + f" {name(i % 29)}.")
+            for i in range(400)]
+    labels = [(i, 1, int(i % 4 == 0)) for i in range(400)]
+    got = toxicity.toxicity(*frames(spark, docs + [(900, "such a zq thing"), (901, "such a fine thing")], labels))
+    score = {r["doc_id"]: r["score"] for r in got.collect()}
+    assert score[900] > 0.5 > score[901]
