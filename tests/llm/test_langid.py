@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import random
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -93,3 +96,51 @@ def test_languages_with_one_and_three_learned_texts(spark):
         got, score = model.decide(text)
         assert got == lang and score > 0.9
     assert all(model.decide(text)[0] == lang for _, text, lang in docs())
+
+
+def test_decisions_equal_a_plain_version(spark):
+    """Filter, corrected counts and scores in plain numbers, text by text."""
+    import math
+    rng = random.Random(4)
+    words = {"aa": ["tha", "wern", "ost", "lith"], "bb": ["qui", "mundo", "ésta", "ñor"], "cc": ["да", "нет", "мир"]}
+    docs = [(i, " ".join(rng.choice(words[lang]) + rng.choice(["", "x", "yz"]) for _ in range(rng.randint(1, 30))), lang)
+            for i in range(120) for lang in [rng.choice(list(words))]]
+    odd = [(900, None, "aa"), (901, "", "bb"), (902, "12 !", "cc"), (903, "ost мир qui", "aa"), (904, "zzz", None)]
+    frame = spark.createDataFrame(docs + odd, "doc_id long, text string, lang string")
+    held = [d for d in docs + odd if d[2] is not None and zlib.crc32(str(d[0]).encode()) % 4 != 2]
+
+    def grams(text):
+        out = []
+        for w in "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in (text or "").lower()).split():
+            w = f" {w} "
+            out += [(ord(w[i]) << 42) | (ord(w[i + 1]) << 21) | ord(w[i + 2]) for i in range(len(w) - 2)]
+        return out
+
+    kept = {}
+    for lang in sorted({d[2] for d in held}):
+        own = [set(grams(t)) for _, t, x in held if x == lang]
+        df = Counter(g for s in own for g in s)
+        least = max(1 if len(own) < langid.FEW_TEXTS else 2, math.ceil(len(own) * langid.MIN_SHARE))
+        kept[lang] = {g for g, n in df.items() if n >= least}
+    bits = max(12, math.ceil(math.log2(8 * langid.HASHES * max(1, *map(len, kept.values())))))
+
+    def slots(g):
+        u = g ^ (g >> 29)
+        return [((u * a) % (1 << 64)) >> (64 - bits) for a in langid._ODD[:langid.HASHES]]
+
+    filled = {lang: {s for g in own for s in slots(g)} for lang, own in kept.items()}
+    want = {}
+    for i, text, _ in docs + odd:
+        found = grams(text)
+        best = ("und", 0.0)
+        if found:
+            for lang in sorted(kept):
+                false = (len(filled[lang]) / (1 << bits)) ** langid.HASHES
+                hits = sum(all(s in filled[lang] for s in slots(g)) for g in found)
+                share = min(1, max(0, (hits / len(found) - false) / (1 - false)))
+                if best[0] == "und" or share > best[1]:
+                    best = (lang, share)
+        want[i] = best
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.language_id(frame).collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert all(abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
