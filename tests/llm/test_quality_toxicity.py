@@ -186,3 +186,45 @@ def test_two_letter_insults_are_learned(spark):
     got = toxicity.toxicity(*frames(spark, docs + [(900, "such a zq thing"), (901, "such a fine thing")], labels))
     score = {r["doc_id"]: r["score"] for r in got.collect()}
     assert score[900] > 0.5 > score[901]
+
+
+def test_quality_scores_equal_the_whole_matrix(spark):
+    """All rows in one matrix, the isotonic fit by its min-max formula."""
+    docs, labels = corpus()
+    y = {i: q for i, q, _ in labels}
+    known = [i for i, _ in docs if zlib.crc32(str(i).encode()) % 5]
+    x = np.array([quality.statistics(t) for _, t in docs])
+    fitted = x[known]
+    kernel = quality.Kernel(fitted.mean(axis=0), fitted.std(axis=0))
+    waves, target = kernel(fitted), np.array([y[i] for i in known], float)
+    gram = waves.T @ waves + quality.RIDGE * len(known) * np.eye(waves.shape[1])
+    weights = np.linalg.solve(gram, waves.T @ target)
+    place = np.clip((kernel(x) @ weights + 0.5) / 2 * quality.BINS, 0, quality.BINS - 1).astype(int)
+    used = sorted(set(place[known]))
+    groups = [[y[i] for i in known if place[i] == b] for b in used]
+    mean = lambda a, b: np.mean([v for g in groups[a:b + 1] for v in g])
+    steps = [max(min(mean(i, j) for j in range(k, len(used))) for i in range(k + 1)) for k in range(len(used))]
+    want = np.interp(place, used, steps)
+    got = {r["doc_id"]: r for r in quality.quality(*frames(spark, docs, labels)).collect()}
+    assert np.allclose([got[i]["score"] for i, _ in docs], want, atol=1e-9)
+    assert [got[i]["predicted"] for i, _ in docs] == [int(v >= 0.3) for v in want]
+
+
+def test_detector_equals_the_machine_over_the_kernel_map():
+    """One weight a subsequence gives what the landmarks' kernel map gives."""
+    good = ["water", "runs", "down", "hill", "slowly", "because", "rain", "snow", "warm", "stone"]
+    bad = ["blorgface", "snurkhead", "grumptwit"]
+    detect = toxicity.Detector(good, bad, np.ones(3))
+
+    marks = [*bad, *good]
+    inner = np.array([[plain_kernel(a, b) for b in marks] for a in marks])
+    value, vector = np.linalg.eigh(inner)
+    keep = value > 1e-6 * value.max()
+    root = vector[:, keep] / np.sqrt(value[keep])
+    weight = np.concatenate([np.full(3, 1 / 3), np.full(len(good), 2 / len(good))]) * len(marks) / 2
+    y = np.concatenate([np.ones(3), -np.ones(len(good))])
+    w, bias = toxicity.train_svm(inner @ root, y, weight)
+    words = ["blorgface", "blorg", "bloorgfacce", "waters", "stone", "grump", "ab"]
+    want = [np.array([plain_kernel(x, m) for m in marks]) @ root @ w + bias for x in words]
+    assert np.allclose(detect(words), want, atol=1e-6)
+    assert detect.summary("Water BLORGFACE runs")[0] == pytest.approx(min(2, want[0]), abs=1e-6)
