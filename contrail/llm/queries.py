@@ -129,4 +129,28 @@ s AS (
   FROM v q JOIN v x ON q.vec_id <> x.vec_id AND len(q.v) = len(x.v) WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
        vec_id, score FROM s QUALIFY rank <= 5""",
+    "op12_suffix_dedup": """WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT doc_id, p, md5(substring(h, 2 * p + 1, 200)) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS p FROM d WHERE len(h) >= 200)),
+f AS (SELECT s, min((doc_id, p)) AS place FROM w GROUP BY s HAVING count(*) > 1),
+r AS (
+  SELECT w.doc_id, w.p, lag(w.p) OVER (PARTITION BY w.doc_id ORDER BY w.p) AS q
+  FROM w JOIN f ON w.s = f.s WHERE (w.doc_id, w.p) <> f.place),
+g AS (
+  SELECT doc_id, p, count_if(q IS NULL OR p > q + 100) OVER (PARTITION BY doc_id ORDER BY p) AS n FROM r),
+spans AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM g GROUP BY doc_id, n),
+cuts AS (
+  SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM spans
+  UNION ALL
+  SELECT d.doc_id, len(d.h) // 2, coalesce(max(s.b), 0) FROM d LEFT JOIN spans s ON d.doc_id = s.doc_id
+  GROUP BY d.doc_id, d.h),
+kept AS (
+  SELECT c.doc_id, string_agg(substring(d.h, 2 * c.z + 1, 2 * (c.a - c.z)), '' ORDER BY c.z) AS k
+  FROM cuts c JOIN d ON c.doc_id = d.doc_id GROUP BY c.doc_id),
+gone AS (SELECT doc_id, sum(b - a) AS m, count(*) AS n FROM spans GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone.m, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(gone.n, 0) AS BIGINT) AS n_spans, sha256(unhex(kept.k)) AS kept_sha256
+FROM d JOIN kept ON d.doc_id = kept.doc_id LEFT JOIN gone ON d.doc_id = gone.doc_id""",
 }
