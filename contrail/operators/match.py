@@ -144,7 +144,8 @@ def nearest_match(left: DataFrame, obs: DataFrame, *, row_key: Sequence[str], id
     window = left.select(*[F.col(a).alias(k) for k, (a, _) in zip(ks, pairs)],
                          *[F.col(c).alias(a) for a, c in ends.items()]).dropna().distinct()
     window = window.withColumns({"_cr_lo0": F.col(_LO), "_cr_hi0": F.col(_HI)})
-    cand = binned_range_join(pts, window, ks, _PT, _LO, _HI, bin_seconds).drop(_LO, _HI)
+    ranges = measure(*in_one_type((pts, [_PT]), (left, [lo, hi])), _PT, lo, hi, bin_seconds)
+    cand = binned_range_join(pts, window, ks, _PT, _LO, _HI, ranges=ranges).drop(_LO, _HI)
     back = [*[(a, f"_cr_b{n}") for n, (a, _) in enumerate(pairs)], (lo, "_cr_lo0"), (hi, "_cr_hi0")]
     cand = cand.withColumnsRenamed({k: f"_cr_b{n}" for n, k in enumerate(ks)})
     extra = [b for _, b in back]
