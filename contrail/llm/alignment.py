@@ -13,10 +13,12 @@ import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -26,6 +28,9 @@ from .common import byte_level_alphabet, give_back, text_parts
 
 AT_ONCE = 1 << 22     # characters of the texts that are aligned together
 CHUNK = 1 << 16       # bytes of the words that are tokenized in one string
+LONG_WORD = 512       # bytes; longer words are tokenized by themselves
+# Fixed value: how byte-level vocabularies of this kind split texts
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 HEAD_PAIRS = 1 << 21  # id pairs, the most frequent ones, that are broadcast
 _OWNER = 40           # bits of an id pair's code
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
@@ -47,6 +52,20 @@ class ByteTokenizer:
         found = {i: bytes(map(to_byte.__getitem__, s)) for s, i in spec["model"]["vocab"].items()}
         found |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
         self.entries = [found.get(i, b"") for i in range(max(found) + 1)]
+        # the same vocabulary in a second library, several times faster on short
+        # words and quadratic in a word's length; it must agree on a few probes
+        special = {t["id"] for t in spec["added_tokens"]}
+        ranks = {e: i for i, e in enumerate(self.entries) if e and i not in special}
+        self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        probes = ["The cat's 12,345 x\n\n  y...", "été 日本\u3000don't\t<|endoftext|>", "unbelievable aaaa"]
+        if not spec["model"]["merges"] or self.short(probes) != self(probes):
+            self.fast = None
+
+    def short(self, texts: list[str]) -> list[list[int]]:
+        """The same for texts without very long words."""
+        if self.fast is None:
+            return self(texts)
+        return [self.fast.encode_ordinary(" " + t) for t in texts]
 
     def __call__(self, texts: list[str]) -> list[list[int]]:
         coded = self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
@@ -116,7 +135,7 @@ class Aligner:
         ids = list(zip(self.a(texts), self.b(texts), strict=True))
         ids = [x if all(self._joined(i, e) == (" " + t).encode() for i, e in zip(x, self.entries, strict=True))
                else ([], []) for t, x in zip(texts, ids, strict=True)]
-        a, b = (np.fromiter((i for x in ids for i in x[s]), np.int64) for s in (0, 1))
+        a, b = (np.fromiter(chain.from_iterable(x[s] for x in ids), np.int64) for s in (0, 1))
         n_a = np.array([len(x[0]) for x in ids], np.int64)
         return self.between(a, b, np.append(0, np.cumsum(self.sizes[0][a]))[np.cumsum(n_a)])
 
@@ -129,19 +148,21 @@ class Aligner:
         They are tokenized many in a string, where each is treated as by itself;
         strings that are not given back, or in which a token crosses words, are
         done again word by word."""
-        ends = np.cumsum([len(w) for w in words])
-        # behind a space a word would begin elsewhere
-        last = [w[-1:] == b" " for w in words]
-        edges = [0]
-        for i, end in enumerate(ends.tolist()):
-            if i + 1 == len(words) or last[i] or end - (ends[edges[-1] - 1] if edges[-1] else 0) >= CHUNK:
-                edges.append(i + 1)
+        size = np.array([len(w) for w in words], np.int64)
+        ends, long = np.cumsum(size), size > LONG_WORD
+        # behind a space a word would begin elsewhere; long words are alone
+        cut = long | np.append(long[1:], True) | np.array([w[-1:] == b" " for w in words], bool)
+        cut |= np.append(ends[:-1] // CHUNK != ends[1:] // CHUNK, True)
+        edges = [0, *(np.flatnonzero(cut) + 1).tolist()]
         parts = [b"".join(words[x:y]) for x, y in zip(edges[:-1], edges[1:], strict=True)]
         texts = [p[1:].decode() for p in parts]
-        a, b = self.a(texts), self.b(texts)
+        alone = long[np.array(edges[:-1])].tolist()
+        short = iter(self.a.short([t for t, x in zip(texts, alone, strict=True) if not x]))
+        other = iter(self.a([t for t, x in zip(texts, alone, strict=True) if x]))
+        a, b = [next(other if x else short) for x in alone], self.b(texts)
         if all(self._joined(i, e) == p for ids, e in zip((a, b), self.entries, strict=True)
                for i, p in zip(ids, parts, strict=True)):
-            a, b = (np.fromiter((i for x in ids for i in x), np.int64) for ids in (a, b))
+            a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a, b))
             if all(np.isin(ends, np.cumsum(size[ids])).all() for ids, size in zip((a, b), self.sizes, strict=True)):
                 return self.between(a, b, ends)
         return self([w[1:].decode() for w in words])

@@ -136,6 +136,8 @@ def aligners():
 
 def test_words_of_many_strings(aligners, monkeypatch):
     monkeypatch.setattr(alignment, "CHUNK", 40)
+    monkeypatch.setattr(alignment, "LONG_WORD", 5)
+    assert aligners[1].align.a.fast is not None
     rng = random.Random(2)
     for _ in range(30):
         texts = [" ".join(rng.choice([str(rng.randint(0, 400)), "word ", "été", "x\n"]) for _ in range(40))
