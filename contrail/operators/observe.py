@@ -6,135 +6,119 @@ reading of the months ``yyyyMM(t - pad)`` .. ``yyyyMM(t + pad)`` at its
 airport, and takes the one nearest in whole seconds; a tie goes to the
 earlier reading, then to the smallest id.
 
-Exploding the month arrays against every leg costs legs x readings-per-month.
-Instead the readings are unpacked once into *gaps*: consecutive distinct
-reading seconds ``[r_i, r_i+1)`` per (airport, month), clipped to the span of
-leg times that can reach that month. Consecutive readings come from the
-bucketed previous-row look-up (no window over a whole airport-month). A leg time falls in exactly one gap per
-candidate month, and the gap ends are the only candidates there. Gaps are
-joined to leg times through hourly bins, so the join is linear and a busy
-airport-month is spread over many tasks. Distinct (airport, time) points are
-resolved once and joined back to the legs.
+Exploding the month arrays against every leg costs legs x readings-per-month,
+and ranges of time between readings cost as many rows as there are hours without
+one. Instead the unpacked readings and the legs' points are put into one frame
+and sorted by time inside (airport, month, day): each point sees the last reading
+not after it and the next one after it, which alone can be nearest. Where its day
+has none on a side, it is that of the nearest other day that has, from a small
+table of one row per (airport, month, day). Every row is shipped once, whatever
+the time between readings, and a busy airport-month is spread over its days.
+Distinct (airport, time) points are resolved once and joined back to the legs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import common_time_type, epoch_seconds, month_key
 from .ranges import left_join
-from .siblings import previous_values
 
-GAP_BIN_SECONDS = 3600
+# Default bucket for the nearest reading on each side (1 day).
+DAY_SECONDS = 24 * 3600
 
 
 def observation_gaps(packed: DataFrame, *, airport: str = "airport_str",
                      month: str = "metar_year_month", readings: str = "metar_arr",
-                     sep: str = "@", pad_hours: int = 5, ts_type: str = "timestamp_ntz",
-                     bin_seconds: int = GAP_BIN_SECONDS) -> DataFrame:
-    """Unpack and index the readings: one row per (gap, bin).
-
-    Columns: ``_ap, _ym, _lo, _hi`` (gap in epoch seconds, ``[lo, hi)``),
-    ``_bin``, ``_p_id, _p_s`` (reading at the start, NULL for the leading
-    gap) and ``_n_id, _n_s`` (next reading, NULL for the trailing gap).
-    Unparseable reading times are skipped, and so are rows whose month is not a
-    ``yyyyMM``: no leg's month equals such a key.
+                     sep: str = "@", ts_type: str = "timestamp_ntz") -> DataFrame:
+    """Unpack the readings, the ends of the gaps between them: one row per
+    reading.
+
+    Columns: ``_ap, _ym, _s`` (whole epoch seconds) and ``_id``. Unparseable
+    reading times are skipped, and so are rows whose month is not a ``yyyyMM``:
+    no leg's month equals such a key.
     """
-    pad = pad_hours * 3600
     parts = F.split(F.col("_r"), sep)
-    flat = (packed.select(F.col(airport).alias("_ap"), F.col(month).cast("string").alias("_ym"),
+    return (packed.select(F.col(airport).alias("_ap"), F.col(month).cast("string").alias("_ym"),
                           F.explode(readings).alias("_r"))
             .select("_ap", "_ym", F.get(parts, 0).alias("_id"),
                     F.unix_timestamp(F.expr(f"try_cast(get(split(_r, '{sep}'), 1) AS {ts_type})"))
                     .alias("_s"))
             .where(F.col("_s").isNotNull() & F.col("_ap").isNotNull()
-                   & F.col("_ym").rlike("^[0-9]{4}(0[1-9]|1[0-2])$"))
-            # same second -> same distance and sign, so only the smallest id can win
-            .groupBy("_ap", "_ym", "_s").agg(F.min("_id").alias("_id")))
-    to_ts = "to_timestamp_ntz" if ts_type == "timestamp_ntz" else "to_timestamp"
-    month_start = f"{to_ts}(_ym, 'yyyyMM')"
-    start_s = F.unix_timestamp(F.expr(month_start))
-    end_s = F.unix_timestamp(F.expr(f"{month_start} + INTERVAL 1 MONTH"))
-    # gap ending at each reading: (previous reading, this reading); the lag
-    # runs per (airport, month, day bucket) -- a busy airport-month is split
-    lagged = previous_values(flat, partition=["_ap", "_ym"], order=["_s", "_id"], time_col="_s",
-                             values={"_p_s": "_s", "_p_id": "_id"}, time_in_seconds=True)
-    inner = lagged.select("_ap", "_ym", "_p_id", "_p_s", F.col("_id").alias("_n_id"),
-                          F.col("_s").alias("_n_s"))
-    # gap after the last reading of each (airport, month)
-    last = (flat.groupBy("_ap", "_ym")
-            .agg(F.max_by(F.struct("_s", "_id"), "_s").alias("_l"))
-            .select("_ap", "_ym", F.col("_l._id").alias("_p_id"), F.col("_l._s").alias("_p_s"),
-                    F.lit(None).cast("string").alias("_n_id"),
-                    F.lit(None).cast("long").alias("_n_s")))
-    g = (inner.unionByName(last)
-         .withColumns({"_clo": start_s - pad, "_chi": end_s + pad}))
-    g = (g.select("_ap", "_ym", "_p_id", "_p_s", "_n_id", "_n_s",
-                  F.greatest(F.coalesce("_p_s", "_clo"), "_clo").alias("_lo"),
-                  F.least(F.coalesce("_n_s", "_chi"), "_chi").alias("_hi"))
-         .where(F.col("_lo") < F.col("_hi")))
-    b = F.lit(bin_seconds)
-    return g.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_lo") / b).cast("long"),
-                                                     F.floor((F.col("_hi") - 1) / b).cast("long"))))
-
-
-def _nearest(points: DataFrame, gaps: DataFrame, out: str, pad_hours: int, bin_seconds: int,
+                   & F.col("_ym").rlike("^[0-9]{4}(0[1-9]|1[0-2])$")))
+
+
+def _nearest(points: DataFrame, gaps: DataFrame, out: str, pad_hours: int, bucket_seconds: int,
              max_gap: int | None) -> DataFrame:
     """Distinct points (_ap, _at) with ``out`` = id of the nearest reading."""
     pad = f"INTERVAL {pad_hours} HOURS"
     pts = (points.where(F.col("_ap").isNotNull() & F.col("_at").isNotNull()).distinct()
            .withColumn("_s", epoch_seconds("_at"))
            .withColumn("_ym", F.explode(F.array_distinct(F.array(
-               month_key(F.col("_at") - F.expr(pad)), month_key(F.col("_at") + F.expr(pad))))))
-           .withColumn("_bin", F.floor(F.col("_s") / F.lit(bin_seconds)).cast("long")))
-    g = gaps.alias("g")
-    p = pts.alias("p")
-    hit = p.join(g, on=[F.col("p._ap") == F.col("g._ap"), F.col("p._ym") == F.col("g._ym"),
-                        F.col("p._bin") == F.col("g._bin"),
-                        F.col("p._s") >= F.col("g._lo"), F.col("p._s") < F.col("g._hi")])
-    cands = hit.select(F.col("p._ap").alias("_ap"), F.col("p._at").alias("_at"),
-                       F.explode(F.array(
-                           F.struct(F.col("g._p_id").alias("id"),
-                                    (F.col("g._p_s") - F.col("p._s")).alias("d")),
-                           F.struct(F.col("g._n_id").alias("id"),
-                                    (F.col("g._n_s") - F.col("p._s")).alias("d")))).alias("_c"))
-    cands = cands.where(F.col("_c.id").isNotNull() & F.col("_c.d").isNotNull())
+               month_key(F.col("_at") - F.expr(pad)), month_key(F.col("_at") + F.expr(pad)))))))
+    rows = (gaps.select("_ap", "_ym", "_s", "_id", F.lit(0).alias("_point"),
+                        F.lit(None).cast(pts.schema["_at"].dataType).alias("_at"))
+            .unionByName(pts.select("_ap", "_ym", "_s", F.lit(None).cast("string").alias("_id"),
+                                    F.lit(1).alias("_point"), "_at"))
+            .withColumn("_b", F.floor(F.col("_s") / F.lit(bucket_seconds)).cast("long")))
+    reading = F.col("_point") == 0
+    key = ["_ap", "_ym", "_b"]
+    # of the readings of one second the smallest id comes last both ways; a point
+    # comes after those of its own second, which are the earlier side's
+    seen = F.last(F.when(reading, F.struct("_s", "_id")), ignorenulls=True)
+    to, back = (Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+                for order in ([F.col("_s").asc(), F.col("_point").asc(), F.col("_id").desc()],
+                              [F.col("_s").desc(), F.col("_point").desc(), F.col("_id").desc()]))
+    own = rows.withColumns({"_p": seen.over(to), "_n": seen.over(back)}).where(~reading)
+    # the nearest reading of the earlier and of the later buckets
+    ends = rows.groupBy(*key).agg(
+        F.min(F.when(reading, F.struct((-F.col("_s")).alias("_s"), "_id"))).alias("_last"),
+        F.min(F.when(reading, F.struct("_s", "_id"))).alias("_first"))
+    earlier, later = (Window.partitionBy("_ap", "_ym").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+                      for order in (F.col("_b").asc(), F.col("_b").desc()))
+    last = F.when(F.col("_last").isNotNull(),
+                  F.struct((-F.col("_last._s")).alias("_s"), F.col("_last._id").alias("_id")))
+    ends = ends.select(*key, F.last(last, ignorenulls=True).over(earlier).alias("_cp"),
+                       F.last("_first", ignorenulls=True).over(later).alias("_cn"))
+    cands = own.join(ends, key).select("_ap", "_at", "_s", F.explode(F.array(
+        F.coalesce("_p", "_cp"), F.coalesce("_n", "_cn"))).alias("_c")).where(F.col("_c").isNotNull())
+    cands = cands.select("_ap", "_at", F.col("_c._id").alias("_id"), (F.col("_c._s") - F.col("_s")).alias("_d"))
     if max_gap is not None:
-        cands = cands.where(F.abs("_c.d") <= max_gap)
-    order = F.struct(F.abs("_c.d"), F.signum("_c.d"), F.col("_c.id"))
-    return (cands.groupBy("_ap", "_at").agg(F.min_by("_c.id", order).alias(out)))
+        cands = cands.where(F.abs("_d") <= max_gap)
+    return cands.groupBy("_ap", "_at").agg(
+        F.min(F.struct(F.abs("_d"), F.signum("_d"), F.col("_id").alias("id"))).alias("_best")).select(
+        "_ap", "_at", F.col("_best.id").alias(out))
 
 
 def nearest_observation_table(legs: DataFrame, gaps: DataFrame, *, airport: str, at: str,
                               out: str, pad_hours: int = 5,
-                              bin_seconds: int = GAP_BIN_SECONDS,
+                              bucket_seconds: int = DAY_SECONDS,
                               max_gap: int | None = None) -> DataFrame:
     """Distinct ``(airport, at)`` points of ``legs`` with ``out`` = id of the
     nearest reading (points without a reachable reading, or whose nearest one is
     more than ``max_gap`` seconds away, are absent)."""
     points = legs.select(F.col(airport).alias("_ap"), F.col(at).alias("_at"))
-    return _nearest(points, gaps, out, pad_hours, bin_seconds, max_gap).withColumnsRenamed(
+    return _nearest(points, gaps, out, pad_hours, bucket_seconds, max_gap).withColumnsRenamed(
         {"_ap": airport, "_at": at})
 
 
 def nearest_observations(legs: DataFrame, gaps: DataFrame, ends: Mapping[str, tuple[str, str]],
-                         pad_hours: int = 5, bin_seconds: int = GAP_BIN_SECONDS,
+                         pad_hours: int = 5, bucket_seconds: int = DAY_SECONDS,
                          max_gap: int | None = None) -> DataFrame:
     """Adds for each ``out: (airport column, time column)`` of ``ends`` the id of
     the nearest reading (NULL when the airport/time is NULL or no reading is
-    reachable). ``gaps`` comes from :func:`observation_gaps` with the same
-    ``pad_hours`` and ``bin_seconds``. A reading more than ``max_gap`` seconds
-    away gives NULL; without ``max_gap`` any reachable reading will do. The
-    points of all ends are looked up together: the gaps are read once."""
+    reachable). ``gaps`` comes from :func:`observation_gaps`. A reading more
+    than ``max_gap`` seconds away gives NULL; without ``max_gap`` any reachable
+    reading will do. The points of all ends are looked up together."""
     kind = common_time_type(*[legs.schema[at].dataType for _, at in ends.values()])
     points = [legs.select(F.col(a).alias("_ap"), F.col(at).cast(kind).alias("_at")) for a, at in ends.values()]
     both = points[0]
     for p in points[1:]:
         both = both.unionByName(p)
-    best = _nearest(both, gaps, "_id", pad_hours, bin_seconds, max_gap)
+    best = _nearest(both, gaps, "_id", pad_hours, bucket_seconds, max_gap)
     for out, (a, at) in ends.items():
         found = best.withColumnsRenamed({"_ap": "_w_ap", "_at": "_w_at", "_id": out})
         legs = left_join(legs, found, [(a, "_w_ap"), (at, "_w_at")]).drop("_w_ap", "_w_at")

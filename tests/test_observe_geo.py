@@ -81,6 +81,18 @@ def test_gap_index_equals_brute_force(spark):
     assert _nearest(spark, legs, packed) == want
 
 
+def test_rare_readings_cost_a_row_each(spark):
+    """The time between readings makes no rows; the nearest may be days away on either side."""
+    packed = [("K1", "202401", ["a@2024-01-01 12:00:00", "c@2024-01-31 12:00:00", "b@2024-01-31 12:00:00.9"]),
+              ("K1", "202401", ["d@2024-01-15 00:00:00"]), ("K1", "202402", ["e@2024-02-28 00:00:00"])]
+    gaps = op.observation_gaps(spark.createDataFrame(packed, PACKED))
+    assert gaps.count() == 5
+    legs = [(1, "K1", ts("2024-01-01 00:00:00")), (2, "K1", ts("2024-01-08 06:00:00")),
+            (3, "K1", ts("2024-01-08 05:59:59")), (4, "K1", ts("2024-01-31 23:00:00")),
+            (5, "K1", ts("2024-02-05 00:00:00")), (6, "K1", ts("2024-01-24 00:00:00")), (7, "K2", ts("2024-01-24 00:00:00"))]
+    assert _nearest(spark, legs, packed) == {1: "a", 2: "a", 3: "a", 4: "b", 5: "e", 6: "b", 7: None}
+
+
 def test_great_circle(spark):
     df = spark.createDataFrame([(0.0, 0.0, 0.0, 0.0), (0.0, 0.0, 0.0, math.pi),
                                 (0.5, 0.1, -0.3, 2.0)], "a double, b double, c double, d double")
