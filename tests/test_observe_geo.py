@@ -93,6 +93,15 @@ def test_rare_readings_cost_a_row_each(spark):
     assert _nearest(spark, legs, packed) == {1: "a", 2: "a", 3: "a", 4: "b", 5: "e", 6: "b", 7: None}
 
 
+def test_a_greatest_gap_needs_no_rows_between_readings(spark):
+    packed = spark.createDataFrame([("K1", "202401", ["a@2024-01-01 12:00:00", "b@2024-01-31 12:00:00"])], PACKED)
+    legs = spark.createDataFrame([(1, "K1", ts("2024-01-01 12:30:00")), (2, "K1", ts("2024-01-01 12:30:01")),
+                                  (3, "K1", ts("2024-01-31 11:30:00")), (4, "K1", ts("2024-01-16 00:00:00"))], LEGS)
+    out = op.nearest_observation(legs, op.observation_gaps(packed), airport="ap", at="at", out="wx", max_gap=1800)
+    assert {r.leg_id: r.wx for r in out.collect()} == {1: "a", 2: None, 3: "b", 4: None}
+    assert "sequence(" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_great_circle(spark):
     df = spark.createDataFrame([(0.0, 0.0, 0.0, 0.0), (0.0, 0.0, 0.0, math.pi),
                                 (0.5, 0.1, -0.3, 2.0)], "a double, b double, c double, d double")
