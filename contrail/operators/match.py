@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timecols import common_time_type, epoch_seconds, in_one_type, shift
+from ..session import cut_lineage
 from .ranges import _pairs, binned_range_join, left_join, measure, null_salt
 
 _LO, _HI, _AT, _PT = "_cr_lo", "_cr_hi", "_cr_at", "_cr_pt"
@@ -121,7 +122,7 @@ def append_unmatched(matched: DataFrame, unmatched: DataFrame, *, rec_id: str,
 def nearest_match(left: DataFrame, obs: DataFrame, *, row_key: Sequence[str], id_col: str,
                   keys: Sequence[str | tuple[str, str]], lo: str, hi: str, at: str,
                   obs_ts: str, tiebreak: str, obs_cols: Sequence[str],
-                  bin_seconds: int | None = None) -> DataFrame:
+                  bin_seconds: int | None = None, unkeyed_once: bool = False) -> DataFrame:
     """For each left row, the observation (equal keys, ``obs_ts`` in
     ``[lo, hi]``) nearest to ``at``.
 
@@ -132,7 +133,12 @@ def nearest_match(left: DataFrame, obs: DataFrame, *, row_key: Sequence[str], id
 
     Rows that share an id become one row: of all their candidates the best is
     chosen, together with the row that it belongs to (``row_key`` breaks ties,
-    NULLs last); without candidates the first row by ``row_key`` stays.
+    NULLs last); without candidates the first row by ``row_key`` stays. With
+    ``unkeyed_once`` rows without an id that are equal in all columns are one row.
+
+    Plan: the windows' candidates are found once and written to a stage table;
+    the best of each id comes from a narrow frame, and the rows themselves are
+    shuffled once, by their id.
     """
     pairs = _pairs(keys)
     ks = [f"_cr_k{n}" for n in range(len(pairs))]
@@ -147,11 +153,14 @@ def nearest_match(left: DataFrame, obs: DataFrame, *, row_key: Sequence[str], id
     ranges = measure(*in_one_type((pts, [_PT]), (left, [lo, hi])), _PT, lo, hi, bin_seconds)
     cand = binned_range_join(pts, window, ks, _PT, _LO, _HI, ranges=ranges).drop(_LO, _HI)
     back = [*[(a, f"_cr_b{n}") for n, (a, _) in enumerate(pairs)], (lo, "_cr_lo0"), (hi, "_cr_hi0")]
-    cand = cand.withColumnsRenamed({k: f"_cr_b{n}" for n, k in enumerate(ks)})
+    # read for the rows with an id and for those without, other columns each time
+    cand = cut_lineage(cand.withColumnsRenamed({k: f"_cr_b{n}" for n, k in enumerate(ks)}), "candidates")
     extra = [b for _, b in back]
 
-    unkeyed = left_join(left.where(F.col(id_col).isNull()),
-                        cand.select(*extra, *obs_cols), back).drop(*extra)
+    unkeyed = left.where(F.col(id_col).isNull())
+    if unkeyed_once:
+        unkeyed = unkeyed.distinct()
+    unkeyed = left_join(unkeyed, cand.select(*extra, *obs_cols), back).drop(*extra)
     keyed = left.where(F.col(id_col).isNotNull())
     at_type = common_time_type(left.schema[at].dataType, obs.schema[obs_ts].dataType)
     delta = epoch_seconds(F.col(at).cast(at_type)) - epoch_seconds(F.col(_PT).cast(at_type))
@@ -165,8 +174,12 @@ def nearest_match(left: DataFrame, obs: DataFrame, *, row_key: Sequence[str], id
                      F.signum(delta).alias("s"), F.col(tiebreak).alias("t"), key.alias("k"))
     payload = F.struct(key.alias("_cr_key"), *[F.col(c).alias(c) for c in obs_cols])
     best = rows.groupBy(F.col(id_col).alias("_cr_id")).agg(F.min_by(payload, order).alias("_cr_best"))
+    # the best row comes first in its id's window: as a filter, its key would be
+    # one more key of the join, and the rows dealt again by the id alone
     out = (keyed.join(best, keyed[id_col] == best["_cr_id"])
-           .where(key == F.col("_cr_best._cr_key"))
-           .withColumns({c: F.col(f"_cr_best.{c}") for c in obs_cols}).drop("_cr_id", "_cr_best"))
-    out = one_per_id(out, id_col, [])
-    return out.unionByName(unkeyed.select(*out.columns))
+           .withColumns({"_cr_other": key != F.col("_cr_best._cr_key"),
+                         **{c: F.col(f"_cr_best.{c}") for c in obs_cols}}).drop("_cr_id", "_cr_best"))
+    names = [c for c in out.columns if c != "_cr_other"]
+    w = Window.partitionBy(id_col).orderBy("_cr_other", F.xxhash64(*names))
+    out = out.withColumn("_cr_rn", F.row_number().over(w)).where("_cr_rn = 1").select(*names)
+    return out.unionByName(unkeyed.select(*names))

@@ -99,3 +99,35 @@ def test_nearest_match_ties_and_unkeyed(spark):
     got = sorted(((r.leg_id, r.rec_id, r.obs_id) for r in out.collect()), key=repr)
     assert got == sorted([(1, None, 29), (None, 55, 29), (None, 55, 30), (None, 55, 31),
                           (2, None, None)], key=repr)
+
+
+def test_nearest_match_deals_its_rows_by_id_once(spark):
+    """Repeated ids become one row, equal rows without an id too if asked; the rows are dealt
+    once, by their id, and no row key is a key of a join."""
+    t = ts("2024-01-01 10:00:00")
+    at = [t + dt.timedelta(minutes=m) for m in (0, 5, 0, 0, 0, 0, 9)]
+    ids = [(1, None), (1, 4), (2, 5), (2, 5), (None, 6), (None, 6), (3, None)]
+    left = frame(spark, "leg_id long, rec_id long, key long, lo timestamp_ntz, hi timestamp_ntz, "
+                        "at timestamp_ntz, pad string",
+                 [(i, r, 9 if i == 3 else 7, t - dt.timedelta(hours=1), t + dt.timedelta(hours=1), a, f"p{r}")
+                  for (i, r), a in zip(ids, at)])
+    obs = frame(spark, OBS, [(30, 7, t + dt.timedelta(minutes=6)), (31, 7, t + dt.timedelta(hours=5))])
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        how = dict(row_key=["leg_id", "rec_id"], id_col="leg_id", keys=["key"], lo="lo", hi="hi", at="at",
+                   obs_ts="obs_ts", tiebreak="obs_id", obs_cols=["obs_id"])
+        out = op.nearest_match(left, obs, **how, unkeyed_once=True)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = sorted(((r.leg_id, r.rec_id, r.pad, r.obs_id) for r in out.collect()), key=repr)
+        every = op.nearest_match(left, obs, **how).where("leg_id IS NULL").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert got == sorted([(1, 4, "p4", 30), (2, 5, "p5", 30), (3, None, "pNone", None), (None, 6, "p6", 30)],
+                         key=repr)
+    assert every == 2
+    dealt = [line.partition("hashpartitioning(")[2] for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert not any("struct(" in keys for keys in dealt)
+    # once for the best of each id, once for the rows, each by the id alone
+    assert len([keys for keys in dealt if keys.startswith("leg_id#") and keys.count("#") == 1]) == 2
+    assert not any("_cr_one#" in keys for keys in dealt)
